@@ -1 +1,145 @@
-"""Pending."""
+"""Feature preparation, model metrics and budget models."""
+
+from pyspark.ml import Pipeline
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import functions as F
+
+from tenderlake.catalog import fixtures as fx
+from tenderlake.catalog.registry import DAY, as_text, query, rounded
+from tenderlake.ml import features, models
+from tenderlake.operators import ranking
+from tenderlake.session import scratch_path
+
+
+def _t(body: str) -> str:
+    return fx.over("tenders", body=body)
+
+
+@query("label_codes", _t("""
+    SELECT id, dense_rank() OVER (ORDER BY category) - 1 AS category_code,
+           dense_rank() OVER (ORDER BY organization) - 1 AS organization_code FROM tenders"""))
+def _(spark, sf_dir):
+    coded = ranking.label_encode(fx.tenders(spark, sf_dir), ["category", "organization"])
+    return coded.select("id", "category_code", "organization_code")
+
+
+@query("frequency_codes", _t("""
+    SELECT t.id, c.code AS region_code FROM tenders t JOIN (
+      SELECT region, CAST(row_number() OVER (ORDER BY count(*) DESC, region) - 1 AS double) AS code
+      FROM tenders GROUP BY region) c USING (region)"""))
+def _(spark, sf_dir):
+    from pyspark.ml.feature import StringIndexer
+
+    rows = fx.tenders(spark, sf_dir).select("id", "region")
+    indexed = StringIndexer(inputCol="region", outputCol="region_code").fit(rows).transform(rows)
+    return indexed.select("id", "region_code")
+
+
+@query("one_hot_status", """
+    SELECT o_orderkey AS id, CAST(o_orderstatus = 'F' AS integer) AS status_F, CAST(o_orderstatus = 'O' AS integer) AS status_O
+    FROM orders""")
+def _(spark, sf_dir):
+    rows = fx.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"))
+    # The training rows lack one status; it is all zeros afterwards.
+    values = features.dummy_values(rows.where("status <> 'P'"), "status")
+    return features.one_hot(rows, "status", values).drop("status")
+
+
+@query("standardise", fx.over("procurements", body="""
+    SELECT id, round((quantity - (SELECT avg(quantity) FROM procurements)) / (SELECT stddev_pop(quantity) FROM procurements), 6) AS quantity_std,
+           round((unit_price - (SELECT avg(unit_price) FROM procurements)) / (SELECT stddev_pop(unit_price) FROM procurements), 6) AS unit_price_std
+    FROM procurements"""))
+def _(spark, sf_dir):
+    scaled = features.standardise(fx.procurements(spark, sf_dir), ["quantity", "unit_price"])
+    return rounded(scaled.select("id", "quantity_std", "unit_price_std"), 6)
+
+
+@query("hash_split", _t("SELECT count(*) AS rows, true AS share_met FROM tenders"))
+def _(spark, sf_dir):
+    split = features.hash_split(fx.tenders(spark, sf_dir), "id")
+    return split.agg(F.count(F.lit(1)).alias("rows"),
+                     (F.abs(F.avg(F.col("is_train").cast("double")) - 0.8) < 0.02).alias("share_met"))
+
+
+@query("regression_metrics", fx.over("procurements", body="""
+    SELECT category, round(avg(e * e), 2) AS mse, round(sqrt(avg(e * e)), 2) AS rmse,
+           round(1 - avg(e * e) / var_pop(total_cost), 6) AS r2, round(avg(abs(e)), 2) AS mae, count(*) AS size
+    FROM (SELECT category, total_cost, total_cost - quantity * 1500 AS e FROM procurements) p GROUP BY category"""))
+def _(spark, sf_dir):
+    guessed = fx.procurements(spark, sf_dir).withColumn("prediction", F.col("quantity") * 1500)
+    metrics = models.regression_metrics(guessed, groups=["category"])
+    return metrics.withColumns({c: F.round(c, 6 if c == "r2" else 2) for c in ("mse", "rmse", "r2", "mae")})
+
+
+@query("linear_fit", """
+    SELECT round(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
+           round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept FROM lineitem""")
+def _(spark, sf_dir):
+    lines = fx.table(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice")
+    stages = [VectorAssembler(inputCols=["l_quantity"], outputCol="features"),
+              models.regressor("linear", label="l_extendedprice", solver="normal")]
+    model = Pipeline(stages=stages).fit(lines).stages[-1]
+    return rounded(lines.limit(1).select(F.lit(float(model.coefficients[0])).alias("slope"),
+                                         F.lit(float(model.intercept)).alias("intercept")), 4)
+
+
+@query("forecast_frame", _t("""
+    WITH head AS (SELECT category, region, status, row_number() OVER (ORDER BY published_at, id) AS day FROM tenders
+                  ORDER BY published_at, id LIMIT 30)
+    SELECT CAST(day AS integer) AS day, category, region, status,
+           strftime((SELECT CAST(max(published_at) AS date) FROM tenders) + CAST(day AS integer), '%Y-%m-%d') AS forecast_on
+    FROM head"""))
+def _(spark, sf_dir):
+    return as_text(features.forecast_frame(fx.tenders(spark, sf_dir)), forecast_on=DAY)
+
+
+@query("cost_model_linear")
+def _(spark, sf_dir):
+    return models.train(fx.procurements(spark, sf_dir), "linear")[1]
+
+
+# Fewer rounds than the default 100, which this check does not need.
+@query("cost_model_boosted")
+def _(spark, sf_dir):
+    return models.train(fx.procurements(spark, sf_dir), "gradient_boosting", maxIter=5)[1]
+
+
+@query("cost_model_forest")
+def _(spark, sf_dir):
+    return models.train(fx.procurements(spark, sf_dir), "random_forest", numTrees=10, maxDepth=6)[1]
+
+
+@query("frequency_forest")
+def _(spark, sf_dir):
+    rows = features.hash_split(fx.tenders(spark, sf_dir).withColumnRenamed("budget", "label"), "id")
+    model = models.frequency_forest().fit(rows.where("is_train"))
+    return models.regression_metrics(model.transform(rows), "label", ["is_train"])
+
+
+@query("budget_forecast")
+def _(spark, sf_dir):
+    rows = fx.tenders(spark, sf_dir)
+    return models.forecast(models.train_forecast(rows, trees=20), rows)
+
+
+@query("stored_model", """
+    SELECT count(*) AS rows, 0 AS mismatches FROM orders""")
+def _(spark, sf_dir):
+    path = scratch_path(spark, "model")
+    rows = fx.tenders(spark, sf_dir).withColumnRenamed("budget", "label")
+    model = models.frequency_forest(trees=3).fit(rows)
+    models.save(model, path)
+    before = model.transform(rows).select("id", F.col("prediction").alias("p"))
+    after = models.load(path).transform(rows).select("id", F.col("prediction").alias("q"))
+    return before.join(after, "id").agg(F.count(F.lit(1)).alias("rows"), F.count_if("p <> q").alias("mismatches"))
+
+
+@query("volume_study")
+def _(spark, sf_dir):
+    return models.volume_study(fx.procurements(spark, sf_dir), [0.25, 0.5, 1.0], "linear")
+
+
+@query("trained_models")
+def _(spark, sf_dir):
+    small = {"gradient_boosting": {"maxIter": 2}, "random_forest": {"numTrees": 5, "maxDepth": 5}}
+    return models.train_all(fx.procurements(spark, sf_dir), scratch_path(spark, "models"), overrides=small)

@@ -198,7 +198,7 @@ def _(spark, sf_dir):
     return best.select("id", "tender_no", "description", "relevance_score")
 
 
-@query("similar_documents", "WITH " + _TFIDF.format(docs="SELECT doc_id, text AS t FROM documents",
+@query("similar_documents", "WITH " + _TFIDF.format(docs="SELECT doc_id AS id, text AS t FROM documents",
                                                     query="the question of national attention") + """
     SELECT id AS doc_id, score AS relevance_score FROM scores WHERE exact > 0.1 ORDER BY score DESC, id LIMIT 100""")
 def _(spark, sf_dir):

@@ -1 +1,74 @@
-"""Pending."""
+"""Structured Streaming loads over the landed test tables."""
+
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from tenderlake import schema
+from tenderlake.catalog import fixtures as fx
+from tenderlake.catalog.registry import DAY, SECOND, as_text, query
+from tenderlake.session import scratch_path
+from tenderlake.sources import files
+from tenderlake.streaming import loads
+
+CLOCK = datetime(2024, 2, 1, 12, 0)
+
+
+def _stream(spark, sf_dir, name):
+    return loads.landed_files(spark, sf_dir, f"{name}.parquet", fx.table(spark, sf_dir, name).schema)
+
+
+def _tender_stream(spark, sf_dir):
+    """Every tender arrives twice."""
+    arrived = _stream(spark, sf_dir, "orders").withColumn("copy", F.explode(F.array(F.lit(1), F.lit(2)))).drop("copy")
+    rows = fx.tenders_from(arrived, spark, sf_dir)
+    return rows.withColumn("published_at", F.col("published_at").cast("timestamp"))
+
+
+@query("stream_distinct_loads", fx.over("tenders", body="""
+    SELECT tender_no, category, strftime(published_at, '%Y-%m-%d') AS published_at FROM tenders"""))
+def _(spark, sf_dir):
+    root = scratch_path(spark, "stream")
+    rows = loads.distinct_loads(_tender_stream(spark, sf_dir), ["tender_no"], "published_at", "3650 days")
+    stored = loads.drain(rows.select("tender_no", "category", "published_at"), f"{root}/out", f"{root}/state")
+    return as_text(stored, published_at=DAY)
+
+
+@query("stream_ledger_loads", fx.over("tenders", body="""
+    SELECT 'raw' AS layer, category, count(*) AS n FROM tenders GROUP BY category
+    UNION ALL SELECT 'ledger', '', count(*) FROM tenders"""))
+def _(spark, sf_dir):
+    root = scratch_path(spark, "stream")
+    loader = loads.ledger_loader(f"{root}/raw", f"{root}/ledger", "feed", CLOCK)
+    # Two runs over the same files: the second finds everything in the ledger.
+    for state in ("state_1", "state_2"):
+        loads.drain_batches(_tender_stream(spark, sf_dir), loader if state == "state_1" else
+                            loads.ledger_loader(f"{root}/raw2", f"{root}/ledger", "feed", CLOCK), f"{root}/{state}")
+    raw = files.read_layer(spark, f"{root}/raw", schema.RAW_LAYER).groupBy("category").agg(F.count(F.lit(1)).alias("n"))
+    entries = files.read_layer(spark, f"{root}/ledger", schema.LEDGER).agg(F.count(F.lit(1)).alias("n"))
+    return raw.select(F.lit("raw").alias("layer"), "category", "n").unionByName(
+        entries.select(F.lit("ledger").alias("layer"), F.lit("").alias("category"), "n"))
+
+
+@query("stream_promote", fx.over("tenders", body="""
+    SELECT tender_no, category, CAST(month(published_at) AS integer) AS month,
+           CAST(quarter(published_at) AS integer) AS quarter, id AS raw_id, '2024-02-01' AS processed_at FROM tenders"""))
+def _(spark, sf_dir):
+    root = scratch_path(spark, "stream")
+    raw = fx.tenders_from(_stream(spark, sf_dir, "orders"), spark, sf_dir)
+    stored = loads.drain(loads.promoted(raw, CLOCK), f"{root}/out", f"{root}/state")
+    return as_text(stored.select("tender_no", "category", "month", "quarter", "raw_id", "processed_at"),
+                   processed_at=DAY)
+
+
+# Closed windows only: an append stream holds back what the watermark has not passed.
+@query("stream_windowed_loads", """
+    SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, strftime(w + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS window_end,
+           event_type, count(*) AS loads
+    FROM (SELECT date_trunc('hour', ts) AS w, event_type FROM events) e
+    WHERE w + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR GROUP BY w, event_type""")
+def _(spark, sf_dir):
+    root = scratch_path(spark, "stream")
+    events = _stream(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    stored = loads.drain(loads.windowed_loads(events, "ts", "event_type"), f"{root}/out", f"{root}/state")
+    return as_text(stored, window_start=SECOND, window_end=SECOND)

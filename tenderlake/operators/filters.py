@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -80,7 +80,7 @@ def retained(df: DataFrame, column: str, days: int = 7, anchor: Column | datetim
     return df.filter(dates.within_days(column, _anchor(df, column, anchor), days))
 
 
-def newer_than(df: DataFrame, column: str, mark: Column | datetime | None) -> DataFrame:
+def newer_than(df: DataFrame, column: str, mark: Column | datetime | date | None) -> DataFrame:
     """Rows after the high-water mark; rows without a date are kept."""
     if mark is None:
         return df

@@ -130,7 +130,7 @@ def latest(df: DataFrame, time: str, key: str, limit: int = 100) -> DataFrame:
 def upsert_sources(registry: DataFrame, updates: DataFrame) -> DataFrame:
     """Registry with the newest row per source; unknown sources are registered."""
     both = registry.unionByName(updates, allowMissingColumns=True)
-    return keep_last(both, ["name"], [F.col("last_load_time").asc_nulls_first()])
+    return keep_last(both, ["name"], ["last_load_time"])
 
 
 def source_stats(registry: DataFrame) -> DataFrame:

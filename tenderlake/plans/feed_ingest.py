@@ -18,7 +18,7 @@ VERSION = ["tender_no", "content_hash"]
 def new_records(items: DataFrame, ledger: DataFrame, source: str, clock) -> DataFrame:
     """Records of the items that the ledger does not know, one per version."""
     records = layers.with_content_hash(feed.feed_records(items, source, clock))
-    single = dedup.keep_first(records, VERSION, [F.col("published_on").asc_nulls_first(), F.col("url")])
+    single = dedup.keep_first(records, VERSION, ["published_on", "url"])
     return layers.not_loaded(single, ledger)
 
 

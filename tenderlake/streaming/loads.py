@@ -7,6 +7,7 @@ the ledger table holds it instead of operator state.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,7 +42,7 @@ def windowed_loads(stream: DataFrame, time: str, group: str, width: str = "1 hou
                           group, "loads")
 
 
-def promoted(raw_stream: DataFrame, clock: Column) -> DataFrame:
+def promoted(raw_stream: DataFrame, clock: Column | datetime) -> DataFrame:
     """Raw rows as processed rows; the checkpoint remembers what is done."""
     return layers.enrich(raw_stream, clock)
 
@@ -61,7 +62,8 @@ def drain_batches(stream: DataFrame, handle: Callable[[DataFrame, int], None], c
     query.awaitTermination()
 
 
-def ledger_loader(raw_path: str, ledger_path: str, source: str, clock: Column) -> Callable[[DataFrame, int], None]:
+def ledger_loader(raw_path: str, ledger_path: str, source: str,
+                  clock: Column | datetime) -> Callable[[DataFrame, int], None]:
     """Batch handler: append unseen versions to the raw folder and the ledger.
 
     Each batch owns one folder in both, so a repeated batch replaces its own
@@ -73,7 +75,7 @@ def ledger_loader(raw_path: str, ledger_path: str, source: str, clock: Column) -
         # The batch's own entries of an interrupted run do not count as loaded.
         known = files.read_layer(spark, ledger_path, schema.LEDGER).where(F.col("run_id") != run_id)
         keyed = layers.with_content_hash(batch)
-        single = dedup.keep_first(keyed, VERSION, [F.col("published_at").asc_nulls_first()])
+        single = dedup.keep_first(keyed, VERSION, ["published_at"])
         fresh = layers.stamp(layers.not_loaded(single, known), clock, source)
         folder = f"{raw_path}/run_id={run_id}"
         fresh.write.mode("overwrite").parquet(folder)
