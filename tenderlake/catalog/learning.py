@@ -131,7 +131,7 @@ def _(spark, sf_dir):
     models.save(model, path)
     before = model.transform(rows).select("id", F.col("prediction").alias("p"))
     after = models.load(path).transform(rows).select("id", F.col("prediction").alias("q"))
-    return before.join(after, "id").agg(F.count(F.lit(1)).alias("rows"), F.count_if("p <> q").alias("mismatches"))
+    return before.join(after, "id").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("p") != F.col("q")).alias("mismatches"))
 
 
 @query("volume_study")

@@ -212,16 +212,18 @@ _GRAMS = """
               UNION ALL SELECT id, substr(t, i, 3) FROM texts, unnest(range(1, length(t) - 1)) AS r(i))"""
 
 
-def _texts(spark, sf_dir):
-    return fx.tenders(spark, sf_dir).select(
+def _counts(spark, sf_dir):
+    texts = fx.tenders(spark, sf_dir).select(
         "id", text.search_text("description", "category", "region", "organization").alias("text"))
+    placed, documents = similarity.placed_texts(texts, "id", "text")
+    return similarity.term_counts(placed, "id", "text"), documents
 
 
-@query("gram_totals", _t(f"""WITH {_GRAMS}
+@query("term_totals", _t(f"""WITH {_GRAMS}
     SELECT term, CAST(sum(n) AS bigint) AS total, count(*) AS docs
     FROM (SELECT id, term, count(*) AS n FROM grams GROUP BY id, term) d GROUP BY term"""))
 def _(spark, sf_dir):
-    return similarity.gram_totals(_texts(spark, sf_dir), "text").where("term is not null")
+    return similarity.term_totals(_counts(spark, sf_dir)[0])
 
 
 @query("vocabulary_weights", _t(f"""WITH {_GRAMS}
@@ -230,7 +232,8 @@ def _(spark, sf_dir):
           FROM (SELECT id, term, count(*) AS n FROM grams GROUP BY id, term) d
           GROUP BY term ORDER BY total DESC, term LIMIT 300) v"""))
 def _(spark, sf_dir):
-    return rounded(similarity.vocabulary(_texts(spark, sf_dir), "text", 300), 6)
+    counts, documents = _counts(spark, sf_dir)
+    return rounded(similarity.vocabulary(similarity.term_totals(counts), documents, 300), 6)
 
 
 @query("newest_corpus", _t("""

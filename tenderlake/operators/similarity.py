@@ -1,13 +1,14 @@
 """TF-IDF similarity search over character n-grams.
 
-Three passes, none of which moves the n-grams of the corpus:
-
-1. vocabulary - gram totals and document frequencies in one aggregation that
-   shuffles only distinct grams per input partition;
-2. the cut vocabulary (at most ``max_terms`` rows) with inverse document
-   frequencies and the weights of the query, broadcast to the documents;
-3. scores - the texts are shuffled once by document id; counting terms,
-   norms and products all happen inside that partitioning.
+The texts are shuffled once, by document. Both passes start from that shuffle:
+
+1. vocabulary - term counts per document stay inside the partitioning; only
+   distinct terms per task travel to form totals and document frequencies;
+2. scores - the cut vocabulary (at most ``max_terms`` rows) with inverse
+   document frequencies and query weights is broadcast to the term counts, and
+   norms and products are again summed inside the partitioning.
+
+The n-grams themselves never cross the network.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from tenderlake.operators.search import too_short
 MAX_TERMS = 5000
 THRESHOLD = 0.1
 GRAMS = (2, 3)
+# Text per task: two n-grams per character, about half of them distinct.
+CHARS_PER_TASK = 8_000_000
 
 
 def newest_rows(df: DataFrame, time: str, key: str, limit: int | None) -> DataFrame:
@@ -29,63 +32,56 @@ def newest_rows(df: DataFrame, time: str, key: str, limit: int | None) -> DataFr
     return df if limit is None else df.orderBy(F.desc(time), F.asc(key)).limit(limit)
 
 
-def gram_totals(corpus: DataFrame, column: str, grams: tuple[int, int] = GRAMS) -> DataFrame:
-    """(term, total, docs): occurrences and containing documents of every gram.
+def placed_texts(corpus: DataFrame, key: str, column: str) -> tuple[DataFrame, int]:
+    """The texts partitioned by document and the number of documents.
 
-    The row with a NULL term carries the number of documents.
+    The number of partitions follows the amount of text, so that the term
+    counts of one task fit in memory.
     """
-    all_grams = text.char_grams(column, *grams)
-    entry = "struct<term:string,total:bigint,docs:bigint>"
+    size = corpus.agg(F.count(F.lit(1)).alias("documents"), F.sum(F.length(column)).alias("chars")).first()
+    usual = int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = max(usual, -(-(size["chars"] or 0) // CHARS_PER_TASK))
+    return corpus.select(key, column).repartition(partitions, key), size["documents"]
+
+
+def term_counts(placed: DataFrame, key: str, column: str, grams: tuple[int, int] = GRAMS) -> DataFrame:
+    """(key, term, tf) of texts that are partitioned by the key."""
+    return (placed.select(key, F.explode(text.char_grams(column, *grams)).alias("term"))
+            .groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")))
 
-    def tag(term, total, docs):
-        return F.struct(term.alias("term"), F.lit(total).cast("bigint").alias("total"),
-                        F.lit(docs).cast("bigint").alias("docs"))
 
-    entries = F.concat(F.transform("grams", lambda g: tag(g, 1, 0)),
-                       F.transform(F.array_distinct("grams"), lambda g: tag(g, 0, 1)),
-                       F.array(tag(F.lit(None).cast("string"), 0, 1)).cast(f"array<{entry}>"))
-    return (corpus.select(F.coalesce(all_grams, F.array().cast("array<string>")).alias("grams"))
-            .select(F.explode(entries).alias("e")).groupBy("e.term")
-            .agg(F.sum("e.total").alias("total"), F.sum("e.docs").alias("docs")))
+def term_totals(counts: DataFrame) -> DataFrame:
+    """(term, total, docs): occurrences and containing documents."""
+    return counts.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("docs"))
 
 
-def vocabulary(corpus: DataFrame, column: str, max_terms: int = MAX_TERMS,
-               grams: tuple[int, int] = GRAMS) -> DataFrame:
-    """(term, idf) of the most frequent grams, smoothed ``ln((1+n)/(1+df)) + 1``."""
-    # The NULL term sorts first and brings the document count along.
-    top = (gram_totals(corpus, column, grams)
-           .orderBy(F.col("term").isNotNull(), F.desc("total"), F.asc("term")).limit(max_terms + 1))
-    # The window spans the cut vocabulary only, max_terms + 1 rows.
-    documents = F.max(F.when(F.col("term").isNull(), F.col("docs"))).over(Window.partitionBy(F.lit(0)))
-    return (top.withColumn("n", documents).where(F.col("term").isNotNull())
-            .select("term", (F.log((F.lit(1.0) + F.col("n")) / (F.lit(1.0) + F.col("docs"))) + F.lit(1.0)).alias("idf")))
+def vocabulary(totals: DataFrame, documents: int, max_terms: int = MAX_TERMS) -> DataFrame:
+    """(term, idf) of the most frequent terms, smoothed ``ln((1+n)/(1+df)) + 1``."""
+    top = totals.orderBy(F.desc("total"), F.asc("term")).limit(max_terms)
+    return top.select("term", (F.log(F.lit(1.0 + documents) / (F.lit(1.0) + F.col("docs"))) + F.lit(1.0)).alias("idf"))
 
 
 def weighted_vocabulary(terms: DataFrame, query: str, grams: tuple[int, int] = GRAMS) -> DataFrame:
     """(term, idf, query_weight): the unit-length query vector over the vocabulary.
 
-    The query is one literal; its term counts are array lookups, no join.
+    The query is one literal; its term counts are array look-ups, no join.
     """
     occurrences = F.size(F.filter(text.char_grams(F.lit(query), *grams), lambda g: g == F.col("term")))
-    weighted = terms.withColumn("w", occurrences * F.col("idf"))
-    norm = weighted.agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm")).scalar()
-    return weighted.select("term", "idf", F.try_divide(F.col("w"), norm).alias("query_weight"))
+    # The window spans the cut vocabulary only.
+    norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(F.lit(0))))
+    return (terms.withColumn("w", occurrences * F.col("idf"))
+            .select("term", "idf", F.try_divide("w", norm).alias("query_weight")))
 
 
-def similarity_scores(corpus: DataFrame, key: str, column: str, terms: DataFrame,
-                      grams: tuple[int, int] = GRAMS) -> DataFrame:
+def similarity_scores(counts: DataFrame, key: str, terms: DataFrame) -> DataFrame:
     """(key, score): cosine of every document with the query.
 
     ``terms`` has at most ``max_terms`` rows, so its broadcast does not grow
     with the corpus.
     """
-    placed = corpus.select(key, column).repartition(key)
-    counted = (placed.select(key, F.explode(text.char_grams(column, *grams)).alias("term"))
-               .join(F.broadcast(terms), "term")
-               .groupBy(key, "term", "idf", "query_weight").agg(F.count(F.lit(1)).alias("tf")))
     weight = F.col("tf") * F.col("idf")
-    sums = counted.groupBy(key).agg(F.sum(weight * F.col("query_weight")).alias("dot"),
-                                    F.sqrt(F.sum(weight * weight)).alias("norm"))
+    sums = counts.join(F.broadcast(terms), "term").groupBy(key).agg(
+        F.sum(weight * F.col("query_weight")).alias("dot"), F.sqrt(F.sum(weight * weight)).alias("norm"))
     return sums.select(key, F.try_divide("dot", "norm").alias("score"))
 
 
@@ -98,11 +94,11 @@ def similar_rows(df: DataFrame, query: str, column: str, key: str = "id", limit:
     tie; ties go to the smaller key.
     """
     if too_short(query):
-        kind = dict(df.dtypes)[key]
-        return df.select(F.col(key).cast(kind), F.lit(0.0).alias("relevance_score")).limit(0)
-    terms = weighted_vocabulary(vocabulary(df, column, max_terms, grams), query, grams)
-    scores = similarity_scores(df, key, column, terms, grams)
-    return (scores.where(F.col("score") > F.lit(threshold))
+        return df.select(key, F.lit(0.0).alias("relevance_score")).limit(0)
+    placed, documents = placed_texts(df, key, column)
+    counts = term_counts(placed, key, column, grams)
+    terms = weighted_vocabulary(vocabulary(term_totals(counts), documents, max_terms), query, grams)
+    return (similarity_scores(counts, key, terms).where(F.col("score") > F.lit(threshold))
             .select(key, F.round("score", 6).alias("relevance_score"))
             .orderBy(F.desc("relevance_score"), F.asc(key)).limit(limit))
 
