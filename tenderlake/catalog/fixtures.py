@@ -22,11 +22,11 @@ def tenders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tenders_from(orders: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
-    places = (table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"),
-                                                  F.col("n_regionkey") == F.col("r_regionkey"))
-              .select("n_nationkey", "n_name", "r_name"))
-    owners = table(spark, sf_dir, "customer").join(places, F.col("c_nationkey") == F.col("n_nationkey"))
-    return orders.join(owners, F.col("o_custkey") == F.col("c_custkey")).select(
+    # The fact side streams through; every other side is a base table of known size.
+    joined = (orders.join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+              .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+              .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")))
+    return joined.select(
         F.col("o_orderkey").alias("id"),
         text.padded_number("o_orderkey").alias("tender_no"),
         F.col("c_name").alias("organization"),

@@ -45,15 +45,16 @@ def _(spark, sf_dir):
     SELECT item_id, trim(regexp_extract(description, 'Заказчик:\s*([^\n<]+)', 1)) AS organization,
            trim(regexp_extract(description, 'Регион:\s*([^\n<]+)', 1)) AS region FROM feed_items"""))
 def _(spark, sf_dir):
-    visible = text.strip_tags("description")
-    return fx.feed_items(spark, sf_dir).select(
-        "item_id", text.labelled_value(visible, text.CUSTOMER_LABEL, text.CUSTOMER_MAX).alias("organization"),
-        text.labelled_value(visible, text.REGION_LABEL, text.REGION_MAX).alias("region"))
+    visible = fx.feed_items(spark, sf_dir).select("item_id", text.strip_tags("description").alias("t"))
+    return visible.select(
+        "item_id", text.labelled_value("t", text.CUSTOMER_LABEL, text.CUSTOMER_MAX).alias("organization"),
+        text.labelled_value("t", text.REGION_LABEL, text.REGION_MAX).alias("region"))
 
 
 @query("feed_categories", _f(f"SELECT item_id, {_CATEGORY} AS category FROM feed_items"))
 def _(spark, sf_dir):
-    return fx.feed_items(spark, sf_dir).select("item_id", text.classify("description").alias("category"))
+    lowered = fx.feed_items(spark, sf_dir).select("item_id", F.lower("description").alias("t"))
+    return lowered.select("item_id", text.classify("t").alias("category"))
 
 
 @query("feed_prices", fx.over("tenders", body="""

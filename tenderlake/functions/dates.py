@@ -22,9 +22,12 @@ def feed_date(column) -> Column:
     forms = [(_RFC_DATE, "d MMM yyyy HH:mm:ss"),
              (_ISO_DATE_TIME, "yyyy-MM-dd'T'HH:mm:ss"),
              (_ISO_DATE, "yyyy-MM-dd")]
-    parsed = [F.try_to_timestamp(F.nullif(F.regexp_extract(column, pattern, 1), F.lit("")), F.lit(form))
-              for pattern, form in forms]
-    return F.to_date(F.coalesce(*parsed))
+    # Parsing is tried on the matching form only: a failed parse is an exception inside.
+    parsed = F
+    for pattern, form in forms:
+        parsed = parsed.when(F.rlike(column, F.lit(pattern)),
+                             F.try_to_timestamp(F.regexp_extract(column, pattern, 1), F.lit(form)))
+    return F.to_date(parsed)
 
 
 def date_parts(column, prefix: str = "") -> list[Column]:

@@ -47,18 +47,27 @@ def equals_any_case(column, value: str) -> Column:
 
 def strip_tags(column) -> Column:
     """Visible text of an HTML fragment: no scripts, styles, comments or tags."""
-    text = F.regexp_replace(_c(column), r"(?is)<script.*?</script[^>]*>|<style.*?</style[^>]*>|<!--.*?-->", "")
+    text = F.regexp_replace(_c(column), r"(?is)<(?:script.*?</script[^>]*|style.*?</style[^>]*|!--.*?--)>", "")
     text = F.regexp_replace(text, r"<[^>]*>", "")
-    for entity, plain in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-                          ("&nbsp;", " "), ("&amp;", "&")):
-        text = F.replace(text, F.lit(entity), F.lit(plain))
-    return text
+    plain = text
+    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
+        plain = F.replace(plain, F.lit(entity), F.lit(char))
+    return F.when(F.contains(text, F.lit("&")), plain).otherwise(text)
+
+
+def labelled_text(text, label: str) -> Column:
+    """Rest of the line after ``label:``, trimmed; empty when absent."""
+    return F.trim(F.regexp_extract(_c(text), rf"(?U){label}:\s*([^\n<]+)", 1))
+
+
+def cut_or_default(found, max_length: int, default: str = UNKNOWN) -> Column:
+    """The text cut to a length; the default for an empty or missing one."""
+    found = _c(found)
+    return F.when(found != "", F.substring(found, 1, max_length)).otherwise(F.lit(default))
 
 
 def labelled_value(text, label: str, max_length: int, default: str = UNKNOWN) -> Column:
-    """Rest of the line after ``label:``, trimmed and cut; the default when absent."""
-    found = F.regexp_extract(_c(text), rf"(?U){label}:\s*([^\n<]+)", 1)
-    return F.coalesce(F.nullif(F.substring(F.trim(found), 1, max_length), F.lit("")), F.lit(default))
+    return cut_or_default(labelled_text(text, label), max_length, default)
 
 
 def labelled_price(text) -> Column:
@@ -67,13 +76,13 @@ def labelled_price(text) -> Column:
     return F.coalesce(F.btrim(F.translate(digits, ", ", "."), F.lit(" \t\r\n")).try_cast("double"), F.lit(0.0))
 
 
-def classify(text, keywords: dict[str, list[str]] = CATEGORY_KEYWORDS, default: str = UNKNOWN) -> Column:
-    """First category, in order, one of whose keywords occurs in the text."""
-    lowered = F.lower(_c(text))
-    branches = None
+def classify(lowered, keywords: dict[str, list[str]] = CATEGORY_KEYWORDS, default: str = UNKNOWN) -> Column:
+    """First category, in order, one of whose keywords occurs in the lower-cased text."""
+    lowered = _c(lowered)
+    branches = F
     for category, words in keywords.items():
         hit = reduce(lambda a, b: a | b, [F.contains(lowered, F.lit(w)) for w in words])
-        branches = F.when(hit, F.lit(category)) if branches is None else branches.when(hit, F.lit(category))
+        branches = branches.when(hit, F.lit(category))
     return branches.otherwise(F.lit(default))
 
 

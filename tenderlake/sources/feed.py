@@ -25,13 +25,18 @@ def feed_records(items: DataFrame, source: str, clock: Column | datetime) -> Dat
     The labelled fields come from the visible text of the description; what a
     feed does not say gets its default.
     """
+    # One projection per step: each text is derived once, then read several times.
     visible = items.withColumn("__text", text.strip_tags(F.coalesce("description", F.lit(""))))
-    return visible.select(
+    found = visible.withColumns({
+        "__lower": F.lower("__text"),
+        "__customer": text.labelled_text("__text", text.CUSTOMER_LABEL),
+        "__region": text.labelled_text("__text", text.REGION_LABEL)})
+    return found.select(
         text.purchase_number("link").alias("tender_no"),
-        text.labelled_value("__text", text.CUSTOMER_LABEL, text.CUSTOMER_MAX).alias("organization"),
+        text.cut_or_default("__customer", text.CUSTOMER_MAX).alias("organization"),
         F.substring(F.coalesce("title", F.lit("")), 1, text.TITLE_MAX).alias("description"),
-        text.classify("__text").alias("category"),
-        text.labelled_value("__text", text.REGION_LABEL, text.REGION_MAX).alias("region"),
+        text.classify("__lower").alias("category"),
+        text.cut_or_default("__region", text.REGION_MAX).alias("region"),
         text.labelled_price("__text").alias("budget"),
         F.lit(text.ANNOUNCED).alias("status"),
         dates.feed_date("published").alias("published_on"),

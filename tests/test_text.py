@@ -29,7 +29,7 @@ def test_labels_and_prices(spark):
 
 def test_classifier_order(spark):
     inputs = ["РЕМОНТ ДОРОГ", "Ремонт школы", "Электронный сервер", "озеленение парка", "прочее"]
-    assert values(spark, text.classify, inputs) == ["Транспорт", "Строительство", "Энергетика", "Благоустройство",
+    assert values(spark, lambda c: text.classify(F.lower(c)), inputs) == ["Транспорт", "Строительство", "Энергетика", "Благоустройство",
                                                     text.UNKNOWN]
 
 
