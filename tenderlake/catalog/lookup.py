@@ -175,12 +175,13 @@ def _(spark, sf_dir):
 _TFIDF = """
     texts AS (SELECT id, regexp_replace(lower(t), '[\\s\\x0b\\x1c-\\x1f\\x{{85}}\\p{{Z}}][\\s\\x0b\\x1c-\\x1f\\x{{85}}\\p{{Z}}]+', ' ', 'g') AS t
               FROM ({docs} UNION ALL SELECT -1, '{query}') u),
-    grams AS (SELECT id, substr(t, i, 2) AS g FROM texts, unnest(range(1, length(t))) AS r(i)
-              UNION ALL SELECT id, substr(t, i, 3) FROM texts, unnest(range(1, length(t) - 1)) AS r(i)),
-    tf AS (SELECT id, g, count(*) AS tf FROM grams GROUP BY id, g),
+    chars AS (SELECT id, string_split(t, '') AS c, len(string_split(t, '')) AS n FROM texts),
+    grams AS (SELECT id, unnest(list_transform(range(1, n), lambda i: c[i] || c[i + 1])) AS g FROM chars
+              UNION ALL SELECT id, unnest(list_transform(range(1, n - 1), lambda i: c[i] || c[i + 1] || c[i + 2])) FROM chars),
+    tf AS MATERIALIZED (SELECT id, g, count(*) AS tf FROM grams GROUP BY id, g),
     voc AS (SELECT g, sum(tf) AS total, count(*) AS df FROM tf WHERE id >= 0 GROUP BY g
             ORDER BY total DESC, g LIMIT 5000),
-    w AS (SELECT id, g, tf * (ln((1 + (SELECT count(*) FROM texts WHERE id >= 0)) / (1 + df)) + 1) AS w
+    w AS MATERIALIZED (SELECT id, g, tf * (ln((1 + (SELECT count(*) FROM texts WHERE id >= 0)) / (1 + df)) + 1) AS w
           FROM tf JOIN voc USING (g)),
     norms AS (SELECT id, sqrt(sum(w * w)) AS norm FROM w GROUP BY id),
     scores AS (SELECT d.id, round(sum(d.w * q.w) / (any_value(n.norm) * (SELECT norm FROM norms WHERE id = -1)), 6) AS score,
@@ -208,8 +209,9 @@ def _(spark, sf_dir):
 
 _GRAMS = """
     texts AS (SELECT lower(concat_ws(' ', description, category, region, organization)) AS t, id FROM tenders),
-    grams AS (SELECT id, substr(t, i, 2) AS term FROM texts, unnest(range(1, length(t))) AS r(i)
-              UNION ALL SELECT id, substr(t, i, 3) FROM texts, unnest(range(1, length(t) - 1)) AS r(i))"""
+    chars AS (SELECT id, string_split(t, '') AS c, len(string_split(t, '')) AS n FROM texts),
+    grams AS (SELECT id, unnest(list_transform(range(1, n), lambda i: c[i] || c[i + 1])) AS term FROM chars
+              UNION ALL SELECT id, unnest(list_transform(range(1, n - 1), lambda i: c[i] || c[i + 1] || c[i + 2])) FROM chars)"""
 
 
 def _counts(spark, sf_dir):

@@ -40,8 +40,7 @@ def cost_pipeline(df: DataFrame, kind: str, categorical: list[str] = prep.CATEGO
     counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first()
     indexed = [c for c in categorical if counts[c] <= MAX_LABELS]
     hashed = [c for c in categorical if counts[c] > MAX_LABELS]
-    stages = [StringIndexer(inputCol=c, outputCol=f"{c}_index", stringOrderType="alphabetAsc", handleInvalid="keep")
-              for c in indexed]
+    stages = [_index(indexed, "alphabetAsc")] if indexed else []
     inputs = [f"{c}_index" for c in indexed] + numerical
     if hashed:
         stages.append(FeatureHasher(inputCols=hashed, outputCol="hashed", numFeatures=HASHED_WIDTH,
@@ -57,8 +56,8 @@ def cost_pipeline(df: DataFrame, kind: str, categorical: list[str] = prep.CATEGO
 def frequency_forest(label: str = "label", trees: int = 10, depth: int = 5) -> Pipeline:
     """Frequency-ordered index of category, region and status, scaling, small forest."""
     columns = ["category", "region", "status"]
-    stages = [StringIndexer(inputCol=c, outputCol=f"{c}_index", handleInvalid="keep") for c in columns]
-    stages += [VectorAssembler(inputCols=[f"{c}_index" for c in columns], outputCol="features"),
+    stages = [_index(columns, "frequencyDesc"),
+              VectorAssembler(inputCols=[f"{c}_index" for c in columns], outputCol="features"),
                StandardScaler(inputCol="features", outputCol="scaled_features"),
                RandomForestRegressor(featuresCol="scaled_features", labelCol=label, numTrees=trees, maxDepth=depth,
                                      seed=prep.SEED)]
@@ -122,8 +121,7 @@ def volume_study(df: DataFrame, shares: list[float], kind: str = "gradient_boost
 def forecast_pipeline(label: str = "budget", trees: int = 50, depth: int = 10) -> Pipeline:
     """One-hot category, region, status and epoch seconds into a forest."""
     columns = ["category", "region", "status"]
-    stages = [StringIndexer(inputCol=c, outputCol=f"{c}_index", stringOrderType="alphabetAsc", handleInvalid="keep")
-              for c in columns]
+    stages = [_index(columns, "alphabetAsc")]
     stages.append(OneHotEncoder(inputCols=[f"{c}_index" for c in columns],
                                 outputCols=[f"{c}_hot" for c in columns], handleInvalid="keep"))
     stages.append(VectorAssembler(inputCols=[f"{c}_hot" for c in columns] + ["day_seconds"], outputCol="features"))
@@ -143,3 +141,9 @@ def forecast(model: PipelineModel, df: DataFrame, days: int = 30) -> DataFrame:
     future = prep.forecast_frame(df, days).withColumn("day_seconds", dates.epoch_seconds("forecast_on"))
     return model.transform(future).select("day", "forecast_on", "category", "region", "status",
                                           F.col("prediction").alias("predicted_budget"))
+
+
+def _index(columns: list[str], order: str) -> StringIndexer:
+    """One pass indexes all columns; a value unseen in training gets its own index."""
+    return StringIndexer(inputCols=columns, outputCols=[f"{c}_index" for c in columns], stringOrderType=order,
+                         handleInvalid="keep")

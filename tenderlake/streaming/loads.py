@@ -15,6 +15,8 @@ from pyspark.sql import types as T
 
 from tenderlake import schema
 from tenderlake.operators import dedup, layers
+from tenderlake.operators.layout import cached
+from tenderlake.session import broadcast_if_small
 from tenderlake.sources import files
 
 VERSION = ["tender_no", "content_hash"]
@@ -74,11 +76,13 @@ def ledger_loader(raw_path: str, ledger_path: str, source: str,
         spark, run_id = batch.sparkSession, f"batch-{batch_id}"
         # The batch's own entries of an interrupted run do not count as loaded.
         known = files.read_layer(spark, ledger_path, schema.LEDGER).where(F.col("run_id") != run_id)
-        keyed = layers.with_content_hash(batch)
-        single = dedup.keep_first(keyed, VERSION, ["published_at"])
-        fresh = layers.stamp(layers.not_loaded(single, known), clock, source)
+        single = dedup.keep_first(layers.with_content_hash(batch), VERSION, ["published_at"])
         folder = f"{raw_path}/run_id={run_id}"
-        fresh.write.mode("overwrite").parquet(folder)
+        with cached(single):
+            # A batch is small beside the ledger: only the entries it asks for take part in the anti join.
+            asked = known.join(broadcast_if_small(single.select(VERSION)), VERSION, "left_semi")
+            fresh = layers.stamp(layers.not_loaded(single, asked), clock, source)
+            fresh.write.mode("overwrite").parquet(folder)
         written = spark.read.schema(fresh.schema).parquet(folder)
         layers.ledger_rows(written, source, clock).write.mode("overwrite").parquet(f"{ledger_path}/run_id={run_id}")
 

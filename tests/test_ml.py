@@ -48,8 +48,8 @@ def test_unseen_category_and_stored_model(spark, costs):
 
 def test_wide_categories_are_hashed(costs, monkeypatch):
     monkeypatch.setattr(models, "MAX_LABELS", 10)
-    stages = [type(s).__name__ for s in models.cost_pipeline(costs, "linear").getStages()]
-    assert "FeatureHasher" in stages and stages.count("StringIndexer") == 4
+    stages = {type(s).__name__: s for s in models.cost_pipeline(costs, "linear").getStages()}
+    assert "FeatureHasher" in stages and len(stages["StringIndexer"].getInputCols()) == 4
     _, metrics = models.train(costs, "linear")
     assert metrics.count() == 2
 
