@@ -250,8 +250,8 @@ def _(spark, sf_dir):
                                   AND k.content_hash = hashed.content_hash)"""))
 def _(spark, sf_dir):
     items = fx.feed_items(spark, sf_dir)
-    records = layers.with_content_hash(feed.feed_records(items, "feed", CLOCK))
-    known = durable(records.where("category = 'IT'").select("tender_no", "content_hash"))
+    known = durable(feed.feed_versions(items.where(F.contains("description", F.lit("сервер"))))
+                    .select("tender_no", "content_hash"))
     # Every item arrives twice; one row per version survives.
     fresh = feed_ingest.new_records(items.unionByName(items), known, "feed", CLOCK)
     return fresh.select("tender_no", "organization", "category", "region",

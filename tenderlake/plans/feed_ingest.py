@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenderlake import schema, sinks
+from tenderlake.functions import dates
 from tenderlake.operators import dedup, layers
 from tenderlake.operators.ranking import row_number_by
 from tenderlake.sources import feed, files
@@ -16,10 +17,13 @@ VERSION = ["tender_no", "content_hash"]
 
 
 def new_records(items: DataFrame, ledger: DataFrame, source: str, clock) -> DataFrame:
-    """Records of the items that the ledger does not know, one per version."""
-    records = layers.with_content_hash(feed.feed_records(items, source, clock))
-    single = dedup.keep_first(records, VERSION, ["published_on", "url"])
-    return layers.not_loaded(single, ledger)
+    """Records of the items that the ledger does not know, one per version.
+
+    Only number and price are read from every item; the other fields are taken
+    from the items that turn out to be new.
+    """
+    single = dedup.keep_first(feed.feed_versions(items), VERSION, [dates.feed_date("published"), "link"])
+    return feed.feed_records(layers.not_loaded(single, ledger), source, clock, keep=("content_hash",))
 
 
 def known_versions(ledger: DataFrame, raw: DataFrame) -> DataFrame:

@@ -19,8 +19,16 @@ def read_feed(spark: SparkSession, path: str, limit: int | None = None) -> DataF
     return items if limit is None else items.orderBy("link", "title").limit(limit)
 
 
-def feed_records(items: DataFrame, source: str, clock: Column | datetime) -> DataFrame:
-    """Tender records of feed items.
+def feed_versions(items: DataFrame) -> DataFrame:
+    """Items with their tender number and content hash, which tell known items from new ones."""
+    visible = items.withColumn("__text", text.strip_tags(F.coalesce("description", F.lit(""))))
+    keyed = visible.withColumns({"tender_no": text.purchase_number("link"), "__price": text.labelled_price("__text")})
+    return keyed.withColumn("content_hash", text.content_hash("tender_no", _title(), "__price")) \
+        .drop("__text", "__price")
+
+
+def feed_records(items: DataFrame, source: str, clock: Column | datetime, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Tender records of feed items, plus item columns to ``keep``.
 
     The labelled fields come from the visible text of the description; what a
     feed does not say gets its default.
@@ -34,7 +42,7 @@ def feed_records(items: DataFrame, source: str, clock: Column | datetime) -> Dat
     return found.select(
         text.purchase_number("link").alias("tender_no"),
         text.cut_or_default("__customer", text.CUSTOMER_MAX).alias("organization"),
-        F.substring(F.coalesce("title", F.lit("")), 1, text.TITLE_MAX).alias("description"),
+        _title().alias("description"),
         text.classify("__lower").alias("category"),
         text.cut_or_default("__region", text.REGION_MAX).alias("region"),
         text.labelled_price("__text").alias("budget"),
@@ -43,4 +51,9 @@ def feed_records(items: DataFrame, source: str, clock: Column | datetime) -> Dat
         F.lit(source).alias("source"),
         F.col("link").alias("url"),
         F.col("description").alias("raw_description"),
-        (clock if isinstance(clock, Column) else F.lit(clock)).alias("loaded_at"))
+        (clock if isinstance(clock, Column) else F.lit(clock)).alias("loaded_at"),
+        *keep)
+
+
+def _title() -> Column:
+    return F.substring(F.coalesce("title", F.lit("")), 1, text.TITLE_MAX)
