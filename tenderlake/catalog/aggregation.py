@@ -125,13 +125,14 @@ def _(spark, sf_dir):
     return aggregates.distinct_counts(fx.tenders(spark, sf_dir), ["category", "region", "status", "source"])
 
 
+# Quartiles of cents fall on exact halves of a cent, so four digits are compared.
 @query("describe_budget", fx.over("dirty_tenders", body="""
-    SELECT count(budget) AS count, round(avg(budget), 2) AS mean, round(stddev_samp(budget), 2) AS std,
-           round(min(budget), 2) AS min, round(quantile_cont(budget, 0.25), 2) AS q25,
-           round(quantile_cont(budget, 0.5), 2) AS q50, round(quantile_cont(budget, 0.75), 2) AS q75,
-           round(max(budget), 2) AS max FROM dirty_tenders"""))
+    SELECT count(budget) AS count, round(avg(budget), 4) AS mean, round(stddev_samp(budget), 4) AS std,
+           round(min(budget), 4) AS min, round(quantile_cont(budget, 0.25), 4) AS q25,
+           round(quantile_cont(budget, 0.5), 4) AS q50, round(quantile_cont(budget, 0.75), 4) AS q75,
+           round(max(budget), 4) AS max FROM dirty_tenders"""))
 def _(spark, sf_dir):
-    return rounded(quantiles.describe_numeric(fx.dirty_tenders(spark, sf_dir), "budget"))
+    return rounded(quantiles.describe_numeric(fx.dirty_tenders(spark, sf_dir), "budget"), 4)
 
 
 @query("median_budget", "SELECT round(median(o_totalprice), 3) AS median FROM orders")
