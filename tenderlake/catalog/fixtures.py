@@ -83,18 +83,17 @@ def load_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every fourth tender is loaded; every eighth with other content."""
-    loaded = tenders(spark, sf_dir).where(F.col("id") % 4 == 0)
-    then = F.when(F.col("id") % 8 == 0, F.col("budget") + 1).otherwise(F.col("budget"))
+    """Two categories were loaded before, the pending tenders of them with other content."""
+    loaded = tenders(spark, sf_dir).where(F.col("category").isin("BUILDING", "MACHINERY"))
+    then = F.when(F.col("status") == "P", F.col("budget") + 1).otherwise(F.col("budget"))
     return loaded.select("tender_no", text.content_hash("tender_no", "description", then).alias("content_hash"),
                          F.col("published_at").alias("loaded_at"))
 
 
 def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Processed layer after a third of the raw rows, with one dangling row per 300."""
-    i = F.col("id")
-    return tenders(spark, sf_dir).where(i % 3 == 0).select(
-        F.when(i % 300 != 0, i).alias("raw_id"), "tender_no", "category", "region", "budget",
+    """Processed layer once the finished tenders are through; the dearest rows lost their reference."""
+    return tenders(spark, sf_dir).where("status = 'F'").select(
+        F.when(F.col("budget") <= 490_000, F.col("id")).alias("raw_id"), "tender_no", "category", "region", "budget",
         (F.col("budget") / 1_000_000).alias("budget_mln"), F.month("published_at").alias("month"),
         F.quarter("published_at").alias("quarter"))
 
@@ -164,15 +163,15 @@ SQL = {
         FROM events""",
     "ledger": """
         SELECT tender_no,
-               md5(concat(tender_no, description, CAST(CAST(CASE WHEN id % 8 = 0 THEN budget + 1 ELSE budget END
+               md5(concat(tender_no, description, CAST(CAST(CASE WHEN status = 'P' THEN budget + 1 ELSE budget END
                                                             AS decimal(20,2)) AS string))) AS content_hash,
                published_at AS loaded_at
-        FROM tenders WHERE id % 4 = 0""",
+        FROM tenders WHERE category IN ('BUILDING', 'MACHINERY')""",
     "processed": """
-        SELECT CASE WHEN id % 300 = 0 THEN NULL ELSE id END AS raw_id, tender_no, category, region, budget,
+        SELECT CASE WHEN budget > 490000 THEN NULL ELSE id END AS raw_id, tender_no, category, region, budget,
                budget / 1000000 AS budget_mln, CAST(month(published_at) AS integer) AS month,
                CAST(quarter(published_at) AS integer) AS quarter
-        FROM tenders WHERE id % 3 = 0""",
+        FROM tenders WHERE status = 'F'""",
     "procurements": """
         SELECT l_orderkey * 10 + l_linenumber AS id, category, region, organization,
                l_linestatus AS status, l_returnflag AS procurement_type, l_quantity AS quantity,

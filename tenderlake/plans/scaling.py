@@ -14,10 +14,6 @@ RESULT = ("records bigint, gen_seconds double, clean_seconds double, agg_seconds
           "total_seconds double")
 
 
-def clean_and_summarise(df: DataFrame) -> DataFrame:
-    return aggregates.category_summary(dedup.distinct_rows(cleaning.drop_missing(df)))
-
-
 def run(spark: SparkSession, sizes: Iterable[int], make: Callable[[int], DataFrame]) -> DataFrame:
     """Time generation, cleaning and aggregation per size; one row per size.
 

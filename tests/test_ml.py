@@ -84,3 +84,9 @@ def test_forecast_covers_every_day(spark, n):
 def test_volume_study_samples_are_nested(costs):
     got = {(r.share, r.is_train): r["size"] for r in models.volume_study(costs, [0.3, 1.0], "linear").collect()}
     assert got[(0.3, True)] + got[(0.3, False)] < got[(1.0, True)] + got[(1.0, False)] == 600
+
+
+def test_frequency_forest_rmse(costs):
+    rows = costs.withColumnRenamed("total_cost", "label")
+    predicted = models.frequency_forest(trees=3).fit(rows).transform(rows)
+    assert models.rmse(predicted) == pytest.approx(models.regression_metrics(predicted, "label").first().rmse)
