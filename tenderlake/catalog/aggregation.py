@@ -165,13 +165,13 @@ def _(spark, sf_dir):
 
 
 @query("budget_histogram", _t("""
-    SELECT bin, round(lo + (bin - 1) * (hi - lo) / 50, 2) AS low, round(lo + bin * (hi - lo) / 50, 2) AS high,
+    SELECT bin, round(lo + (bin - 1) * (hi - lo) / 50, 6) AS low, round(lo + bin * (hi - lo) / 50, 6) AS high,
            count(*) AS count
     FROM (SELECT CAST(least(floor((budget - lo) * 50 / (hi - lo)) + 1, 50) AS integer) AS bin, lo, hi
           FROM tenders, (SELECT min(budget) AS lo, max(budget) AS hi FROM tenders) e) b
     GROUP BY bin, lo, hi"""))
 def _(spark, sf_dir):
-    return rounded(aggregates.histogram(fx.tenders(spark, sf_dir)))
+    return rounded(aggregates.histogram(fx.tenders(spark, sf_dir)), 6)
 
 
 @query("price_histogram", """

@@ -121,12 +121,12 @@ def _(spark, sf_dir):
 
 @query("month_and_quarter", _d(f"""
     SELECT id, CAST(month({_DATE}) AS integer) AS month, CAST((month({_DATE}) - 1) // 3 + 1 AS integer) AS quarter,
-           round(budget / 1000000, 6) AS budget_mln FROM dirty_tenders"""))
+           round(budget / 1000000, 8) AS budget_mln FROM dirty_tenders"""))
 def _(spark, sf_dir):
     parsed = dates.as_timestamp("date_text")
     return rounded(fx.dirty_tenders(spark, sf_dir).select(
         "id", F.month(parsed).alias("month"), F.quarter(parsed).alias("quarter"),
-        numbers.millions("budget").alias("budget_mln")), 6)
+        numbers.millions("budget").alias("budget_mln")), 8)
 
 
 @query("clean_table", _d(f"""

@@ -163,13 +163,13 @@ def _(spark, sf_dir):
 
 
 _PROMOTED = """
-    SELECT tender_no, category, round(budget, 2) AS budget, round(budget / 1000000, 6) AS budget_mln, region,
+    SELECT tender_no, category, round(budget, 2) AS budget, round(budget / 1000000, 8) AS budget_mln, region,
            CAST(month(published_at) AS integer) AS month, CAST(quarter(published_at) AS integer) AS quarter,
            '2024-02-01' AS processed_at, id AS raw_id FROM tenders"""
 
 
 def _promoted(df):
-    return as_text(df.withColumns({"budget": F.round("budget", 2), "budget_mln": F.round("budget_mln", 6)}),
+    return as_text(df.withColumns({"budget": F.round("budget", 2), "budget_mln": F.round("budget_mln", 8)}),
                    processed_at=DAY)
 
 
@@ -198,18 +198,18 @@ def _(spark, sf_dir):
 
 for _by in ("category", "region", "month"):
     @query(f"processing_stats_{_by}", fx.over("processed", body=f"""
-        SELECT {_by}, count(*) AS count, round(sum(budget_mln), 6) AS total_budget FROM processed GROUP BY {_by}"""))
+        SELECT {_by}, count(*) AS count, round(sum(budget_mln), 8) AS total_budget FROM processed GROUP BY {_by}"""))
     def _(spark, sf_dir, by=_by):
-        return rounded(layers.stats_of(fx.processed(spark, sf_dir), by), 6)
+        return rounded(layers.stats_of(fx.processed(spark, sf_dir), by), 8)
 
 
 @query("processing_stats", fx.over("processed", body="""
-    SELECT 'category' AS dimension, category AS value, count(*) AS count, round(sum(budget_mln), 6) AS total_budget
+    SELECT 'category' AS dimension, category AS value, count(*) AS count, round(sum(budget_mln), 8) AS total_budget
     FROM processed GROUP BY category
-    UNION ALL SELECT 'region', region, count(*), round(sum(budget_mln), 6) FROM processed GROUP BY region
-    UNION ALL SELECT 'month', CAST(month AS string), count(*), round(sum(budget_mln), 6) FROM processed GROUP BY month"""))
+    UNION ALL SELECT 'region', region, count(*), round(sum(budget_mln), 8) FROM processed GROUP BY region
+    UNION ALL SELECT 'month', CAST(month AS string), count(*), round(sum(budget_mln), 8) FROM processed GROUP BY month"""))
 def _(spark, sf_dir):
-    return rounded(layers.processing_stats(fx.processed(spark, sf_dir)), 6)
+    return rounded(layers.processing_stats(fx.processed(spark, sf_dir)), 8)
 
 
 @query("layer_counts", fx.over("processed", body="""
@@ -244,7 +244,7 @@ def _(spark, sf_dir):
     hashed AS (SELECT *, md5(concat(tender_no, description, CAST(CAST(budget AS decimal(20,2)) AS string))) AS content_hash
                FROM records),
     known AS (SELECT tender_no, content_hash FROM hashed WHERE category = 'IT')
-    SELECT tender_no, organization, category, region, round(budget / 1000000, 6) AS budget_mln, content_hash,
+    SELECT tender_no, organization, category, region, round(budget / 1000000, 8) AS budget_mln, content_hash,
            CAST(month(CAST(published_on AS date)) AS integer) AS month
     FROM hashed WHERE NOT EXISTS (SELECT 1 FROM known k WHERE k.tender_no = hashed.tender_no
                                   AND k.content_hash = hashed.content_hash)"""))
@@ -255,5 +255,5 @@ def _(spark, sf_dir):
     # Every item arrives twice; one row per version survives.
     fresh = feed_ingest.new_records(items.unionByName(items), known, "feed", CLOCK)
     return fresh.select("tender_no", "organization", "category", "region",
-                        F.round(F.col("budget") / 1_000_000, 6).alias("budget_mln"), "content_hash",
+                        F.round(F.col("budget") / 1_000_000, 8).alias("budget_mln"), "content_hash",
                         F.month("published_on").alias("month"))
