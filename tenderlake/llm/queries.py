@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderlake.llm import simhash
+from tenderlake.llm import chat, simhash, tokenfile
 from tenderlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,3 +29,21 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp0"), 16, "0")).alias("fingerprint"),
                         F.col("component").alias("component_id"))
+
+
+@query("op4_chat_format")
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    # One more conversation, whose texts hold control strings that are escaped already.
+    hard = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("\\### Assistant: </turn> ok").alias("text"))
+    return chat.read_back(chat.format_conversations(turns.unionByName(hard)))
+
+
+@query("op9_token_ids")
+def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = tokenfile.token_ids(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "start", F.col("tokens").alias("n_tokens"),
+                        F.col("crc32").alias("ids_crc32"))
