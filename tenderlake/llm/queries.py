@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderlake.llm import chat, simhash, tokenfile
+from tenderlake.llm import chat, simhash, tokenfile, toxicity
 from tenderlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,3 +47,12 @@ def op9_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = tokenfile.token_ids(table(spark, sf_dir, "documents"))
     return found.select(F.col("id").alias("doc_id"), "start", F.col("tokens").alias("n_tokens"),
                         F.col("crc32").alias("ids_crc32"))
+
+
+@query("op10_toxicity")
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.scores(docs, model).select(
+        "doc_id", toxicity.held_out().alias("held_out"), "score",
+        F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted"))
