@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderlake.llm import chat, embeddings, simhash, tokenfile, toxicity
+from tenderlake.llm import chat, embeddings, packing, quality, simhash, tokenfile, toxicity
 from tenderlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +62,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = embeddings.near_duplicates(table(spark, sf_dir, "embeddings"))
     return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
+
+
+@query("op2_quality_resample")
+def op2_quality_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows drawn; as many as target rows among the labelled ones."""
+    return quality.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op6_packing")
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
