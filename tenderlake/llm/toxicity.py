@@ -20,8 +20,9 @@ from pyspark.sql import types as T
 from tenderlake.llm import hashing
 from tenderlake.llm.common import binary_text, text_batches, text_bytes
 
-BUCKETS = 1 << 17
-GRAMS = (3, 4, 5, 6)
+BITS = 16
+BUCKETS = 1 << BITS
+GRAMS = (3, 4, 5)
 #: Zero rows counted into every mean, so that a few n-grams of a very short text do not decide alone.
 DAMPING = 200
 #: Bytes of a text hashed in one pass.
@@ -32,8 +33,8 @@ PIECE = 1 << 18
 class Training:
     """Settings of the fit. Rows of each class are bounded; they are those of the smallest hashed ids."""
 
-    max_toxic: int = 2000
-    max_clean: int = 4000
+    max_toxic: int = 1500
+    max_clean: int = 3500
     dimensions: int = 4
     epochs: int = 8
     batch: int = 64
@@ -64,20 +65,23 @@ def buckets(text: bytes) -> Iterator[np.ndarray]:
                 last = len(part) - n + 1
                 inner = before[n - 1:n - 1 + last] == before[1:1 + last]  # no space inside the gram
                 found.append(hashing.windows(sums, n)[inner])
-        yield (hashing.mixed(np.concatenate(found)) >> np.uint64(64 - 17)).astype(np.int64)
+        yield (hashing.mixed(np.concatenate(found)) >> np.uint64(64 - BITS)).astype(np.int64)
         at = stop
 
 
 def bag(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct buckets of a text and their shares."""
-    counts = None
+    """Distinct buckets of a text and how often each occurs."""
+    counts = np.zeros(BUCKETS, np.int64)
     for found in buckets(text):
-        more = np.bincount(found, minlength=BUCKETS)
-        counts = more if counts is None else counts + more
-    if counts is None:
-        return np.empty(0, np.int32), np.empty(0, np.float32)
+        counts += np.bincount(found, minlength=BUCKETS)
     own = np.flatnonzero(counts)
-    return own.astype(np.int32), (counts[own] / (counts[own].sum() + DAMPING)).astype(np.float32)
+    return own.astype(np.uint16), counts[own].astype(np.uint32)
+
+
+def damped(counts: np.ndarray) -> np.ndarray:
+    """Share of each bucket in the mean. Repeats count by their logarithm: a line repeated over and over says it once."""
+    weight = np.log1p(counts)
+    return weight / (weight.sum() + DAMPING)
 
 
 @dataclass
@@ -88,11 +92,8 @@ class Model:
     bias: float
 
     def score(self, text: bytes) -> float:
-        total, n = 0.0, 0
-        for found in buckets(text):
-            total += float(self.weights[found].sum(dtype=np.float64))
-            n += len(found)
-        odds = self.bias + total / (n + DAMPING)
+        own, counts = bag(text)
+        odds = self.bias + float(self.weights[own] @ damped(counts))
         return float(1 / (1 + np.exp(-np.clip(odds, -700, 700))))
 
 
@@ -112,15 +113,16 @@ def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, options
     batches = []
     for at in range(0, len(order), options.batch):
         own = order[at:at + options.batch]
-        rows = np.concatenate([bags[k][0] for k in own])
-        used, place = np.unique(rows, return_inverse=True)
-        batches.append((own, used, place.astype(np.int32), np.concatenate([bags[k][1] for k in own]),
-                        np.repeat(np.arange(len(own)), [len(bags[k][0]) for k in own])))
+        used, place = np.unique(np.concatenate([bags[k][0] for k in own]), return_inverse=True)
+        batches.append((own, used.astype(np.int32), place.astype(np.uint16)))
     pull = np.where(labels == 1, 1.0, options.clean_weight)[:, None]
     target = np.eye(2, dtype=np.float32)[labels]
     for _ in range(options.epochs):
         for b in rng.permutation(len(batches)):
-            own, used, place, weight, row = batches[b]
+            own, used, place = batches[b]
+            place = place.astype(np.int64)
+            row = np.repeat(np.arange(len(own)), [len(bags[k][0]) for k in own])
+            weight = np.concatenate([damped(bags[k][1]) for k in own])
             inner, size = table[used], len(own)
             mean = np.stack([np.bincount(row, weight * inner[place, d], size) for d in range(options.dimensions)], 1)
             logits = options.gain * mean @ layer + bias
@@ -165,14 +167,14 @@ def fit(docs: DataFrame, labels: DataFrame, options: Training = Training()) -> M
             found = [bag(t) for t in text_bytes(batch.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(2), pa.array([a.tobytes() for a, _ in found], pa.binary()),
-                 pa.array([b.tobytes() for _, b in found], pa.binary())], ["doc_id", "toxic", "places", "shares"])
+                 pa.array([b.tobytes() for _, b in found], pa.binary())], ["doc_id", "toxic", "places", "counts"])
 
     texts = docs.select("doc_id", binary_text().alias("text"))
     rows = texts.join(F.broadcast(chosen), "doc_id").mapInArrow(
-        bags, "doc_id long, toxic int, places binary, shares binary").toArrow()
+        bags, "doc_id long, toxic int, places binary, counts binary").toArrow()
     rows = rows.sort_by([("doc_id", "ascending"), ("toxic", "ascending"), ("places", "ascending")])
     read = lambda name, kind: [np.frombuffer(x.as_buffer(), kind) for x in rows.column(name)]
-    return train(list(zip(read("places", np.int32), read("shares", np.float32))),
+    return train(list(zip(read("places", np.uint16), read("counts", np.uint32))),
                  rows.column("toxic").to_numpy().astype(np.int64), options)
 
 
