@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderlake.llm import chat, decontamination, embeddings, packing, quality, simhash, tokenfile, toxicity
+from tenderlake.llm import chat, decontamination, embeddings, packing, quality, revisits, simhash, tokenfile, toxicity
 from tenderlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -80,3 +80,66 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_hit", "n_items",
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+#: Captures made from ``pages``: a full response of each page, and a later visit answered "not modified", by another
+#: spelling of the URL. Some visits come too early, bring another tag, or none. Text that Spark and DuckDB both read.
+CAPTURES = """
+SELECT 2 * page_id AS record_id, 'response' AS record_type, url, 1700000000 + 60 * page_id AS seconds,
+       concat('HTTP/1.1 200 OK', chr(10), 'ETag: "', substr(md5(html), 1, 12), '"', chr(10), 'Content-Type: text/html',
+              chr(10), 'Cache-Control: max-age=', CAST(page_id % 100 AS string)) AS headers,
+       html AS payload
+FROM pages
+UNION ALL
+SELECT 2 * page_id + 1, 'revisit',
+       CASE page_id % 4 WHEN 0 THEN url WHEN 1 THEN concat(url, '#part') WHEN 2 THEN replace(url, 'https://', 'HTTP://')
+            ELSE concat(url, CASE WHEN url LIKE '%?%' THEN '&' ELSE '?' END, 'utm_medium=x') END,
+       1700000000 + 60 * page_id + 86400 * (page_id % 3),
+       concat('HTTP/1.1 304 Not Modified', chr(10),
+              CASE WHEN page_id % 11 = 0 THEN '' WHEN page_id % 5 = 0 THEN concat('etag: "none"', chr(10))
+                   ELSE concat('etag: W/"', substr(md5(html), 1, 12), '"', chr(10)) END,
+              'Cache-Control: no-cache', chr(10), 'Content-Length: 0'),
+       NULL
+FROM pages"""
+
+OP8_SQL = f"""
+WITH captures AS ({CAPTURES}),
+bare AS (SELECT *, regexp_replace(url, '#.*$', '') AS b FROM captures),
+parts AS (SELECT *,
+    regexp_replace(regexp_replace(lower(regexp_extract(b, '^[A-Za-z][A-Za-z0-9+.-]*://([^/?]*)', 1)), '^www\\.', ''),
+                   ':(80|443)$', '') AS host,
+    regexp_replace(regexp_extract(b, '^[^:]+://[^/?]*([^?]*)', 1), '/+$', '') AS path,
+    list_sort(list_filter(string_split(regexp_extract(b, '\\?(.*)$', 1), '&'),
+                          lambda p: p <> '' AND NOT starts_with(p, 'utm_'))) AS params FROM bare),
+named AS (SELECT record_id, record_type, seconds, payload, headers,
+    concat(host, path, CASE WHEN len(params) > 0 THEN concat('?', array_to_string(params, '&')) ELSE '' END) AS url,
+    regexp_extract(headers, '[eE][tT]ag: (W/)?("[^"]*")', 2) AS tag,
+    regexp_extract(headers, 'Cache-Control: ([^\n]*)', 1) AS cache,
+    regexp_extract(headers, '[eE][tT]ag: ([^\n]*)', 1) AS given FROM parts),
+paired AS (SELECT v.*, max(CASE WHEN r.seconds IS NULL THEN NULL ELSE (r.seconds, r.record_id) END) AS latest
+    FROM named v LEFT JOIN named r ON r.record_type = 'response' AND r.url = v.url AND r.seconds < v.seconds
+         AND v.record_type = 'revisit'
+    GROUP BY ALL),
+judged AS (SELECT p.*, s.record_id AS found, s.tag AS source_tag, s.payload AS source_payload,
+    CASE WHEN p.record_type = 'response' THEN 'full' WHEN s.record_id IS NULL THEN 'unmatched'
+         WHEN p.tag = '' THEN 'unvalidated' WHEN p.tag = s.tag THEN 'resolved' ELSE 'changed' END AS outcome
+    FROM paired p LEFT JOIN named s ON s.record_id = p.latest[2] AND s.record_type = 'response')
+SELECT record_id, record_type, url AS canonical_url, outcome,
+       CASE WHEN outcome = 'full' THEN record_id ELSE found END AS source_id,
+       CASE outcome WHEN 'full' THEN concat('etag=', given, ';content-type=text/html;cache-control=', cache)
+            WHEN 'resolved' THEN concat('content-type=text/html;etag=', given, ';cache-control=', cache)
+            ELSE concat(CASE WHEN given = '' THEN '' ELSE concat('etag=', given, ';') END, 'cache-control=', cache,
+                        ';content-length=0') END AS fields,
+       sha256(CASE outcome WHEN 'full' THEN payload WHEN 'resolved' THEN source_payload END) AS payload_sha256
+FROM judged"""
+
+
+@query("op8_revisits", OP8_SQL)
+def op8_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    captures = spark.sql(CAPTURES.replace("FROM pages", "FROM {pages}"), pages=table(spark, sf_dir, "pages"))
+    records = captures.select("record_id", "record_type", "url", F.timestamp_seconds("seconds").alias("date"), "headers",
+                              F.sha2("payload", 256).alias("payload_sha256"))
+    found = revisits.resolve(records, carry=("payload_sha256",))
+    fields = F.array_join(F.transform("fields", lambda h: F.concat(h["name"], F.lit("="), h["value"])), ";")
+    return found.select("record_id", "record_type", "canonical_url", "outcome", "source_id", fields.alias("fields"),
+                        "payload_sha256")
