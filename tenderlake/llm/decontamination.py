@@ -72,22 +72,25 @@ def _occurrences(docs: DataFrame, shingles: DataFrame, sizes: list[int]) -> Data
     return found.join(wanted, ["shingle", "size"])
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    return F.xxhash64(F.col(id_col), F.col(text_col))
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, id_col: str = "doc_id") -> DataFrame:
-    """For every row: id, n_words, n_hit, n_items, items (sorted as strings), contaminated.
+    """For every row: key (of ``row_key``), id, n_words, n_hit, n_items, items (sorted as strings), contaminated.
 
     A word inside any occurrence of a window is hit. items are those with an
     occurring window. Texts are read twice: for their shingles, and for the
     word by word check. Rows are told apart by id and text, so repeated rows
     give repeated results and null ids are no obstacle.
     """
-    key = F.xxhash64(F.col(id_col), F.col("text"))
-    keyed = docs.select(F.col(id_col).alias("id"), F.col("text"), key.alias("key"))
+    keyed = docs.select(F.col(id_col).alias("id"), F.col("text"), row_key(id_col, "text").alias("key"))
     cut, items = windows(benchmark, width)
     shingles = stored(_window_shingles(cut), "window-shingles")
     sizes = [r["size"] for r in shingles.select("size").distinct().collect()]  # three at most
     if not sizes:
         none = F.array().cast("array<string>")
-        return keyed.select("id", F.size(words()).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"),
+        return keyed.select("key", "id", F.size(words()).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"),
                             F.lit(0).cast("long").alias("n_items"), none.alias("items"),
                             F.lit(False).alias("contaminated"))
 
@@ -119,5 +122,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, id_col
         F.sort_array(F.collect_list("item")).alias("items"))
     names = F.coalesce("items", F.array().cast("array<string>"))
     return result.join(stored(of_key, "doc-items"), "key", "left").select(
-        "id", "n_words", "n_hit", F.size(names).cast("long").alias("n_items"), names.alias("items"),
+        "key", "id", "n_words", "n_hit", F.size(names).cast("long").alias("n_items"), names.alias("items"),
         (F.col("n_hit") > 0).alias("contaminated"))

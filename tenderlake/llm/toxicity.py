@@ -178,18 +178,18 @@ def fit(docs: DataFrame, labels: DataFrame, options: Training = Training()) -> M
                  rows.column("toxic").to_numpy().astype(np.int64), options)
 
 
-def scores(docs: DataFrame, model: Model) -> DataFrame:
-    """Every row of ``docs`` with ``score``, the chance of label 1; only the text is looked at.
+def scores(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """Every row of ``docs`` with its score, the chance of label 1, as column ``name``; only the text is looked at.
 
     Null and empty texts get the score of the bias. The model is one float for
-    each bucket, whatever the corpus. An existing column ``score`` is replaced.
+    each bucket, whatever the corpus. An existing column ``name`` is replaced.
     """
-    given = docs.drop("score")
+    given = docs.drop(name)
     text = given.schema.fieldNames().index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_batches(batches):
             found = pa.array([model.score(t) for t in text_bytes(batch.column(text))], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], [*batch.schema.names, name])
 
-    return given.mapInArrow(run, T.StructType([*given.schema.fields, T.StructField("score", T.DoubleType())]))
+    return given.mapInArrow(run, T.StructType([*given.schema.fields, T.StructField(name, T.DoubleType())]))

@@ -33,7 +33,7 @@ def brute(docs, items, width=10):
 def run(spark, docs, items):
     d = spark.createDataFrame([(*r, None, 1) for r in docs], KIND).repartition(4)
     b = spark.createDataFrame([(None, t, i, 2) for i, t in items], KIND)
-    return sorted((tuple(r[:4]) + (tuple(r[4]), r[5]) for r in decontamination.contamination(d, b).collect()), key=repr)
+    return sorted((tuple(r[1:5]) + (tuple(r[5]), r[6]) for r in decontamination.contamination(d, b).collect()), key=repr)
 
 
 def test_against_brute_force(spark):
