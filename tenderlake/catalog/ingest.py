@@ -4,12 +4,13 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
+from tenderlake import schema
 from tenderlake.catalog import fixtures as fx
 from tenderlake.catalog.registry import DAY, as_text, query, rounded
 from tenderlake.functions import dates, text
 from tenderlake.operators import layers
 from tenderlake.plans import feed_ingest
-from tenderlake.session import durable
+from tenderlake.session import durable, scratch_path
 from tenderlake.sources import feed, files
 
 CLOCK = datetime(2024, 2, 1, 12, 0)
@@ -37,7 +38,7 @@ def _f(body: str) -> str:
 
 @query("feed_records", _f(_RECORDS))
 def _(spark, sf_dir):
-    records = feed.feed_records(fx.feed_items(spark, sf_dir), "feed", CLOCK)
+    records = feed.feed_records(fx.feed_items(spark, sf_dir), "feed", CLOCK, cut=True)
     return as_text(rounded(records.select(_FIELDS)), published_on=DAY)
 
 
@@ -73,26 +74,30 @@ def _(spark, sf_dir):
 
 
 @query("feed_numbers", _f("""
-    SELECT item_id, concat('44-', CAST(item_id AS string)) AS tender_no, concat('44-', md5(title)) AS fallback_no
+    SELECT item_id, concat('44-', CAST(item_id AS string)) AS tender_no, concat('44-', md5(title)) AS fallback_no,
+           concat('44-', md5(concat(title, chr(31), published, chr(31), CAST(item_id AS string)))) AS linkless_no
     FROM feed_items"""))
 def _(spark, sf_dir):
     return fx.feed_items(spark, sf_dir).select("item_id", text.purchase_number("link").alias("tender_no"),
-                                               text.purchase_number("title").alias("fallback_no"))
+                                               text.purchase_number("title").alias("fallback_no"),
+                                               text.purchase_number(F.lit(""), "title", "published",
+                                                                    F.col("item_id").cast("string")).alias("linkless_no"))
 
 
 @query("feed_xml_scan", _f("SELECT title, link, published, description FROM feed_items"))
 def _(spark, sf_dir):
-    from tenderlake.session import scratch_path
-
     path = scratch_path(spark, "feed")
     fx.feed_items(spark, sf_dir).select("title", "link", "published", "description").write \
         .format("xml").option("rootTag", "channel").option("rowTag", feed.ITEM_TAG).save(path)
-    return feed.read_feed(spark, path)
+    return feed.read_feed(spark, path).drop("faulty")
 
 
-@query("feed_first_items", _f("SELECT link, title FROM feed_items ORDER BY link, title LIMIT 100"))
+@query("feed_first_items", _f("""
+    SELECT link, title FROM feed_items ORDER BY
+      coalesce(try_strptime(substr(published, 6, 20), '%d %b %Y %H:%M:%S'), try_strptime(published, '%Y-%m-%dT%H:%M:%S'),
+               try_strptime(published, '%Y-%m-%d'))::date DESC NULLS LAST, link, title LIMIT 100"""))
 def _(spark, sf_dir):
-    return fx.feed_items(spark, sf_dir).orderBy("link", "title").limit(100).select("link", "title")
+    return feed.newest(fx.feed_items(spark, sf_dir), 100).select("link", "title")
 
 
 @query("union_feeds", _f("""
@@ -257,3 +262,33 @@ def _(spark, sf_dir):
     return fresh.select("tender_no", "organization", "category", "region",
                         F.round(F.col("budget") / 1_000_000, 8).alias("budget_mln"), "content_hash",
                         F.month("published_on").alias("month"))
+
+
+@query("feed_loads", fx.over("feed_items", body="""
+    SELECT 'first' AS run, count(*) FILTER (WHERE item_id % 2 = 0) AS loaded,
+           count(*) FILTER (WHERE item_id % 6 = 0) AS duplicate, count(*) FILTER (WHERE item_id % 10 = 0) AS error,
+           count(*) FILTER (WHERE item_id % 2 = 0) AS processed FROM feed_items
+    UNION ALL
+    SELECT 'second', count(*) FILTER (WHERE item_id % 2 = 1),
+           count(*) FILTER (WHERE item_id % 2 = 0) + count(*) FILTER (WHERE item_id % 6 = 0),
+           count(*) FILTER (WHERE item_id % 10 = 0), count(*) FILTER (WHERE item_id % 2 = 1) FROM feed_items
+    UNION ALL SELECT 'lake', count(*), count(*), 0, count(*) FROM feed_items"""))
+def _(spark, sf_dir):
+    """The whole job, twice: half of the items with copies and malformed ones, then the others too."""
+    root = scratch_path(spark, "feed-loads")
+    escaped = lambda c: F.replace(F.replace(F.col(c), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+    fields = [F.concat(F.lit(f"<{c}>"), escaped(c), F.lit(f"</{c}>")) for c in ("title", "link", "published", "description")]
+    items = fx.feed_items(spark, sf_dir).select("item_id", F.concat(F.lit("<item>"), *fields, F.lit("</item>")).alias("value"))
+    even = items.where("item_id % 2 = 0")
+    faulty = items.where("item_id % 10 = 0").select("item_id", F.lit("<item><title>cut off</item>").alias("value"))
+    land = even.unionByName(items.where("item_id % 6 = 0")).unionByName(faulty)
+    land.select("value").write.text(f"{root}/feed/a")
+    outcomes = [("first", feed_ingest.run(spark, f"{root}/feed/*", f"{root}/lake", "feed", CLOCK, "r1"))]
+    items.where("item_id % 2 = 1").select("value").write.text(f"{root}/feed/b")
+    outcomes.append(("second", feed_ingest.run(spark, f"{root}/feed/*", f"{root}/lake", "feed", CLOCK, "r2")))
+    counts = {name: files.read_layer(spark, f"{root}/lake/{name}", record).count() for name, record in
+              (("raw", schema.RAW_LAYER), ("ledger", schema.LEDGER), ("processed", schema.PROCESSED_LAYER))}
+    outcomes.append(("lake", {"loaded": counts["raw"], "duplicate": counts["ledger"], "error": 0,
+                              "processed": counts["processed"]}))
+    return spark.createDataFrame([(run, *(o[k] for k in ("loaded", "duplicate", "error", "processed"))) for run, o in outcomes],
+                                 "run string, loaded long, duplicate long, error long, processed long")

@@ -232,10 +232,10 @@ def _(spark, sf_dir):
     SELECT term, round(ln((1 + (SELECT count(*) FROM texts)) / (1 + docs)) + 1, 6) AS idf
     FROM (SELECT term, sum(n) AS total, count(*) AS docs
           FROM (SELECT id, term, count(*) AS n FROM grams GROUP BY id, term) d
-          GROUP BY term ORDER BY total DESC, term LIMIT 300) v"""))
+          GROUP BY term ORDER BY total DESC, term LIMIT 5000) v"""))
 def _(spark, sf_dir):
     counts, documents = _counts(spark, sf_dir)
-    return rounded(similarity.vocabulary(similarity.term_totals(counts), documents, 300), 6)
+    return rounded(similarity.vocabulary(similarity.term_totals(counts), documents, similarity.MAX_TERMS), 6)
 
 
 @query("newest_corpus", _t("""
@@ -251,8 +251,7 @@ def _(spark, sf_dir):
            round(coalesce(sum(budget), 0), 2) AS total_budget, round(coalesce(min(budget), 0), 2) AS min_budget,
            round(coalesce(max(budget), 0), 2) AS max_budget, count(DISTINCT category) AS categories,
            count(DISTINCT region) AS regions
-    FROM (SELECT * FROM tenders WHERE contains(lower(description), 'urgent') AND lower(status) = 'f' AND budget <= 300000
-          ORDER BY id LIMIT 500) hits"""))
+    FROM (SELECT * FROM tenders WHERE contains(lower(description), 'urgent') AND lower(status) = 'f' AND budget <= 300000) hits"""))
 def _(spark, sf_dir):
     page = search_page.page(fx.tenders(spark, sf_dir), query="urgent", status="F", max_budget=300_000.0, limit=500)
     return rounded(page["statistics"])
@@ -260,6 +259,6 @@ def _(spark, sf_dir):
 
 @query("search_page_categories", _t("""
     SELECT category, count(*) AS count
-    FROM (SELECT * FROM tenders WHERE lower(status) = 'f' ORDER BY id LIMIT 500) hits GROUP BY category"""))
+    FROM (SELECT * FROM tenders WHERE lower(status) = 'f') hits GROUP BY category"""))
 def _(spark, sf_dir):
     return search_page.page(fx.tenders(spark, sf_dir), status="F", limit=500)["by_category"]

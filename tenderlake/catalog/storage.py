@@ -1,7 +1,7 @@
 """Round trips through files, tables and layers."""
 
 import uuid
-from datetime import date, datetime
+from datetime import datetime
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -10,9 +10,9 @@ from tenderlake import schema, sinks
 from tenderlake.catalog import fixtures as fx
 from tenderlake.catalog.registry import DAY, as_text, query, rounded
 from tenderlake.operators import aggregates, layers, layout
-from tenderlake.plans import batch_etl, scaling
+from tenderlake.plans import batch_etl
 from tenderlake.session import scratch_path
-from tenderlake.sources import files, synthetic, tables
+from tenderlake.sources import files, tables
 
 CLOCK = datetime(2024, 2, 1, 12, 0)
 _FLAT = "id bigint, tender_no string, category string, region string, budget double, published_on string"
@@ -71,13 +71,14 @@ def _(spark, sf_dir):
                                                                  F.sum("budget").alias("total_budget")))
 
 
-@query("csv_upload", _t("SELECT tender_no, organization, category, region, budget FROM tenders"))
+@query("csv_upload", _t("""
+    SELECT lpad(CAST(id AS string), 12, '0') AS tender_no, organization, category, region, budget FROM tenders"""))
 def _(spark, sf_dir):
     path = scratch_path(spark, "upload")
-    # The first header cell carries a byte-order mark, as spreadsheet exports do.
-    marked = fx.tenders(spark, sf_dir).select(F.col("tender_no").alias("﻿tender_no"), "organization", "category",
-                                              "region", "budget")
-    return files.read_upload(spark, sinks.write_csv(marked, path))
+    # Numbers with leading zeros are names, not integers.
+    rows = fx.tenders(spark, sf_dir).select(F.lpad(F.col("id").cast("string"), 12, "0").alias("tender_no"), "organization",
+                                            "category", "region", "budget")
+    return files.read_upload(spark, sinks.write_csv(rows, path, byte_order_mark=True))
 
 
 @query("table_scan_fallback", _t("""
@@ -135,21 +136,6 @@ def _(spark, sf_dir):
                    published_at=DAY)
 
 
-@query("synthetic_tenders", """
-    SELECT o_orderkey AS id, concat('44-', lpad(CAST(1000000 + o_orderkey AS string), 7, '0')) AS tender_no,
-           concat('Org_', CAST(o_orderkey % 100 AS string)) AS organization,
-           concat('Закупка тип ', CAST(o_orderkey % 10 AS string)) AS description,
-           (['Медицина', 'Транспорт', 'Строительство', 'Энергетика', 'IT', 'Образование', 'Жилье', 'Благоустройство'])[CAST(o_orderkey % 8 + 1 AS integer)] AS category,
-           (['Москва', 'СПб', 'Екатеринбург', 'Новосибирск', 'Казань', 'Краснодар'])[CAST(o_orderkey % 6 + 1 AS integer)] AS region,
-           (['Объявлена', 'Закрыта', 'В работе', 'Отменена'])[CAST(o_orderkey % 4 + 1 AS integer)] AS status,
-           strftime(DATE '2024-12-31' - CAST(o_orderkey % 365 AS integer), '%Y-%m-%d') AS published_on,
-           true AS positive_budget
-    FROM orders""")
-def _(spark, sf_dir):
-    made = synthetic.tenders_of(fx.table(spark, sf_dir, "orders"), "o_orderkey", date(2024, 12, 31))
-    return as_text(made.withColumn("positive_budget", F.col("budget") > 0).drop("budget"), published_on=DAY)
-
-
 @query("parquet_write_modes", _t("""
     SELECT category, 2 * count(*) AS n FROM tenders GROUP BY category"""))
 def _(spark, sf_dir):
@@ -196,11 +182,13 @@ def _(spark, sf_dir):
 
 
 @query("csv_export", _t("""
-    SELECT status, count(*) AS count, round(sum(budget), 2) AS total_budget FROM tenders GROUP BY status"""))
+    SELECT status, count(*) AS count, round(sum(budget), 2) AS total_budget, true AS marked FROM tenders GROUP BY status"""))
 def _(spark, sf_dir):
     grouped = rounded(aggregates.stats_by(fx.tenders(spark, sf_dir), ["status"], "budget", ["sum"], "budget"))
-    path = sinks.write_csv(grouped, scratch_path(spark, "export"))
-    return files.read_csv(spark, path, "status string, count bigint, total_budget double")
+    path = sinks.write_csv(grouped, scratch_path(spark, "export"), byte_order_mark=True)
+    files_ = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
+    marked = files_.agg(F.bool_and(F.startswith("content", F.lit(b"\xef\xbb\xbf"))).alias("marked")).scalar()
+    return files.read_csv(spark, path, "status string, count bigint, total_budget double").withColumn("marked", marked)
 
 
 @query("results_export", _t("""
@@ -247,19 +235,3 @@ def _(spark, sf_dir):
     source = sinks.write_csv(batch_etl.as_etl_frame(fx.tenders(spark, sf_dir)), f"{root}/in.csv")
     stored = batch_etl.run(spark, source, f"{root}/lake", "r1", schema=record)
     return rounded(files.read_parquet(spark, stored["aggregated"]).drop("run_id"))
-
-
-@query("scaling_study", """
-    SELECT k * (SELECT count(*) FROM orders) AS records, true AS consistent FROM (SELECT unnest([1, 2, 4]) AS k) s""")
-def _(spark, sf_dir):
-    ids = fx.table(spark, sf_dir, "orders").select("o_orderkey")
-    rows = ids.count()
-
-    def make(size):
-        copies = ids.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(size // rows - 1))))
-        return synthetic.tenders_of(copies.select((F.col("o_orderkey") * 4 + F.col("copy")).alias("k")), "k",
-                                    date(2024, 12, 31))
-
-    results = scaling.run(spark, [rows, 2 * rows, 4 * rows], make)
-    rate = F.abs(F.col("rows_per_second") * F.col("total_seconds") / F.col("records") - 1)
-    return results.select("records", (rate < 1e-9).alias("consistent"))

@@ -29,25 +29,28 @@ def _tender_stream(spark, sf_dir):
     SELECT tender_no, category, strftime(published_at, '%Y-%m-%d') AS published_at FROM tenders"""))
 def _(spark, sf_dir):
     root = scratch_path(spark, "stream")
-    rows = loads.distinct_loads(_tender_stream(spark, sf_dir), ["tender_no"], "published_at", "3650 days")
+    rows = loads.distinct_loads(_tender_stream(spark, sf_dir), ["tender_no"])
     stored = loads.drain(rows.select("tender_no", "category", "published_at"), f"{root}/out", f"{root}/state")
     return as_text(stored, published_at=DAY)
 
 
 @query("stream_ledger_loads", fx.over("tenders", body="""
     SELECT 'raw' AS layer, category, count(*) AS n FROM tenders GROUP BY category
-    UNION ALL SELECT 'ledger', '', count(*) FROM tenders"""))
+    UNION ALL SELECT 'ledger', '', count(*) FROM tenders
+    UNION ALL SELECT 'second run', '', 0"""))
 def _(spark, sf_dir):
     root = scratch_path(spark, "stream")
-    loader = loads.ledger_loader(f"{root}/raw", f"{root}/ledger", "feed", CLOCK)
-    # Two runs over the same files: the second finds everything in the ledger.
-    for state in ("state_1", "state_2"):
-        loads.drain_batches(_tender_stream(spark, sf_dir), loader if state == "state_1" else
-                            loads.ledger_loader(f"{root}/raw2", f"{root}/ledger", "feed", CLOCK), f"{root}/{state}")
-    raw = files.read_layer(spark, f"{root}/raw", schema.RAW_LAYER).groupBy("category").agg(F.count(F.lit(1)).alias("n"))
-    entries = files.read_layer(spark, f"{root}/ledger", schema.LEDGER).agg(F.count(F.lit(1)).alias("n"))
-    return raw.select(F.lit("raw").alias("layer"), "category", "n").unionByName(
-        entries.select(F.lit("ledger").alias("layer"), F.lit("").alias("category"), "n"))
+    # Two streams on one raw folder, of one feed: the second finds everything in the ledger.
+    for stream_id in ("first", "second"):
+        loads.drain_batches(_tender_stream(spark, sf_dir), loads.ledger_loader(
+            f"{root}/raw", f"{root}/ledger", "feed", CLOCK, stream_id), f"{root}/{stream_id}")
+    raw = files.read_layer(spark, f"{root}/raw", schema.RAW_LAYER)
+    entries = files.read_layer(spark, f"{root}/ledger", schema.LEDGER)
+    counted = raw.groupBy("category").agg(F.count(F.lit(1)).alias("n")).select(F.lit("raw").alias("layer"), "category", "n")
+    for name, rows in (("ledger", entries), ("second run", raw.where(F.startswith("run_id", F.lit("feed-second-"))))):
+        counted = counted.unionByName(rows.agg(F.count(F.lit(1)).alias("n")).select(
+            F.lit(name).alias("layer"), F.lit("").alias("category"), "n"))
+    return counted
 
 
 @query("stream_promote", fx.over("tenders", body="""
@@ -61,14 +64,12 @@ def _(spark, sf_dir):
                    processed_at=DAY)
 
 
-# Closed windows only: an append stream holds back what the watermark has not passed.
 @query("stream_windowed_loads", """
     SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, strftime(w + INTERVAL 1 HOUR, '%Y-%m-%d %H:%M:%S') AS window_end,
            event_type, count(*) AS loads
-    FROM (SELECT date_trunc('hour', ts) AS w, event_type FROM events) e
-    WHERE w + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR GROUP BY w, event_type""")
+    FROM (SELECT date_trunc('hour', ts) AS w, event_type FROM events) e GROUP BY w, event_type""")
 def _(spark, sf_dir):
     root = scratch_path(spark, "stream")
     events = _stream(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    stored = loads.drain(loads.windowed_loads(events, "ts", "event_type"), f"{root}/out", f"{root}/state")
-    return as_text(stored, window_start=SECOND, window_end=SECOND)
+    loads.drain_batches(events, loads.window_counter(f"{root}/out", "events", "ts", "event_type"), f"{root}/state")
+    return as_text(loads.windowed_loads(spark, f"{root}/out", "event_type"), window_start=SECOND, window_end=SECOND)

@@ -8,6 +8,8 @@ from tenderlake.catalog import fixtures as fx
 from tenderlake.catalog.registry import DAY, SECOND, as_text, query, rounded
 from tenderlake.operators import filters, layers, trends
 from tenderlake.plans import trend_report
+from tenderlake.session import scratch_path
+from tenderlake.sources import files
 
 
 def _t(body: str) -> str:
@@ -160,4 +162,6 @@ def _(spark, sf_dir):
     lines = fx.table(spark, sf_dir, "events").select(F.concat(
         F.date_format("ts", SECOND), F.lit(" - loader - "), level, F.lit(" - event "),
         F.col("event_id").cast("string")).alias("value"))
-    return trends.log_lines(lines, "ERROR", 50)
+    path = scratch_path(spark, "logs")
+    lines.write.text(path)
+    return trends.log_lines(files.read_log(spark, path), "ERROR", 50)

@@ -60,14 +60,18 @@ def labelled_text(text, label: str) -> Column:
     return F.trim(F.regexp_extract(_c(text), rf"(?U){label}:\s*([^\n<]+)", 1))
 
 
-def cut_or_default(found, max_length: int, default: str = UNKNOWN) -> Column:
-    """The text cut to a length; the default for an empty or missing one."""
-    found = _c(found)
-    return F.when(found != "", F.substring(found, 1, max_length)).otherwise(F.lit(default))
+def cut(found, max_length: int | None) -> Column:
+    """The text, cut only where a length is given."""
+    return _c(found) if max_length is None else F.substring(_c(found), 1, max_length)
 
 
-def labelled_value(text, label: str, max_length: int, default: str = UNKNOWN) -> Column:
-    return cut_or_default(labelled_text(text, label), max_length, default)
+def text_or_default(found, max_length: int | None = None, default: str = UNKNOWN) -> Column:
+    """The text, or the default for an empty or missing one."""
+    return F.when(_c(found) != "", cut(found, max_length)).otherwise(F.lit(default))
+
+
+def labelled_value(text, label: str, max_length: int | None = None, default: str = UNKNOWN) -> Column:
+    return text_or_default(labelled_text(text, label), max_length, default)
 
 
 def labelled_price(text) -> Column:
@@ -86,11 +90,15 @@ def classify(lowered, keywords: dict[str, list[str]] = CATEGORY_KEYWORDS, defaul
     return branches.otherwise(F.lit(default))
 
 
-def purchase_number(link) -> Column:
-    """Tender number from the link; a link without one is named by its own hash."""
-    link = _c(link)
+def purchase_number(link, *others) -> Column:
+    """Tender number from the link; a link without one is named by its own hash.
+
+    An item without a link is named by the hash of its ``others``.
+    """
+    link = F.nullif(_c(link), F.lit(""))
     number = F.nullif(F.regexp_extract(link, NUMBER_PATTERN, 1), F.lit(""))
-    return F.concat(F.lit(NUMBER_PREFIX), F.coalesce(number, F.md5(F.coalesce(link, F.lit("")))))
+    content = F.concat_ws("\x1f", *[F.coalesce(_c(c), F.lit("")) for c in others]) if others else F.lit("")
+    return F.concat(F.lit(NUMBER_PREFIX), F.coalesce(number, F.md5(link), F.md5(content)))
 
 
 def padded_number(key) -> Column:

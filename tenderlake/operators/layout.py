@@ -17,12 +17,14 @@ def spread_rows(df: DataFrame, partitions: int | None = None) -> DataFrame:
 
 
 def partition_rows(df: DataFrame) -> DataFrame:
-    """Rows per non-empty partition."""
-    return df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count(F.lit(1)).alias("rows"))
+    """Rows of each partition, empty ones included."""
+    filled = df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count(F.lit(1)).alias("rows"))
+    every = df.sparkSession.range(df.rdd.getNumPartitions()).select(F.col("id").cast("int").alias("partition"))
+    return every.join(filled, "partition", "left").select("partition", F.coalesce("rows", F.lit(0)).alias("rows"))
 
 
 def partition_summary(df: DataFrame) -> DataFrame:
-    """One row: rows, non-empty partitions, mean per partition and skew (largest / mean)."""
+    """One row: rows, partitions, mean per partition and skew (largest / mean)."""
     return (partition_rows(df).agg(
         F.coalesce(F.sum("rows"), F.lit(0)).alias("total_records"), F.count(F.lit(1)).alias("num_partitions"),
         F.coalesce(F.avg("rows"), F.lit(0.0)).alias("avg_per_partition"), F.max("rows").alias("largest"))

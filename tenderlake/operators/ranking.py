@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tenderlake.session import broadcast_if_small, durable
+from tenderlake.session import durable
 
 _PART, _SLOT = "__part", "__slot"
 
@@ -40,7 +40,7 @@ def row_number_by(df: DataFrame, keys: list[str], order: list[Column | str], nam
     same = F.col(_PART) == F.col("__offset_part")
     for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"__key_{i}"))
-    joined = placed.join(broadcast_if_small(offsets), same)
+    joined = placed.join(offsets, same)
     return joined.select(*df.columns, (F.col(_SLOT) + F.col("__shift")).alias(name))
 
 
@@ -59,5 +59,5 @@ def label_encode(df: DataFrame, columns: list[str], suffix: str = "_code") -> Da
     """Add an alphabetical integer code per column; NULL stays NULL."""
     for column in columns:
         codes = label_codes(df, column).select(F.col("label").alias("__label"), F.col("code").alias(column + suffix))
-        df = df.join(broadcast_if_small(codes), F.col(column) == F.col("__label"), "left").drop("__label")
+        df = df.join(codes, F.col(column) == F.col("__label"), "left").drop("__label")
     return df

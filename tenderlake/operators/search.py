@@ -48,7 +48,15 @@ def full_search(df: DataFrame, query: str, limit: int = 100, columns: list[str]
 def combined_search(df: DataFrame, query: str = "", category: str | None = None, region: str | None = None,
                     min_budget: float | None = None, max_budget: float | None = None,
                     organization: str | None = None, status: str | None = None, limit: int = 100) -> DataFrame:
-    """Faceted search: each given filter narrows the result."""
+    """Faceted search: the first ``limit`` hits by id."""
+    return all_hits(df, query, category, region, min_budget, max_budget, organization, status) \
+        .orderBy("id").limit(limit).select(*RESULT_COLUMNS)
+
+
+def all_hits(df: DataFrame, query: str = "", category: str | None = None, region: str | None = None,
+             min_budget: float | None = None, max_budget: float | None = None,
+             organization: str | None = None, status: str | None = None) -> DataFrame:
+    """Every hit of a faceted search: each given filter narrows the result."""
     hits = df
     if not too_short(query):
         hits = hits.filter(any_column_contains(query))
@@ -61,7 +69,7 @@ def combined_search(df: DataFrame, query: str = "", category: str | None = None,
         hits = hits.filter(F.col("budget") >= F.lit(min_budget))
     if max_budget is not None and max_budget >= 0:
         hits = hits.filter(F.col("budget") <= F.lit(max_budget))
-    return hits.orderBy("id").limit(limit).select(*RESULT_COLUMNS)
+    return hits
 
 
 def facet_values(df: DataFrame, column: str) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,36 +10,46 @@ from pyspark.sql import functions as F
 from tenderlake import schema, sinks
 from tenderlake.functions import dates
 from tenderlake.operators import dedup, layers
-from tenderlake.operators.ranking import row_number_by
+from tenderlake.session import durable
 from tenderlake.sources import feed, files
 
 VERSION = ["tender_no", "content_hash"]
 
 
-def new_records(items: DataFrame, ledger: DataFrame, source: str, clock) -> DataFrame:
-    """Records of the items that the ledger does not know, one per version.
+def new_records(items: DataFrame, ledger: DataFrame, source: str, clock, limit: int | None = None) -> DataFrame:
+    """Records of the items that the ledger does not know, one per version; ``limit`` takes the newest of them.
 
-    Only number and price are read from every item; the other fields are taken
-    from the items that turn out to be new.
+    Only number, title and price are read from every item; the other fields
+    are taken from the items that turn out to be new.
     """
     single = dedup.keep_first(feed.feed_versions(items), VERSION, [dates.feed_date("published"), "link"])
-    return feed.feed_records(layers.not_loaded(single, ledger), source, clock, keep=("content_hash",))
+    fresh = layers.not_loaded(single, ledger)
+    fresh = fresh if limit is None else feed.newest(fresh, limit)
+    return feed.feed_records(fresh, source, clock, keep=("content_hash",))
+
+
+def open_runs(done: DataFrame, loaded: DataFrame) -> list[str]:
+    """Runs of ``loaded`` that ``done`` has no folder of. Only the partition column is read; open runs are few."""
+    runs = loaded.select("run_id").distinct().join(done.select("run_id").distinct(), "run_id", "left_anti")
+    return sorted(r["run_id"] for r in runs.collect())
 
 
 def known_versions(ledger: DataFrame, raw: DataFrame) -> DataFrame:
     """Loaded versions: the ledger, and raw loads that stopped before their ledger entries."""
-    entered = ledger.select("run_id").distinct()
-    stopped = layers.with_content_hash(raw.join(entered, "run_id", "left_anti"))
+    stopped = layers.with_content_hash(raw.where(F.col("run_id").isin(open_runs(ledger, raw))))
     return ledger.select(VERSION).unionByName(stopped.select(VERSION))
 
 
 def run(spark: SparkSession, feed_path: str, lake: str, source: str, clock: datetime, run_id: str,
-        limit: int | None = None) -> dict[str, int]:
-    """One load of landed feed files into the lake.
+        limit: int | None = None, since: date | None = None) -> dict[str, int]:
+    """One load of landed feed files into the lake; returns loaded, duplicate, error and processed rows.
 
     The raw rows are written first and the ledger is derived from them. A load
     that stopped half-way can be repeated under its ``run_id``; another load
-    sees its raw rows as loaded.
+    sees its raw rows as loaded and processes them. ``limit`` takes the newest
+    unknown items, so the rest is left to the next load. ``since`` is a
+    high-water mark, such as ``last_load`` gives: items dated before it are
+    not looked at, those without a date are. Malformed items are counted.
     """
     lake = lake.rstrip("/")
     paths = {name: f"{lake}/{name}" for name in ("raw", "processed", "ledger", "sources", "log")}
@@ -48,22 +58,44 @@ def run(spark: SparkSession, feed_path: str, lake: str, source: str, clock: date
     def layer(name, record):
         return files.read_layer(spark, paths[name], record)
 
-    earlier = layer("raw", schema.RAW_LAYER).where(others)
-    known = known_versions(layer("ledger", schema.LEDGER).where(others), earlier)
-    fresh = new_records(feed.read_feed(spark, feed_path, limit), known, source, clock)
-    top = earlier.agg(F.coalesce(F.max("id"), F.lit(0))).scalar()
-    numbered = row_number_by(fresh, [], [F.asc("tender_no"), F.asc("content_hash")], "__n")
-    batch = numbered.withColumns({"id": F.col("__n") + top, "published_at": F.col("published_on").cast("timestamp")}) \
+    items = feed.read_feed(spark, feed_path)
+    if since is not None:
+        day = dates.feed_date("published")
+        items = items.where(F.col("faulty").isNotNull() | day.isNull() | (day >= F.lit(since)))
+    items = durable(items)
+    sound = items.where("faulty IS NULL").drop("faulty")
+    known = durable(known_versions(layer("ledger", schema.LEDGER).where(others),
+                                   layer("raw", schema.RAW_LAYER).where(others)))
+    fresh = new_records(sound, known, source, clock, limit)
+    # A row is named by its load and content: two loads at once give no equal ids, and no history is read for them.
+    name = F.xxhash64(F.lit(run_id), "tender_no", "content_hash").bitwiseAND(F.lit((1 << 63) - 1))
+    batch = fresh.withColumns({"id": name, "published_at": F.col("published_on").cast("timestamp")}) \
         .select([f.name for f in schema.TENDER.fields])
     loaded = sinks.append_raw(batch, paths["raw"], paths["log"], source, clock, run_id)
-    sinks.append_ledger(layer("raw", schema.RAW_LAYER).where(~others), paths["ledger"], source, clock, run_id)
-
-    processed = sinks.append_processed(
-        layer("raw", schema.RAW_LAYER), layer("processed", schema.PROCESSED_LAYER).where(others),
-        paths["processed"], paths["log"], clock, run_id)
+    mine = layer("raw", schema.RAW_LAYER).where(~others)
+    sinks.append_ledger(mine, paths["ledger"], source, clock, run_id)
+    seen = feed.feed_versions(sound).select(VERSION).unionByName(
+        items.where("faulty IS NOT NULL").select(*[F.lit(None).cast("string").alias(c) for c in VERSION]))
+    outcome = layers.load_outcome(seen, known).first()
+
+    # The processed rows of a raw load have a folder of its name: only loads without one are read.
+    processed = 0
+    none = spark.createDataFrame([], schema.PROCESSED_LAYER)
+    raw = layer("raw", schema.RAW_LAYER)
+    waiting = open_runs(layer("processed", schema.PROCESSED_LAYER).where(others), raw)
+    for waits in waiting:
+        processed += sinks.append_processed(raw.where(F.col("run_id") == waits), none, paths["processed"], paths["log"],
+                                            clock, waits)
     registry = spark.createDataFrame([(source, "rss", feed_path, clock, loaded, "active")], schema.SOURCE_REGISTRY)
     sinks.write_parquet(registry.coalesce(1), paths["sources"], "append")
-    return {"loaded": loaded, "processed": processed}
+    return {"loaded": loaded, "duplicate": outcome["duplicate_count"], "error": outcome["error_count"],
+            "processed": processed}
+
+
+def last_load(spark: SparkSession, lake: str, source: str) -> date | None:
+    """Day of the newest load of a source."""
+    newest = current_sources(spark, lake).where(F.col("name") == F.lit(source)).first()
+    return None if newest is None else newest["last_load_time"].date()
 
 
 def current_sources(spark: SparkSession, lake: str) -> DataFrame:

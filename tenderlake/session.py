@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Settings every job wants. Sizes (memory, shuffle partitions) belong to the
 # cluster and are left to spark-submit.
@@ -23,8 +22,6 @@ DEFAULTS = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
-BROADCAST_ROWS = 1_000_000
-
 
 def build_session(app_name: str = "tenderlake", master: str | None = None, **conf) -> SparkSession:
     """Session with the defaults above; keyword pairs override them (dots as ``__``)."""
@@ -73,12 +70,3 @@ def durable(df: DataFrame) -> DataFrame:
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint when the counted rows stay below the bound, else unchanged.
-
-    The frame should be cheap to count (durable or a small aggregate).
-    """
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df

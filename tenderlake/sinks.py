@@ -34,7 +34,10 @@ def write_table(df: DataFrame, name: str, mode: str = "overwrite", path: str | N
     return name
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", byte_order_mark: bool = False) -> str:
+    """CSV with a header, UTF-8. With ``byte_order_mark`` every file starts with one, as spreadsheets expect."""
+    if byte_order_mark:
+        df = df.withColumnRenamed(df.columns[0], "\ufeff" + df.columns[0])
     df.write.mode(mode).option("header", True).option("encoding", "UTF-8").csv(path)
     return path
 
@@ -69,9 +72,13 @@ def append_ledger(written: DataFrame, path: str, source: str, clock: datetime, r
     return write_parquet(entries, f"{path}/run_id={run_id}")
 
 
-def insert_or_ignore(batch: DataFrame, target: DataFrame, path: str, key: str, order: list) -> str:
-    """Append the rows whose key is new; the first row of a key wins."""
-    return write_parquet(layers.insert_or_ignore(batch, target, key, order), path, "append")
+def insert_or_ignore(batch: DataFrame, target: DataFrame, path: str, key: str, order: list, run_id: str) -> str:
+    """Add the rows whose key is new; the first row of a key wins.
+
+    The rows go to the run's own folder, so a repeated run replaces them;
+    ``target`` should leave out the rows of this run.
+    """
+    return write_parquet(layers.insert_or_ignore(batch, target, key, order), f"{path.rstrip('/')}/run_id={run_id}")
 
 
 def sync_table(df: DataFrame, path: str) -> str:
@@ -86,7 +93,7 @@ def _add_run(df, path, log_path, stage, clock, run_id) -> int:
     try:
         write_parquet(df.observe(seen, F.count(F.lit(1)).alias("rows")), f"{path}/run_id={run_id}")
     except Exception as error:
-        _log(spark, log_path, stage, "ERROR", 0, clock, str(error)[:500], started)
+        _log(spark, log_path, stage, "ERROR", 0, clock, str(error), started)
         raise
     rows = seen.get["rows"]
     _log(spark, log_path, stage, "SUCCESS", rows, clock, None, started)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,24 +15,45 @@ ITEM_TAG = "item"
 
 
 def read_feed(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
-    """Items of landed feed files; ``limit`` keeps the first by link."""
-    items = spark.read.format("xml").option("rowTag", ITEM_TAG).schema(FEED_ITEM).load(path)
-    return items if limit is None else items.orderBy("link", "title").limit(limit)
+    """Items of landed feed files, one row each; ``limit`` keeps the newest.
+
+    Each item is parsed by itself, so a malformed one costs no other: it comes
+    as a row whose ``faulty`` holds its text and whose fields are NULL.
+    """
+    pieces = spark.read.text(path, lineSep=f"</{ITEM_TAG}>").select(
+        F.regexp_extract("value", rf"(?s)(<{ITEM_TAG}(?:\s[^>]*)?>.*)$", 1).alias("body")).where("body <> ''")
+    parsed = pieces.select("body", F.from_xml(F.concat("body", F.lit(f"</{ITEM_TAG}>")), FEED_ITEM.simpleString(),
+                                              {"rowTag": ITEM_TAG}).alias("item"))
+    read = [f.name for f in FEED_ITEM.fields]
+    fault = reduce(lambda a, b: a & b, [F.col(f"item.{c}").isNull() for c in read])
+    items = parsed.select(*[F.col(f"item.{c}").alias(c) for c in read], F.when(fault, F.col("body")).alias("faulty"))
+    return items if limit is None else newest(items, limit)
+
+
+def newest(items: DataFrame, limit: int) -> DataFrame:
+    """The newest items; among those of one day, and those without a date, the first by link."""
+    return items.orderBy(dates.feed_date("published").desc_nulls_last(), "link", "title").limit(limit)
+
+
+def item_number() -> Column:
+    return text.purchase_number("link", "title", "description", "published")
 
 
 def feed_versions(items: DataFrame) -> DataFrame:
     """Items with their tender number and content hash, which tell known items from new ones."""
     visible = items.withColumn("__text", text.strip_tags(F.coalesce("description", F.lit(""))))
-    keyed = visible.withColumns({"tender_no": text.purchase_number("link"), "__price": text.labelled_price("__text")})
+    keyed = visible.withColumns({"tender_no": item_number(), "__price": text.labelled_price("__text")})
     return keyed.withColumn("content_hash", text.content_hash("tender_no", _title(), "__price")) \
         .drop("__text", "__price")
 
 
-def feed_records(items: DataFrame, source: str, clock: Column | datetime, keep: tuple[str, ...] = ()) -> DataFrame:
+def feed_records(items: DataFrame, source: str, clock: Column | datetime, keep: tuple[str, ...] = (),
+                 cut: bool = False) -> DataFrame:
     """Tender records of feed items, plus item columns to ``keep``.
 
     The labelled fields come from the visible text of the description; what a
-    feed does not say gets its default.
+    feed does not say gets its default. ``cut`` shortens customer, region and title
+    to the lengths of the dashboard; by default they are kept whole.
     """
     # One projection per step: each text is derived once, then read several times.
     visible = items.withColumn("__text", text.strip_tags(F.coalesce("description", F.lit(""))))
@@ -40,11 +62,11 @@ def feed_records(items: DataFrame, source: str, clock: Column | datetime, keep:
         "__customer": text.labelled_text("__text", text.CUSTOMER_LABEL),
         "__region": text.labelled_text("__text", text.REGION_LABEL)})
     return found.select(
-        text.purchase_number("link").alias("tender_no"),
-        text.cut_or_default("__customer", text.CUSTOMER_MAX).alias("organization"),
-        _title().alias("description"),
+        item_number().alias("tender_no"),
+        text.text_or_default("__customer", text.CUSTOMER_MAX if cut else None).alias("organization"),
+        text.cut(_title(), text.TITLE_MAX if cut else None).alias("description"),
         text.classify("__lower").alias("category"),
-        text.cut_or_default("__region", text.REGION_MAX).alias("region"),
+        text.text_or_default("__region", text.REGION_MAX if cut else None).alias("region"),
         text.labelled_price("__text").alias("budget"),
         F.lit(text.ANNOUNCED).alias("status"),
         dates.feed_date("published").alias("published_on"),
@@ -56,4 +78,4 @@ def feed_records(items: DataFrame, source: str, clock: Column | datetime, keep:
 
 
 def _title() -> Column:
-    return F.substring(F.coalesce("title", F.lit("")), 1, text.TITLE_MAX)
+    return F.coalesce("title", F.lit(""))

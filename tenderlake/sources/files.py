@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from tenderlake.operators.cleaning import cast_by_role
 from tenderlake.schema import REQUIRED_UPLOAD_COLUMNS
 
 
@@ -39,13 +40,17 @@ def read_any(spark: SparkSession, path: str, schema: T.StructType | str | None =
 
 
 def read_upload(spark: SparkSession, path: str, required: list[str] = REQUIRED_UPLOAD_COLUMNS) -> DataFrame:
-    """A user's CSV, with or without a byte-order mark; required columns are checked."""
-    df = read_csv(spark, path)
+    """A user's CSV, with or without a byte-order mark; required columns are checked.
+
+    Everything is read as text, in one pass, and cast by role: budgets become
+    numbers and dates timestamps, numbers that are names keep their zeros.
+    """
+    df = spark.read.option("header", True).option("encoding", "UTF-8").csv(path)
     df = df.toDF(*[c.lstrip("﻿").strip() for c in df.columns])
     missing = [c for c in required if c not in df.columns]
     if missing:
         raise ValueError(f"missing columns: {missing}")
-    return df
+    return cast_by_role(df)
 
 
 def read_layer(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

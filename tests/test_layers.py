@@ -71,9 +71,9 @@ def test_failed_load_is_logged_and_raised(spark):
 
 def test_readers(spark, tmp_path):
     path = tmp_path / "upload.csv"
-    path.write_text("﻿tender_no,organization,category,region,budget\nn1,Школа,IT,Москва,5\n", encoding="utf-8")
+    path.write_text("﻿tender_no,organization,category,region,budget\n0012,Школа,IT,Москва,5\n", encoding="utf-8")
     row = files.read_upload(spark, str(path)).first()
-    assert (row.tender_no, row.organization, row.budget) == ("n1", "Школа", 5)
+    assert (row.tender_no, row.organization, row.budget) == ("0012", "Школа", 5.0)
     (tmp_path / "short.csv").write_text("tender_no,region\nn1,Москва\n", encoding="utf-8")
     with pytest.raises(ValueError, match="organization"):
         files.read_upload(spark, str(tmp_path / "short.csv"))
@@ -95,6 +95,8 @@ def test_layout(spark):
     df = layout.spread_rows(spark.range(100), 4)
     row = layout.partition_summary(df).first()
     assert (row.total_records, row.num_partitions, row.avg_per_partition) == (100, 4, 25.0)
+    emptied = layout.partition_summary(df.where("id < 0")).first()
+    assert (emptied.total_records, emptied.num_partitions, emptied.avg_per_partition) == (0, 4, 0.0)
     with layout.cached(df) as kept:
         assert kept.is_cached
     assert not df.is_cached
@@ -115,24 +117,79 @@ def land(folder, name, *items):
     (folder / name).write_text(f"<rss><channel>{''.join(items)}</channel></rss>", encoding="utf-8")
 
 
+def outcome(loaded, duplicate=0, error=0, processed=None):
+    return {"loaded": loaded, "duplicate": duplicate, "error": error, "processed": loaded if processed is None else processed}
+
+
 def test_feed_ingest_over_several_loads(spark, tmp_path, rows):
     feed_dir, lake = tmp_path / "feed", str(tmp_path / "lake")
     land(feed_dir, "a.xml", item(1, 10), item(1, 10), item(2, 20))
     load = lambda run: feed_ingest.run(spark, str(feed_dir), lake, "feed", CLOCK, run)
-    assert load("r1") == {"loaded": 2, "processed": 2}
-    assert load("r2") == {"loaded": 0, "processed": 0}
+    assert load("r1") == outcome(2, 1)
+    assert load("r2") == outcome(0, 3)
     land(feed_dir, "b.xml", item(2, 25), item(3, 30))
-    assert load("r3") == {"loaded": 2, "processed": 2}
+    assert load("r3") == outcome(2, 3)
     # Repeating a load replaces its own rows.
-    assert load("r3") == {"loaded": 2, "processed": 2}
+    assert load("r3") == outcome(2, 3)
 
     raw = files.read_layer(spark, f"{lake}/raw", schema.RAW_LAYER)
     assert rows(raw.select("tender_no", "budget")) == [("44-1", 10.0), ("44-2", 20.0), ("44-2", 25.0), ("44-3", 30.0)]
     assert raw.select("id").distinct().count() == 4
     processed = files.read_layer(spark, f"{lake}/processed", schema.PROCESSED_LAYER)
-    assert rows(processed.select("raw_id", "month")) == [(i, 3) for i in (1, 2, 3, 4)]
+    assert {(r.raw_id, r.month) for r in processed.collect()} == {(r.id, 3) for r in raw.collect()}
     assert files.read_layer(spark, f"{lake}/ledger", schema.LEDGER).count() == 4
     assert feed_ingest.current_sources(spark, lake).count() == 1
+    assert feed_ingest.last_load(spark, lake, "feed") == CLOCK.date()
+
+
+def test_malformed_items_cost_no_others(spark, tmp_path):
+    feed_dir, lake = tmp_path / "feed", str(tmp_path / "lake")
+    land(feed_dir, "a.xml", item(1, 10), "<item><title>broken</item>", item(2, 20), "<item><title>x & y</title></item>", item(3, 5))
+    assert feed_ingest.run(spark, str(feed_dir), lake, "feed", CLOCK, "r1") == outcome(3, 0, 2)
+
+
+def test_limited_loads_reach_every_item(spark, tmp_path):
+    feed_dir, lake = tmp_path / "feed", str(tmp_path / "lake")
+    land(feed_dir, "a.xml", *[item(k, k) for k in range(1, 6)])
+    loaded = [feed_ingest.run(spark, str(feed_dir), lake, "feed", CLOCK, f"r{k}", limit=2)["loaded"] for k in range(4)]
+    assert loaded == [2, 2, 1, 0]
+
+
+def test_mark_leaves_out_old_items(spark, tmp_path):
+    from datetime import date
+
+    feed_dir, lake = tmp_path / "feed", str(tmp_path / "lake")
+    land(feed_dir, "a.xml", item(1, 10), item(2, 20).replace("05 Mar 2024", "05 Mar 2023"), item(3, 1).replace("Tue, 05", "no"))
+    run = feed_ingest.run(spark, str(feed_dir), lake, "feed", CLOCK, "r1", since=date(2024, 1, 1))
+    assert run == outcome(2)
+
+
+def test_titles_count_whole(spark, tmp_path):
+    feed_dir, lake = tmp_path / "feed", str(tmp_path / "lake")
+    land(feed_dir, "a.xml", item(1, 10, "т" * 250 + "a"), item(1, 10, "т" * 250 + "b"))
+    assert feed_ingest.run(spark, str(feed_dir), lake, "feed", CLOCK, "r1")["loaded"] == 2
+    raw = files.read_layer(spark, f"{lake}/raw", schema.RAW_LAYER)
+    assert {len(r.description) for r in raw.collect()} == {251}
+
+
+def test_increment_reads_open_runs_only(spark, tmp_path):
+    feed_dir, lake = tmp_path / "feed", str(tmp_path / "lake")
+    land(feed_dir, "a.xml", item(1, 10))
+    feed_ingest.run(spark, str(feed_dir), lake, "feed", CLOCK, "r1")
+    raw = files.read_layer(spark, f"{lake}/raw", schema.RAW_LAYER)
+    ledger = files.read_layer(spark, f"{lake}/ledger", schema.LEDGER)
+    assert feed_ingest.open_runs(ledger, raw) == []
+    assert feed_ingest.open_runs(ledger.where("false"), raw) == ["r1"]
+    plan = feed_ingest.known_versions(ledger.where("run_id = 'x'"), raw)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run_id" in plan or "PartitionFilters: [run_id" in plan
+
+
+def test_insert_or_ignore_is_repeatable(spark, rows):
+    path, target = scratch_path(spark, "ignore"), spark.createDataFrame([("a", 0)], "k string, o int")
+    batch = spark.createDataFrame([("a", 1), ("b", 2), ("b", 1)], "k string, o int")
+    for _ in range(2):
+        sinks.insert_or_ignore(batch, target, path, "k", ["o"], "r1")
+    assert rows(spark.read.parquet(path).select("k", "o")) == [("b", 1)]
 
 
 def test_feed_load_that_stopped_before_its_ledger(spark, tmp_path):
@@ -142,4 +199,4 @@ def test_feed_load_that_stopped_before_its_ledger(spark, tmp_path):
     land(feed_dir, "a.xml", item(1, 10), item(2, 20))
     feed_ingest.run(spark, str(feed_dir), str(lake), "feed", CLOCK, "r1")
     shutil.rmtree(lake / "ledger")
-    assert feed_ingest.run(spark, str(feed_dir), str(lake), "feed", CLOCK, "r2") == {"loaded": 0, "processed": 0}
+    assert feed_ingest.run(spark, str(feed_dir), str(lake), "feed", CLOCK, "r2") == outcome(0, 2)

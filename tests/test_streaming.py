@@ -21,21 +21,22 @@ def stream(spark, folder):
     return loads.landed_files(spark, folder, "*.parquet", form, files_per_batch=1)
 
 
-def test_watermark_dedup_and_resume(spark):
+def test_distinct_loads_keep_late_tenders(spark):
     root = scratch_path(spark, "t")
     at = datetime(2024, 1, 1)
     land(spark, f"{root}/in", [("a", "x", 1.0, at), ("a", "x", 1.0, at), ("b", "x", 1.0, at)])
-    rows = loads.distinct_loads(stream(spark, f"{root}/in"), ["tender_no"], "published_at", "2 days")
+    rows = loads.distinct_loads(stream(spark, f"{root}/in"), ["tender_no"])
     assert loads.drain(rows, f"{root}/out", f"{root}/state").count() == 2
-    land(spark, f"{root}/in", [("a", "x", 1.0, at + timedelta(hours=1)), ("c", "x", 1.0, at)])
-    again = loads.distinct_loads(stream(spark, f"{root}/in"), ["tender_no"], "published_at", "2 days")
+    # A new tender counts, even one dated years before everything seen so far.
+    land(spark, f"{root}/in", [("a", "x", 1.0, at + timedelta(hours=1)), ("c", "x", 1.0, at - timedelta(days=3000))])
+    again = loads.distinct_loads(stream(spark, f"{root}/in"), ["tender_no"])
     assert sorted(r.tender_no for r in loads.drain(again, f"{root}/out", f"{root}/state").collect()) == ["a", "b", "c"]
 
 
 def test_ledger_loader_is_repeatable(spark):
     root = scratch_path(spark, "t")
     at = datetime(2024, 1, 1)
-    load = loads.ledger_loader(f"{root}/raw", f"{root}/ledger", "feed", CLOCK)
+    load = loads.ledger_loader(f"{root}/raw", f"{root}/ledger", "feed", CLOCK, "s1")
     first = spark.createDataFrame([("a", "x", 1.0, at)] * 3 + [("b", "x", 1.0, at)], FORM)
     load(first, 0)
     load(first, 0)
@@ -45,14 +46,28 @@ def test_ledger_loader_is_repeatable(spark):
     assert files.read_layer(spark, f"{root}/ledger", schema.LEDGER).count() == 3
 
 
-def test_windows_close_with_the_watermark(spark):
+def test_streams_share_a_raw_folder(spark):
+    root = scratch_path(spark, "t")
+    at = datetime(2024, 1, 1)
+    rows = {"a": [("a", "x", 1.0, at)], "b": [("b", "x", 1.0, at), ("a", "x", 1.0, at)]}
+    for source in ("a", "b", "a"):  # the third is a new stream over a source loaded before
+        load = loads.ledger_loader(f"{root}/raw", f"{root}/ledger", source, CLOCK, f"{source}{len(rows)}")
+        load(spark.createDataFrame(rows[source], FORM), 0)
+        rows["c"] = []
+    assert sorted(r.tender_no for r in spark.read.parquet(f"{root}/raw").collect()) == ["a", "b"]
+    assert files.read_layer(spark, f"{root}/ledger", schema.LEDGER).count() == 2
+
+
+def test_windows_count_late_and_last_rows(spark):
     root = scratch_path(spark, "t")
     start = datetime(2024, 1, 1)
     land(spark, f"{root}/in", [(s, "x", 1.0, start + timedelta(minutes=10 * i)) for i in range(30) for s in ("a", "b")])
-    out = loads.windowed_loads(stream(spark, f"{root}/in"), "published_at", "tender_no")
-    got = loads.drain(out, f"{root}/out", f"{root}/state").collect()
-    # Last event 04:50, watermark 03:50: three closed windows for each of two numbers.
-    assert sorted({r.window_start.hour for r in got}) == [0, 1, 2] and {r.loads for r in got} == {6}
+    count = loads.window_counter(f"{root}/out", "s", "published_at", "tender_no")
+    loads.drain_batches(stream(spark, f"{root}/in"), count, f"{root}/state")
+    land(spark, f"{root}/in", [("a", "x", 1.0, start)])  # five hours late
+    loads.drain_batches(stream(spark, f"{root}/in"), count, f"{root}/state")
+    got = {(r.window_start.hour, r.tender_no): r.loads for r in loads.windowed_loads(spark, f"{root}/out", "tender_no").collect()}
+    assert got == {**{(h, s): 6 for h in range(5) for s in ("a", "b")}, (0, "a"): 7}
 
 
 @pytest.mark.parametrize("runs", [1, 2])

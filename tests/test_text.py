@@ -23,6 +23,8 @@ def test_labels_and_prices(spark):
     assert values(spark, lambda c: text.labelled_value(c, "Заказчик", 100), [visible, "Заказчик:\nООО Ромашка", "нет", None]) \
         == ["ГБУ Школа №1", "ООО Ромашка", text.UNKNOWN, text.UNKNOWN]
     assert values(spark, lambda c: text.labelled_value(c, "Заказчик", 3), [visible]) == ["ГБУ"]
+    long = "Заказчик: " + "я" * 500
+    assert values(spark, lambda c: text.labelled_value(c, "Заказчик"), [long]) == ["я" * 500]
     assert values(spark, text.labelled_price, [visible, "Начальная цена: 10.5", "Начальная цена: 1.2.3", "цена: 5", None]) \
         == [1234567.5, 10.5, 0.0, 0.0, 0.0]
 
@@ -39,6 +41,12 @@ def test_purchase_number(spark):
     assert got[0] == "44-0373" and got[1] == got[2] != got[3] and len(got[1]) == 35
 
 
+def test_items_without_link_keep_apart(spark):
+    df = spark.createDataFrame([(None, "a", "x"), ("", "a", "y"), (None, "a", "x"), (None, None, None)], "l string, t string, d string")
+    got = [r[0] for r in df.select(text.purchase_number("l", "t", "d")).collect()]
+    assert got[0] == got[2] and len(set(got)) == 3
+
+
 def test_strip_tags(spark):
     html = "<p class='a>b'>A &amp; B</p><script>var t = '</p>';</script><!-- no --><style>p{}</style> &lt;c&gt;"
     assert values(spark, text.strip_tags, ["<b>x</b>y", html.replace("'a>b'", "'a'")]) == ["xy", "A & B <c>"]
