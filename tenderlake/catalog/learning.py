@@ -41,8 +41,9 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     rows = fx.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_orderstatus").alias("status"))
     # The training rows lack one status; it is all zeros afterwards.
-    values = features.dummy_values(rows.where("status <> 'P'"), "status")
-    return features.one_hot(rows, "status", values).drop("status")
+    coded = features.dummy_codes(rows, rows.where("status <> 'P'"), "status")
+    one = lambda code: F.coalesce((F.col("status_code") == code).cast("int"), F.lit(0))
+    return coded.select("id", one(0).alias("status_F"), one(1).alias("status_O"))
 
 
 @query("standardise", fx.over("procurements", body="""
@@ -71,16 +72,20 @@ def _(spark, sf_dir):
     return metrics.withColumns({c: F.round(c, 6 if c == "r2" else 2) for c in ("mse", "rmse", "r2", "mae")})
 
 
+# Normal equations of two features, from the moments of the table.
 @query("linear_fit", """
-    SELECT round(regr_slope(l_extendedprice, l_quantity), 4) AS slope,
-           round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept FROM lineitem""")
-def _(spark, sf_dir):
-    lines = fx.table(spark, sf_dir, "lineitem").select("l_quantity", "l_extendedprice")
-    stages = [VectorAssembler(inputCols=["l_quantity"], outputCol="features"),
+    WITH m AS (SELECT var_pop(l_quantity) AS a, var_pop(l_discount) AS d, covar_pop(l_quantity, l_discount) AS c,
+                      covar_pop(l_quantity, l_extendedprice) AS p, covar_pop(l_discount, l_extendedprice) AS q,
+                      avg(l_quantity) AS x, avg(l_discount) AS y, avg(l_extendedprice) AS z FROM lineitem),
+    s AS (SELECT *, (p * d - q * c) / (a * d - c * c) AS u, (q * a - p * c) / (a * d - c * c) AS v FROM m)
+    SELECT round(u, 3) AS quantity_slope, round(v, 3) AS discount_slope, round(z - u * x - v * y, 3) AS intercept FROM s""")
+def _(spark, sf_dir):
+    lines = fx.table(spark, sf_dir, "lineitem").select("l_quantity", "l_discount", "l_extendedprice")
+    stages = [VectorAssembler(inputCols=["l_quantity", "l_discount"], outputCol="features"),
               models.regressor("linear", label="l_extendedprice", solver="normal")]
     model = Pipeline(stages=stages).fit(lines).stages[-1]
-    return rounded(lines.limit(1).select(F.lit(float(model.coefficients[0])).alias("slope"),
-                                         F.lit(float(model.intercept)).alias("intercept")), 4)
+    row = [float(c) for c in (*model.coefficients, model.intercept)]
+    return rounded(spark.createDataFrame([row], "quantity_slope double, discount_slope double, intercept double"), 3)
 
 
 # Fits have no SQL form; the SQL side states the rows seen and that held-out rows are predicted better than by their mean.
@@ -97,15 +102,14 @@ def _(spark, sf_dir):
     return _verdict(models.train(fx.procurements(spark, sf_dir), "linear")[1])
 
 
-# Fewer rounds and trees than the defaults (100 and 50), which this check does not need.
 @query("cost_model_boosted", _SEEN)
 def _(spark, sf_dir):
-    return _verdict(models.train(fx.procurements(spark, sf_dir), "gradient_boosting", maxIter=5)[1])
+    return _verdict(models.train(fx.procurements(spark, sf_dir), "gradient_boosting")[1])
 
 
 @query("cost_model_forest", _SEEN)
 def _(spark, sf_dir):
-    return _verdict(models.train(fx.procurements(spark, sf_dir), "random_forest", numTrees=10, maxDepth=6)[1])
+    return _verdict(models.train(fx.procurements(spark, sf_dir), "random_forest")[1])
 
 
 @query("frequency_forest", _t("SELECT count(*) AS rows, count(*) AS predicted, true AS mean_kept FROM tenders"))
@@ -135,7 +139,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     rows = fx.tenders(spark, sf_dir)
     edges = rows.agg(F.struct(F.min("budget").alias("low"), F.max("budget").alias("high"))).scalar()
-    forecast = models.forecast(models.train_forecast(rows, trees=20), rows).withColumn("edges", edges)
+    forecast = models.forecast(models.train_forecast(rows), rows).withColumn("edges", edges)
     within = F.col("predicted_budget").between(F.col("edges.low"), F.col("edges.high"))
     return as_text(forecast.select("day", "category", "region", "status", "forecast_on", within.alias("within_labels")),
                    forecast_on=DAY)
@@ -146,23 +150,25 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     path = scratch_path(spark, "model")
     rows = fx.tenders(spark, sf_dir).withColumnRenamed("budget", "label")
-    model = models.frequency_forest(trees=3).fit(rows)
+    model = models.frequency_forest().fit(rows)
     models.save(model, path)
     before = model.transform(rows).select("id", F.col("prediction").alias("p"))
     after = models.load(path).transform(rows).select("id", F.col("prediction").alias("q"))
     return before.join(after, "id").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("p") != F.col("q")).alias("mismatches"))
 
 
-@query("volume_study", "SELECT unnest([0.25, 0.5, 1.0]::double[]) AS share, true AS explained")
+@query("volume_study", fx.over("procurements", body="""
+    SELECT share, CASE WHEN share = 1 THEN (SELECT count(*) FROM procurements) END AS all_rows, true AS explained
+    FROM (SELECT unnest([0.25, 0.5, 1.0]::double[]) AS share) s"""))
 def _(spark, sf_dir):
-    study = models.volume_study(fx.procurements(spark, sf_dir), [0.25, 0.5, 1.0], "linear")
-    return _verdict(study, ["share"]).drop("rows")
+    study = models.volume_study(fx.procurements(spark, sf_dir), [0.25, 0.5, 1.0])
+    found = _verdict(study, ["share"])
+    return found.select("share", F.when(F.col("share") == 1, F.col("rows")).alias("all_rows"), "explained")
 
 
 @query("trained_models", fx.over("procurements", body="""
     SELECT m.model, count(*) AS rows, true AS explained
     FROM procurements, (SELECT unnest(['linear', 'gradient_boosting', 'random_forest']) AS model) m GROUP BY m.model"""))
 def _(spark, sf_dir):
-    small = {"gradient_boosting": {"maxIter": 3}, "random_forest": {"numTrees": 5, "maxDepth": 5}}
-    trained = models.train_all(fx.procurements(spark, sf_dir), scratch_path(spark, "models"), overrides=small)
+    trained = models.train_all(fx.procurements(spark, sf_dir), scratch_path(spark, "models"))
     return _verdict(trained, ["model"])

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenderlake.functions import numbers
+from tenderlake.operators.ranking import label_codes
 
 CATEGORICAL = ["category", "region", "organization", "status", "procurement_type"]
 NUMERICAL = ["quantity", "unit_price", "supplier_rating", "contract_duration_days",
@@ -13,7 +14,6 @@ NUMERICAL = ["quantity", "unit_price", "supplier_rating", "contract_duration_day
 LABEL = "total_cost"
 SEED = 42
 TRAIN_SHARE = 0.8
-MAX_DUMMIES = 1000
 
 
 def standardise(df: DataFrame, columns: list[str], suffix: str = "_std") -> DataFrame:
@@ -28,16 +28,18 @@ def standardise(df: DataFrame, columns: list[str], suffix: str = "_std") -> Data
     return df.withColumn("__m", moments).withColumns({c + suffix: scaled(c) for c in columns}).drop("__m")
 
 
-def dummy_values(train: DataFrame, column: str) -> list[str]:
-    """Values that get a dummy column, sorted; more than the limit is an error."""
-    rows = train.where(F.col(column).isNotNull()).select(column).distinct().orderBy(column).limit(MAX_DUMMIES + 1).collect()
-    if len(rows) > MAX_DUMMIES:
-        raise ValueError(f"{column} has more than {MAX_DUMMIES} values; index it instead")
-    return [r[0] for r in rows]
+def dummy_codes(df: DataFrame, train: DataFrame, column: str) -> DataFrame:
+    """Add ``<column>_code``: dummies in sparse form, for any number of values.
+
+    The code is the place of the one among the training values in alphabetical
+    order; an unseen or missing value has none.
+    """
+    codes = label_codes(train, column).select(F.col("label").alias("__label"), F.col("code").alias(f"{column}_code"))
+    return df.join(codes, F.col(column) == F.col("__label"), "left").drop("__label")
 
 
 def one_hot(df: DataFrame, column: str, values: list[str]) -> DataFrame:
-    """0/1 columns for the values seen in training; an unseen value is all zeros."""
+    """0/1 columns for a given list of values; any other value is all zeros."""
     return df.withColumns({
         f"{column}_{v}": F.coalesce((F.col(column) == F.lit(v)).cast("int"), F.lit(0)) for v in values})
 

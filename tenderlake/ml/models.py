@@ -2,23 +2,23 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenderlake.functions import dates, numbers
 from tenderlake.ml import features as prep
 from tenderlake.operators.layout import cached
+from tenderlake.operators.ranking import label_codes
+from tenderlake.session import durable
 
 KINDS = ("linear", "gradient_boosting", "random_forest")
-# A string index is held by the driver and every task; wider columns are hashed.
-MAX_LABELS = 100_000
-HASHED_WIDTH = 1 << 12
 
 
 def regressor(kind: str, features: str = "features", label: str = prep.LABEL, **overrides):
@@ -34,23 +34,36 @@ def regressor(kind: str, features: str = "features", label: str = prep.LABEL, **
     raise ValueError(f"unknown model kind: {kind}")
 
 
-def cost_pipeline(df: DataFrame, kind: str, categorical: list[str] = prep.CATEGORICAL,
-                  numerical: list[str] = prep.NUMERICAL, label: str = prep.LABEL, **overrides) -> Pipeline:
-    """Alphabetical index, assembly, standardisation, regression."""
-    counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in categorical]).first()
-    indexed = [c for c in categorical if counts[c] <= MAX_LABELS]
-    hashed = [c for c in categorical if counts[c] > MAX_LABELS]
-    stages = [_index(indexed, "alphabetAsc")] if indexed else []
-    inputs = [f"{c}_index" for c in indexed] + numerical
-    if hashed:
-        stages.append(FeatureHasher(inputCols=hashed, outputCol="hashed", numFeatures=HASHED_WIDTH,
-                                    categoricalCols=hashed))
-        inputs.append("hashed")
-    stages += [VectorAssembler(inputCols=inputs, outputCol="assembled"),
-               # A dense centred vector would undo the sparse hashed part.
-               StandardScaler(inputCol="assembled", outputCol="features", withMean=not hashed, withStd=True),
-               regressor(kind, label=label, **overrides)]
-    return Pipeline(stages=stages)
+@dataclass
+class CodedModel:
+    """A fitted pipeline behind label codes, which are tables and are joined, however many labels there are."""
+
+    codes: dict[str, DataFrame]
+    fitted: PipelineModel
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.fitted.transform(_coded(df, self.codes))
+
+
+def _coded(df: DataFrame, codes: dict[str, DataFrame]) -> DataFrame:
+    """Add ``<column>_index``; a label unseen in training, or none, gets the number after the last."""
+    for column, table in codes.items():
+        after = table.agg(F.count(F.lit(1))).scalar()
+        named = table.select(F.col("label").alias("__label"), F.col("code").alias("__code"))
+        df = df.join(named, F.col(column) == F.col("__label"), "left") \
+            .withColumn(f"{column}_index", F.coalesce("__code", after).cast("double")).drop("__label", "__code")
+    return df
+
+
+def fit_cost_model(training: DataFrame, kind: str, categorical: list[str] = prep.CATEGORICAL,
+                   numerical: list[str] = prep.NUMERICAL, label: str = prep.LABEL, **overrides) -> CodedModel:
+    """Alphabetical codes, assembly, standardisation, regression."""
+    codes = {c: durable(label_codes(training, c)) for c in categorical}
+    stages = [VectorAssembler(inputCols=[f"{c}_index" for c in categorical] + numerical, outputCol="assembled"),
+              StandardScaler(inputCol="assembled", outputCol="features", withMean=True, withStd=True),
+              regressor(kind, label=label, **overrides)]
+    with cached(_coded(training, codes)) as rows:
+        return CodedModel(codes, Pipeline(stages=stages).fit(rows))
 
 
 def frequency_forest(label: str = "label", trees: int = 10, depth: int = 5) -> Pipeline:
@@ -78,12 +91,10 @@ def regression_metrics(predictions: DataFrame, label: str = prep.LABEL, groups:
         F.avg(F.abs(error)).alias("mae"), F.count(F.lit(1)).alias("size"))
 
 
-def train(df: DataFrame, kind: str, key: str = "id", **overrides) -> tuple[PipelineModel, DataFrame]:
+def train(df: DataFrame, kind: str, key: str = "id", **overrides) -> tuple[CodedModel, DataFrame]:
     """Fit on the training split; returns the model and its metrics per split."""
     split = prep.hash_split(df, key)
-    training = split.where("is_train")
-    with cached(training):
-        model = cost_pipeline(training, kind, **overrides).fit(training)
+    model = fit_cost_model(split.where("is_train"), kind, **overrides)
     return model, regression_metrics(model.transform(split), groups=["is_train"])
 
 
@@ -98,15 +109,25 @@ def train_all(df: DataFrame, folder: str, kinds=KINDS, key: str = "id",
     return reduce(DataFrame.unionByName, results)
 
 
-def save(model: PipelineModel, path: str) -> None:
+def save(model: CodedModel | PipelineModel, path: str) -> None:
     """Store a model with its preprocessing."""
-    model.write().overwrite().save(path)
+    if isinstance(model, CodedModel):
+        for column, table in model.codes.items():
+            table.write.mode("overwrite").parquet(f"{path}/codes/{column}")
+        model.fitted.write().overwrite().save(f"{path}/fitted")
+    else:
+        model.write().overwrite().save(path)
 
 
 def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def load_coded(spark: SparkSession, path: str, categorical: list[str] = prep.CATEGORICAL) -> CodedModel:
+    codes = {c: spark.read.schema("label string, code bigint").parquet(f"{path}/codes/{c}") for c in categorical}
+    return CodedModel(codes, load(f"{path}/fitted"))
+
+
 def volume_study(df: DataFrame, shares: list[float], kind: str = "gradient_boosting", key: str = "id",
                  **overrides) -> DataFrame:
     """Metrics against data volume: nested samples, one fit each."""

@@ -43,15 +43,24 @@ def test_unseen_category_and_stored_model(spark, costs):
     path = scratch_path(spark, "model")
     models.save(model, path)
     unseen = costs.limit(1).withColumn("category", F.lit("never seen"))
-    assert models.load(path).transform(unseen).first().prediction == model.transform(unseen).first().prediction
+    assert models.load_coded(spark, path).transform(unseen).first().prediction == model.transform(unseen).first().prediction
 
 
-def test_wide_categories_are_hashed(costs, monkeypatch):
-    monkeypatch.setattr(models, "MAX_LABELS", 10)
-    stages = {type(s).__name__: s for s in models.cost_pipeline(costs, "linear").getStages()}
-    assert "FeatureHasher" in stages and len(stages["StringIndexer"].getInputCols()) == 4
-    _, metrics = models.train(costs, "linear")
+def test_wide_categories_are_coded_like_any_other(costs):
+    wide = costs.withColumn("organization", F.concat(F.lit("o"), F.col("id").cast("string")))  # every label once
+    model, metrics = models.train(wide, "linear")
     assert metrics.count() == 2
+    codes = [r.code for r in model.codes["organization"].orderBy("label").collect()]
+    assert codes == list(range(len(codes))) and len(codes) == wide.where(F.col("id") >= 0).count() - \
+        metrics.where("not is_train").first()["size"]
+    unseen = model.transform(wide.limit(1).withColumn("organization", F.lit("never seen"))).first()
+    assert unseen.organization_index == len(codes)
+
+
+def test_dummy_codes(spark):
+    df = spark.createDataFrame([("b",), ("z",), (None,), ("a",)], "s string")
+    got = {r.s: r.s_code for r in features.dummy_codes(df, df.where("s < 'c'"), "s").collect()}
+    assert got == {"a": 0, "b": 1, "z": None, None: None}
 
 
 def test_unknown_kind():
