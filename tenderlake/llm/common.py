@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -12,7 +16,23 @@ from pyspark.sql import functions as F
 from tenderlake.session import scratch_path
 
 
+_handed: set[str] = set()
+
+
+def hand_to_workers(spark: SparkSession) -> None:
+    """Give the package to the Python workers of a local session whose path lacks it; clusters get it with the job."""
+    context = spark.sparkContext
+    if context.applicationId in _handed:
+        return
+    _handed.add(context.applicationId)
+    root = Path(__file__).resolve().parents[2]
+    known = {Path(p).resolve() for p in [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)] if p}
+    if context.master.startswith("local") and root not in known:
+        context.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp()}/tenderlake", "zip", root, "tenderlake"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    hand_to_workers(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
