@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from tenderlake.catalog import QUERIES
 from tools.compare import compare, oracle_connection
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -13,7 +14,7 @@ def oracle():
     return oracle_connection(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, oracle, name):
     text, _, same = compare(spark, oracle, name, SF_DIR)
     assert same, text
