@@ -59,6 +59,10 @@ class Layout:
 # -- packing of arrays and documents ------------------------------------------------------------------------------
 
 
+def _codec() -> pa.Codec:
+    return pa.Codec("zstd", compression_level=3)
+
+
 def _blob(*arrays: np.ndarray) -> bytes:
     """Arrays of one length, each as byte planes, compressed together."""
     planes = b"".join(np.ascontiguousarray(a).view(np.uint8).reshape(len(a), -1).T.tobytes() for a in arrays)
@@ -113,7 +117,7 @@ def _packs(docs: DataFrame, layout: Layout) -> DataFrame:
             parts, data = [], []
             for part, own in _split(_block_of(rows.column("order").to_numpy(), layout.parts), layout.parts):
                 out = pa.BufferOutputStream()
-                with pa.ipc.new_stream(out, rows.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+                with pa.ipc.new_stream(out, rows.schema, options=pa.ipc.IpcWriteOptions(compression=_codec())) as writer:
                     writer.write_table(rows.take(pa.array(own)))
                 parts.append(part)
                 data.append(out.getvalue().to_pybytes())
@@ -317,7 +321,7 @@ def _surroundings(layout: Layout):
             body = block.octets[begin + np.arange(size.sum())].tobytes()
             parts.append(bucket)
             data.append(b"".join([np.array([number, len(head), len(body)], "<i8").tobytes(), head,
-                                  pa.compress(body, "zstd", asbytes=True)]))
+                                  _codec().compress(body, asbytes=True)]))
         return pa.Table.from_batches([_rows(parts, "around", data)])
 
     return run
@@ -515,7 +519,7 @@ def _covered(block: Block, seen: dict[str, np.ndarray], names: np.ndarray, masks
     return np.cumsum(cover)[:-1] > 0
 
 
-def _cut(layout: Layout, names: list[str], schema: pa.Schema):
+def _cut(layout: Layout, names: list[str], text_col: str, schema: pa.Schema):
     def run(packs: pa.Table, found: pa.Table) -> pa.Table:
         block = Block(packs)
         if block.rows is None:
@@ -530,7 +534,9 @@ def _cut(layout: Layout, names: list[str], schema: pa.Schema):
             edges = np.flatnonzero(np.diff(np.concatenate([[0], own.view(np.int8), [0]])))
             removed.append(int(own.sum()))
             spans.append(np.stack([edges[::2], edges[1::2]], axis=1).tolist())
-        columns = {c: block.rows.column(c) for c in names}
+        columns = {c: block.rows.column(c) for c in names if c != text_col}
+        text = block.rows.column("octets").cast(pa.string())
+        columns[text_col] = pa.compute.if_else(block.rows.column("absent"), pa.scalar(None, pa.string()), text)
         columns |= {"n_bytes": [len(t) for t in block.texts], "n_removed": removed, "removed": spans, "kept": kept,
                     "kept_sha256": [hashlib.sha256(k).hexdigest() for k in kept]}
         return pa.Table.from_pydict(columns, schema=schema)
@@ -544,20 +550,21 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
     A byte is removed if it lies in a string of ``length`` bytes that also
     starts in a document of smaller id, as both were given. Adds n_bytes,
     n_removed, removed (maximal runs as [begin, end)), kept (the other bytes)
-    and kept_sha256; columns of these names are replaced. Null texts are
+    and kept_sha256; columns of these names, and of the names order, octets and
+    absent, are left out. Null texts are
     empty. Documents of null id come after all others; documents of one id
     remove nothing from each other. ``length`` is at least 32.
     """
     if length < 32:
         raise ValueError("length is at least 32")
     added = ["n_bytes", "n_removed", "removed", "kept", "kept_sha256"]
-    given = docs.drop(*added, "order", "octets")
+    given = docs.drop(*added, "order", "octets", "absent")
     spark = docs.sparkSession
     total = given.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     layout = Layout(length, max(3 * tasks, -(-total // BLOCK_BYTES)))
     read = given.withColumns({"order": F.coalesce(F.col(id_col).cast("long"), F.lit(int(LAST))),
-                              "octets": binary_text(text_col)})
+                              "octets": binary_text(text_col), "absent": F.col(text_col).isNull()})
     narrow = read.select("order", "octets")
     found = stored(_anchor_rows(narrow, layout).groupBy("part").applyInArrow(_candidates(layout), PARTED), "anchors")
     around = _packs(narrow, layout).groupBy("part").cogroup(found.groupBy("part")).applyInArrow(
@@ -568,5 +575,5 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
         "n_bytes long, n_removed long, removed array<array<long>>, kept binary, kept_sha256 string").fields])
     schema = spark.createDataFrame([], kind).toArrow().schema
     marks = found.unionByName(repeats)
-    return _packs(read, layout).groupBy("part").cogroup(marks.groupBy("part")).applyInArrow(
-        _cut(layout, names, schema), kind)
+    return _packs(read.drop(text_col), layout).groupBy("part").cogroup(marks.groupBy("part")).applyInArrow(
+        _cut(layout, names, text_col, schema), kind)
