@@ -1,23 +1,23 @@
 """TF-IDF similarity search over character n-grams.
 
-The texts are shuffled once, by document. Both passes start from that shuffle:
-
-1. vocabulary - term counts per document stay inside the partitioning; only
-   distinct terms per task travel to form totals and document frequencies;
-2. scores - the cut vocabulary (at most ``max_terms`` rows) with inverse
-   document frequencies and query weights is broadcast to the term counts, and
-   norms and products are again summed inside the partitioning.
-
-The n-grams themselves never cross the network.
+An index expands the texts once. They are shuffled by document, so term counts
+stay inside the partitioning; only distinct terms per task travel to form
+totals and document frequencies. The cut vocabulary (at most ``max_terms``
+rows) is broadcast to the counts, whose weights are stored in order of term
+together with the norm of each document. A search reads the postings of its
+own terms and the norms.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenderlake.functions import text
 from tenderlake.operators.search import too_short
+from tenderlake.session import scratch_path
 
 # Parameters of the ranking.
 MAX_TERMS = 5000
@@ -73,34 +73,66 @@ def weighted_vocabulary(terms: DataFrame, query: str, grams: tuple[int, int] = G
             .select("term", "idf", F.try_divide("w", norm).alias("query_weight")))
 
 
-def similarity_scores(counts: DataFrame, key: str, terms: DataFrame) -> DataFrame:
-    """(key, score): cosine of every document with the query.
+@dataclass(frozen=True)
+class TermIndex:
+    """Stored term counts of a corpus: (key, term, tf) in order of term, and what every search needs of them."""
+
+    key: str
+    postings: DataFrame
+    terms: DataFrame
+    norms: DataFrame
+    grams: tuple[int, int]
+
 
-    ``terms`` has at most ``max_terms`` rows, so its broadcast does not grow
-    with the corpus.
+def build_index(corpus: DataFrame, column: str, key: str = "id", max_terms: int = MAX_TERMS,
+                grams: tuple[int, int] = GRAMS) -> TermIndex:
+    """Expand every text once and store its counts.
+
+    Only terms of the vocabulary are kept: (term, idf), the postings with
+    their weights and the norm of each document.
     """
-    weight = F.col("tf") * F.col("idf")
-    sums = counts.join(F.broadcast(terms), "term").groupBy(key).agg(
-        F.sum(weight * F.col("query_weight")).alias("dot"), F.sqrt(F.sum(weight * weight)).alias("norm"))
-    return sums.select(key, F.try_divide("dot", "norm").alias("score"))
+    spark = corpus.sparkSession
+    path = scratch_path(spark, "term-index")
 
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{path}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{path}/{name}")
 
-def similar_rows(df: DataFrame, query: str, column: str, key: str = "id", limit: int = 100,
-                 threshold: float = THRESHOLD, max_terms: int = MAX_TERMS,
-                 grams: tuple[int, int] = GRAMS) -> DataFrame:
-    """(key, relevance_score) of the documents most similar to the query.
+    placed, documents = placed_texts(corpus, key, column)
+    counts = kept(term_counts(placed, key, column, grams), "counts")
+    terms = kept(vocabulary(term_totals(counts), documents, max_terms), "terms")
+    # At most ``max_terms`` rows, so the broadcast does not grow with the corpus. Postings keep the tasks of the
+    # counts and are ordered inside them: a search skips the row groups without its terms.
+    weighted = counts.join(F.broadcast(terms), "term").select(key, "term", (F.col("tf") * F.col("idf")).alias("weight"))
+    postings = kept(weighted.sortWithinPartitions("term"), "postings")
+    norms = kept(postings.groupBy(key).agg(F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm")), "norms")
+    return TermIndex(key, postings, terms, norms, grams)
+
+
+def search_index(index: TermIndex, query: str, limit: int = 100, threshold: float = THRESHOLD) -> DataFrame:
+    """(key, relevance_score) of the documents most similar to the query; reads the postings of its terms only.
 
     Scores are rounded to six decimals before ranking so that equal documents
     tie; ties go to the smaller key.
     """
+    if too_short(query):
+        return index.norms.select(index.key, F.lit(0.0).alias("relevance_score")).limit(0)
+    weights = weighted_vocabulary(index.terms, query, index.grams).where("query_weight > 0")
+    wanted = sorted(r["term"] for r in weights.select("term").collect())  # the query's own terms
+    dots = index.postings.where(F.col("term").isin(wanted)).join(F.broadcast(weights), "term").groupBy(
+        index.key).agg(F.sum(F.col("weight") * F.col("query_weight")).alias("dot"))
+    scored = dots.join(index.norms, index.key).select(index.key, F.try_divide("dot", "norm").alias("score"))
+    return (scored.where(F.col("score") > F.lit(threshold)).select(index.key, F.round("score", 6).alias("relevance_score"))
+            .orderBy(F.desc("relevance_score"), F.asc(index.key)).limit(limit))
+
+
+def similar_rows(df: DataFrame, query: str, column: str, key: str = "id", limit: int = 100,
+                 threshold: float = THRESHOLD, max_terms: int = MAX_TERMS,
+                 grams: tuple[int, int] = GRAMS) -> DataFrame:
+    """One search over a corpus without an index; ``build_index`` serves several."""
     if too_short(query):
         return df.select(key, F.lit(0.0).alias("relevance_score")).limit(0)
-    placed, documents = placed_texts(df, key, column)
-    counts = term_counts(placed, key, column, grams)
-    terms = weighted_vocabulary(vocabulary(term_totals(counts), documents, max_terms), query, grams)
-    return (similarity_scores(counts, key, terms).where(F.col("score") > F.lit(threshold))
-            .select(key, F.round("score", 6).alias("relevance_score"))
-            .orderBy(F.desc("relevance_score"), F.asc(key)).limit(limit))
+    return search_index(build_index(df, column, key, max_terms, grams), query, limit, threshold)
 
 
 def semantic_search(df: DataFrame, query: str, limit: int = 100, corpus_limit: int | None = None) -> DataFrame:
