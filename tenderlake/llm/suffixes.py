@@ -196,8 +196,12 @@ class Block:
 def _window(octets: np.ndarray, place: np.ndarray, left: np.ndarray, right: np.ndarray, layout: Layout) -> np.ndarray:
     """One row of 2 * reach + gram bytes around each anchor, zero outside the document."""
     step = np.arange(-layout.reach, layout.gram + layout.reach)
-    known = (step >= -left[:, None]) & (step < layout.gram + right[:, None])
-    return np.where(known, octets[np.where(known, place[:, None] + step, 0)], 0).astype(np.uint8)
+    out = np.zeros((len(place), len(step)), np.uint8)
+    for at in range(0, len(place), 1 << 13):
+        own = slice(at, at + (1 << 13))
+        known = (step >= -left[own, None]) & (step < layout.gram + right[own, None])
+        out[own][known] = octets[(place[own, None] + step)[known]]
+    return out
 
 
 # -- 1: anchors ---------------------------------------------------------------------------------------------------
@@ -244,7 +248,7 @@ def _anchor_rows(docs: DataFrame, layout: Layout) -> DataFrame:
                 parts.append(part)
             return _rows(parts, "anchors", data)
 
-        for batch in text_batches(batches):
+        for batch in text_batches(batches, 1 << 20):
             texts = text_bytes(batch.column("octets"))
             sizes = np.fromiter(map(len, texts), np.int64, len(texts))
             ends = np.cumsum(sizes)
@@ -510,12 +514,13 @@ def _covered(block: Block, seen: dict[str, np.ndarray], names: np.ndarray, masks
         of_lead = np.array([known.get(h, 0) for h in seen["hash"][lead].tolist()], np.uint64)
         # A later document of the block has all strings of these surroundings from the first one.
         mask = np.where(seen["order"] > seen["order"][lead][seen["group"]], every, of_lead[seen["group"]])
+        begins = []
         for before in range(layout.reach + 1):
             hit = (mask >> np.uint64(before) & np.uint64(1)).astype(bool)
             hit &= (seen["left"] >= before) & (seen["right"] >= layout.reach - before)
-            begin = seen["place"][hit] - before
-            cover += np.bincount(begin, minlength=len(cover))
-            cover -= np.bincount(begin + layout.length, minlength=len(cover))
+            begins.append(seen["place"][hit] - before)
+        begin = np.concatenate(begins)
+        cover = np.bincount(begin, minlength=len(cover)) - np.bincount(begin + layout.length, minlength=len(cover))
     return np.cumsum(cover)[:-1] > 0
 
 
