@@ -38,6 +38,8 @@ from tenderlake.llm.common import binary_text, stored, text_batches, text_bytes
 LAST = np.iinfo(np.int64).max
 #: Text of one block of documents, and anchors that a task holds before it hands them on.
 BLOCK_BYTES, HELD = 4 << 20, 2_000_000
+#: Blocks at least. What blocks and buckets exchange is one row for each pair of them that shares an anchor.
+FEWEST = 24
 
 
 @dataclass(frozen=True)
@@ -566,8 +568,7 @@ def remove_repeats(docs: DataFrame, length: int = 50, id_col: str = "doc_id", te
     given = docs.drop(*added, "order", "octets", "absent")
     spark = docs.sparkSession
     total = given.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    layout = Layout(length, max(3 * tasks, -(-total // BLOCK_BYTES)))
+    layout = Layout(length, max(FEWEST, -(-total // BLOCK_BYTES)))
     read = given.withColumns({"order": F.coalesce(F.col(id_col).cast("long"), F.lit(int(LAST))),
                               "octets": binary_text(text_col), "absent": F.col(text_col).isNull()})
     narrow = read.select("order", "octets")
