@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,15 +15,10 @@ ALL = "Все"
 
 
 def where_values(df: DataFrame, filters: dict) -> DataFrame:
-    """Equality per column, membership for a list or tuple; unknown columns are ignored."""
-    for column, value in filters.items():
-        if column not in df.columns:
-            continue
-        if isinstance(value, (list, tuple)):
-            df = df.filter(F.col(column).isin(list(value)))
-        else:
-            df = df.filter(F.col(column) == F.lit(value))
-    return df
+    """Rows whose columns have one of the wanted values, a single one or a list; unknown columns are ignored."""
+    wanted = {c: v if isinstance(v, (list, tuple)) else [v] for c, v in filters.items() if c in df.columns}
+    tests = [F.col(c).isin(list(v)) if len(v) != 1 else F.col(c) == F.lit(v[0]) for c, v in wanted.items()]
+    return df.where(reduce(Column.__and__, tests, F.lit(True)))
 
 
 def above_budget(df: DataFrame, bound: float, columns: list[str], budget: str = "budget", tie: str = "id") -> DataFrame:

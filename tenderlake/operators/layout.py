@@ -49,14 +49,14 @@ def stored_bytes(spark: SparkSession, path: str) -> DataFrame:
                                         F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
 
 
-def run_facts(spark: SparkSession) -> dict:
-    """Version, application, parallelism and memory of the running session."""
-    context = spark.sparkContext
-    return {
-        "spark_version": spark.version,
-        "app_name": context.appName,
-        "default_parallelism": context.defaultParallelism,
-        "min_partitions": context.defaultMinPartitions,
-        "executor_memory": spark.conf.get("spark.executor.memory", "default"),
-        "shuffle_partitions": spark.conf.get("spark.sql.shuffle.partitions"),
-    }
+#: Settings a run is described by.
+FACTS = ["spark.app.name", "spark.master", "spark.executor.memory", "spark.default.parallelism",
+         "spark.sql.shuffle.partitions"]
+
+
+def run_facts(spark: SparkSession, settings: list[str] = FACTS) -> DataFrame:
+    """(fact, value): version and settings of the running session; NULL where one is not set."""
+    pairs = [F.struct(F.lit(name).alias("fact"), F.lit(spark.conf.get(name, None)).cast("string").alias("value"))
+             for name in settings]
+    pairs.append(F.struct(F.lit("spark.version").alias("fact"), F.version().alias("value")))
+    return spark.range(1).select(F.inline(F.array(*pairs)))

@@ -2,7 +2,8 @@
 
 The built-in exact percentile gathers every distinct value in one buffer. Here
 equal values are first counted (map-side), the distinct values are ranged over
-the cluster, and only the partitions holding a wanted rank are read again.
+the cluster, and only the partitions holding a wanted rank are read again, cut into bins of
+which the one holding the rank is put in order.
 """
 
 from __future__ import annotations
@@ -12,6 +13,9 @@ from pyspark.sql import functions as F
 
 from tenderlake.session import durable
 
+#: Bins a partition is cut into when a rank is looked up inside it.
+BINS = 4096
+
 
 def exact_quantiles(df: DataFrame, column: str, probabilities: list[float]) -> DataFrame:
     """Rows (probability, value): linear interpolation between closest ranks.
@@ -24,8 +28,8 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: list[float]) -> D
 
     # One row per partition, so the unpartitioned windows stay small.
     upto = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = ranged.groupBy("part").agg(F.sum("c").alias("n"))
-    parts = parts.select("part", "n", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("start"),
+    parts = ranged.groupBy("part").agg(F.sum("c").alias("n"), F.min("v").alias("least"), F.max("v").alias("most"))
+    parts = parts.select("part", "n", "least", "most", F.coalesce(F.sum("n").over(upto), F.lit(0)).alias("start"),
                          F.sum("n").over(Window.partitionBy(F.lit(0))).alias("total"))
 
     targets = []
@@ -35,16 +39,25 @@ def exact_quantiles(df: DataFrame, column: str, probabilities: list[float]) -> D
             targets.append(F.struct(F.lit(float(p)).alias("probability"), F.lit(side).alias("side"),
                                     rank.cast("bigint").alias("rank"),
                                     (position - F.floor(position)).alias("fraction")))
-    wanted = (parts.select("part", "start", "n", F.explode(F.array(*targets)).alias("t"))
+    wanted = (parts.select("part", "start", "n", "least", "most", F.explode(F.array(*targets)).alias("t"))
               .where((F.col("t.rank") >= F.col("start")) & (F.col("t.rank") < F.col("start") + F.col("n")))
-              .select("part", "t.*", (F.col("t.rank") - F.col("start")).alias("local_rank")))
+              .select("part", "least", "most", "t.*", (F.col("t.rank") - F.col("start")).alias("local_rank")))
 
     # At most two rows per probability: a bound that does not grow with the data.
-    run = Window.partitionBy("probability", "side").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    located = (ranged.join(F.broadcast(wanted), "part")
-               .withColumn("seen", F.sum("c").over(run))
-               .where(F.col("seen") > F.col("local_rank"))
-               .groupBy("probability", "side").agg(F.min("v").alias("v"), F.first("fraction").alias("fraction")))
+    target = ["probability", "side"]
+    width = (F.col("most") - F.col("least")) / F.lit(float(BINS))
+    place = F.coalesce(F.floor(F.try_divide(F.col("v") - F.col("least"), width)), F.lit(0)).alias("bin")
+    inside = ranged.join(F.broadcast(wanted), "part").select(*target, "v", "c", "fraction", "local_rank", place)
+    # A partition is cut once more: bins are counted first, and only the bin that holds the rank is put in order.
+    before = Window.partitionBy(*target).orderBy("bin").rowsBetween(Window.unboundedPreceding, 0)
+    bins = inside.groupBy(*target, "bin", "local_rank").agg(F.sum("c").alias("n")).withColumn("seen", F.sum("n").over(before))
+    chosen = bins.where((F.col("seen") > F.col("local_rank")) & (F.col("seen") - F.col("n") <= F.col("local_rank"))).select(
+        *target, "bin", (F.col("seen") - F.col("n")).alias("passed"))
+    run = Window.partitionBy(*target).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    located = (inside.join(F.broadcast(chosen), [*target, "bin"])
+               .withColumn("reached", F.sum("c").over(run) + F.col("passed"))
+               .where(F.col("reached") > F.col("local_rank"))
+               .groupBy(*target).agg(F.min("v").alias("v"), F.first("fraction").alias("fraction")))
     low = F.max(F.when(F.col("side") == "low", F.col("v")))
     high = F.max(F.when(F.col("side") == "high", F.col("v")))
     return (located.groupBy("probability")
