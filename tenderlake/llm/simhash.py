@@ -76,9 +76,9 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         run, f"id {kind}, " + ", ".join(f"{n} long" for n in names))
 
 
-def segments_of(bits: int, max_distance: int) -> list[tuple[int, int]]:
-    """(first bit, width) of the fewest segments that leave one of them with at most one differing bit."""
-    count = max_distance // 2 + 1
+def segments_of(bits: int, max_distance: int, count: int | None = None) -> list[tuple[int, int]]:
+    """(first bit, width) of the segments; by default the fewest of which one differs by at most one bit."""
+    count = count or max_distance // 2 + 1
     edges = [bits * k // count for k in range(count + 1)]
     return [(edges[k], edges[k + 1] - edges[k]) for k in range(count)]
 
@@ -105,15 +105,19 @@ def _distance(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x ^ y).sum(axis=-1, dtype=np.int64)
 
 
-def links(classes: DataFrame, bits: int, max_distance: int) -> DataFrame:
+def links(classes: DataFrame, bits: int, max_distance: int, segments: int | None = None) -> DataFrame:
     """Edges (a, b) that join all classes (rep, fp0[, fp1]) within ``max_distance`` bits as their pairs would.
 
+    Every pair of ``2 * segments - 1`` bits or fewer has a key in common.
+    Fewer, wider segments than that asks for make rarer keys, and leave out
+    some of the pairs beyond it.
+
     Small key groups give every verified pair, once: under the first key that
     the pair shares. In a large one each fingerprint is compared with those
     not yet tied to it, so a dense group of near copies costs one pass, not
     all its pairs; what it gives spans the same components.
     """
-    parts = segments_of(bits, max_distance)
+    parts = segments_of(bits, max_distance, segments)
     names = [f"fp{k}" for k in range(bits // 64)]
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,7 +191,7 @@ def _span(rep, prints, max_distance) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, bits: int = 64,
-                    max_distance: int = 3) -> DataFrame:
+                    max_distance: int = 3, segments: int | None = None) -> DataFrame:
     """(id, fp0[, fp1], component): component is the smallest id reachable by links of near fingerprints.
 
     Equal fingerprints are one class, so copies are compared once. Rows whose
@@ -197,7 +201,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     names = [f"fp{k}" for k in range(bits // 64)]
     prints = stored(fingerprints(docs, id_col, text_col, width, bits), "prints")
     classes = stored(prints.groupBy(*names).agg(F.min("id").alias("rep")), "classes")
-    found = connected_components(links(classes, bits, max_distance))
+    found = connected_components(links(classes, bits, max_distance, segments))
     labelled = stored(classes.join(found, classes.rep == found.node, "left")
                       .select(*names, F.coalesce("component", "rep").alias("component")), "labelled")
     return prints.join(labelled, names).select("id", *names, "component")
