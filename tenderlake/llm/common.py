@@ -98,3 +98,9 @@ def text_batches(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iter
         while start < batch.num_rows:
             yield batch.slice(start, step)
             start += step
+    give_back()
+
+
+def give_back() -> None:
+    """Return what Arrow keeps of freed memory: a Python worker lives on for other tasks."""
+    pa.default_memory_pool().release_unused()

@@ -28,7 +28,11 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def prefix(octets: np.ndarray) -> np.ndarray:
     out = np.zeros(len(octets) + 1, np.uint64)
-    np.cumsum((octets.astype(np.uint64) + np.uint64(1)) * powers(len(octets))[0], out=out[1:])
+    terms = out[1:]
+    terms[:] = octets
+    terms += np.uint64(1)
+    terms *= powers(len(octets))[0]
+    np.cumsum(terms, out=terms)
     return out
 
 

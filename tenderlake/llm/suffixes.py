@@ -32,12 +32,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tenderlake.llm import hashing
-from tenderlake.llm.common import binary_text, stored, text_batches, text_bytes
+from tenderlake.llm.common import binary_text, give_back, stored, text_batches, text_bytes
 
 #: Ids of documents without one: they come last and remove nothing from others.
 LAST = np.iinfo(np.int64).max
 #: Text of one block of documents, and anchors that a task holds before it hands them on.
-BLOCK_BYTES, HELD = 4 << 20, 2_000_000
+BLOCK_BYTES, HELD = 3 << 20, 1_000_000
 #: Blocks at least. What blocks and buckets exchange is one row for each pair of them that shares an anchor.
 FEWEST = 24
 
@@ -128,7 +128,7 @@ def _packs(docs: DataFrame, layout: Layout) -> DataFrame:
         for batch in text_batches(batches):
             held.append(batch)
             size += batch.nbytes
-            if size >= 8 * BLOCK_BYTES:
+            if size >= 4 * BLOCK_BYTES:
                 yield flush()
                 held, size = [], 0
         if held:
@@ -313,6 +313,7 @@ def _surroundings(layout: Layout):
     """What is around the candidates of a block, once for each different one, for each bucket of grams."""
 
     def run(packs: pa.Table, found: pa.Table) -> pa.Table:
+        give_back()
         block = Block(packs)
         seen = block.surroundings(*_anchors_of(found), layout)
         lead = seen["lead"]
@@ -463,6 +464,7 @@ def _repeats(layout: Layout):
     """For each block: which strings around which surroundings an earlier document has."""
 
     def run(part: pa.Table) -> pa.Table:
+        give_back()
         block, name, order, left, right, body = [], [], [], [], [], []
         for x in part.column("data"):
             data = x.as_buffer().to_pybytes()
@@ -528,6 +530,7 @@ def _covered(block: Block, seen: dict[str, np.ndarray], names: np.ndarray, masks
 
 def _cut(layout: Layout, names: list[str], text_col: str, schema: pa.Schema):
     def run(packs: pa.Table, found: pa.Table) -> pa.Table:
+        give_back()
         block = Block(packs)
         if block.rows is None:
             return schema.empty_table()
