@@ -5,6 +5,7 @@ import random
 import numpy as np
 
 import corpus_pipeline as pipeline
+from tenderlake.llm import shingles as near
 from tenderlake.llm import simhash
 
 KIND = "doc_id long, text string"
@@ -44,3 +45,53 @@ def test_pairs_up_to_the_bound_are_found(spark):
     texts = [t for pair in pairs_without_close_segment(4) for t in pair]
     assert all(similarity(x, y) >= 0.8 for x, y in zip(texts[::2], texts[1::2]))
     assert kept(spark, texts) == set(range(0, len(texts), 2))
+
+
+def groups(texts):
+    """Smallest member of each text's group, by all pairs."""
+    sets, label = [shingles(t or "") for t in texts], list(range(len(texts)))
+    linked = lambda x, y: len(x & y) >= 0.8 * len(x | y)
+    for i in range(len(texts)):
+        for j in range(i):
+            if label[i] != label[j] and linked(sets[i], sets[j]):
+                low, high = sorted((label[i], label[j]))
+                label = [low if x == high else x for x in label]
+    return label
+
+
+def test_links_are_decided_by_the_shingle_sets(spark):
+    rng, texts = random.Random(8), []
+    word = lambda: f"v{rng.randrange(10 ** 6)}"
+    for _ in range(60):
+        words = [word() for _ in range(rng.randint(5, 160))]
+        texts.append(" ".join(words))
+        for _ in range(rng.randint(0, 3)):
+            for _ in range(rng.randint(1, 4)):
+                words[rng.randrange(len(words))] = word()
+            texts.append(" ".join(words))
+    texts += [" ".join(word() for _ in range(6)) for _ in range(150)] + [None, "", " \t", "one", "ONE", "one two"]
+    want = {i for i, x in enumerate(groups(texts)) if i == x}
+    assert len(texts) - len(want) > 30
+    assert kept(spark, texts) == want
+
+
+def test_dense_groups_are_whole(spark, monkeypatch):
+    monkeypatch.setattr(near, "BULK", 4)
+    monkeypatch.setattr(near, "PIVOTS", 1)
+    rng = random.Random(9)
+    word = lambda: f"v{rng.randrange(10 ** 6)}"
+    base, texts = [word() for _ in range(104)], []
+    for _ in range(90):  # copies of one text with two or three words changed, around the bound to each other
+        words = list(base)
+        for k in rng.sample(range(104), rng.choice([1, 2, 3])):
+            words[k] = word()
+        texts.append(" ".join(words))
+    label = groups(texts)
+    docs = spark.createDataFrame(list(enumerate(texts)), KIND).repartition(4)
+    assert {r.id: r.component for r in near.near_duplicates(docs).collect()} == dict(enumerate(label))
+
+
+def test_rows_of_one_id_and_without_id(spark):
+    texts = [(3, "a b c d e f"), (3, "p q r s t u"), (5, "p q r s t u"), (None, "a b c d e f"), (2, "a b c d e f")]
+    found = near.near_duplicates(spark.createDataFrame(texts, KIND)).collect()
+    assert sorted((r.id, r.component) for r in found) == [(2, 2), (3, 2), (3, 2), (5, 2)]
