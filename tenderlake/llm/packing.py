@@ -10,11 +10,14 @@ from __future__ import annotations
 
 from bisect import bisect_left
 from collections import deque
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tenderlake.llm.common import stored
+from tenderlake.llm import encoding
+from tenderlake.llm.common import binary_text, stored, text_batches, text_bytes
 
 #: Lengths up to FINE have a histogram cell each; longer ones share cells of 1/256 of a doubling. A cell ends at
 #: its longest text, so padding is exact; only borders inside a coarse cell are not tried.
@@ -28,6 +31,21 @@ def word_count(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(r"\S+")), F.lit(0)).cast("long")
 
 
+def token_lengths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  tokenizer: str = "byte_bpe_50k.json") -> DataFrame:
+    """(id, n_tokens) of every row: ids of the whole text under an installed tokenizer, none for null."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoding.encoder(encoding.tokenizer_path(tokenizer)).encode
+        for batch in text_batches(batches):
+            found = encode([t.decode() for t in text_bytes(batch.column(1))])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in found], pa.int64())],
+                                             [id_col, "n_tokens"])
+
+    kind = docs.schema[id_col].dataType.simpleString()
+    return docs.select(id_col, binary_text(text_col).alias("text")).mapInArrow(run, f"`{id_col}` {kind}, n_tokens long")
+
+
 def borders(cells: list[tuple[int, int, int]], buckets: int) -> list[int]:
     """Upper borders of at most ``buckets`` length buckets with the least padding.
 

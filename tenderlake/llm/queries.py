@@ -79,7 +79,8 @@ def op2_quality_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op6_packing")
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+    sized = packing.token_lengths(table(spark, sf_dir, "documents"))
+    return packing.pack(sized, length=F.col("n_tokens")).withColumnRenamed("id", "doc_id")
 
 
 @query("op7_decontamination")
