@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderlake.llm import (chat, decontamination, embeddings, packing, quality, revisits, simhash, suffixes, tokenfile,
-                            toxicity)
+from tenderlake.llm import (audit, chat, decontamination, embeddings, merkle, packing, quality, revisits, simhash,
+                            suffixes, tokenfile, toxicity)
 from tenderlake.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -151,3 +151,89 @@ def op8_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     fields = F.array_join(F.transform("fields", lambda h: F.concat(h["name"], F.lit("="), h["value"])), ";")
     return found.select("record_id", "record_type", "canonical_url", "outcome", "source_id", fields.alias("fields"),
                         "payload_sha256")
+
+
+OP11_SQL = r"""
+WITH RECURSIVE docs AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS body FROM documents),
+split AS (SELECT *, list_filter(string_split_regex(body, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words FROM docs),
+known AS (SELECT doc_id, max(quality) FILTER (quality = 1) AS good, max(toxic) FILTER (toxic = 1) AS toxic
+    FROM labels GROUP BY doc_id),
+judged AS (SELECT s.part, coalesce(k.good, 0) AS good, coalesce(k.toxic, 0) AS toxic, concat(
+    CASE WHEN len(words) < 200 THEN 'A' ELSE '' END,
+    CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END,
+    CASE WHEN 100 * length(regexp_replace(body, '[^A-Z]', '', 'g')) > 2 * length(body) THEN 'C' ELSE '' END,
+    CASE WHEN regexp_matches(body, '[#$%&*|]') THEN 'D' ELSE '' END,
+    CASE WHEN s.doc_id > min(s.doc_id) OVER (PARTITION BY body) THEN 'E' ELSE '' END) AS fails
+    FROM split s LEFT JOIN known k ON k.doc_id = s.doc_id),
+sets AS (SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM judged GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter),
+orders AS (SELECT letter AS name FROM letters UNION ALL
+    SELECT concat(o.name, l.letter) FROM orders o JOIN letters l ON NOT contains(o.name, l.letter)),
+places AS (SELECT name AS filter_order, step, substr(name, step, 1) AS letter, substr(name, 1, step - 1) AS before
+    FROM orders, unnest([1, 2, 3, 4, 5]) AS s(step) WHERE length(name) = 5),
+counted AS (SELECT s.part, p.filter_order, p.step, p.letter,
+    sum(CASE WHEN regexp_matches(fails, concat('[', p.before, p.letter, ']')) THEN 0 ELSE n END) AS kept,
+    sum(CASE WHEN contains(fails, p.letter) AND translate(fails, p.before, '') = fails THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN contains(fails, p.letter) AND translate(fails, p.before, '') <> fails THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN fails = p.letter THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN contains(fails, p.letter) AND translate(fails, p.before, '') = fails THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN contains(fails, p.letter) AND translate(fails, p.before, '') = fails THEN toxic ELSE 0 END) AS toxic_lost
+    FROM sets s, places p GROUP BY ALL)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       sum(removed) OVER (PARTITION BY part, letter) AS shapley
+FROM counted"""
+
+
+@query("op11_filter_audit", OP11_SQL)
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("filter")
+
+
+def merkle_sql(levels: int = 11, trees: int = 4) -> str:
+    """The manifest for groups of up to ``8 ** levels`` rows and up to ``8 ** trees`` groups, level by level."""
+    crc = ("list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(range(strlen(d)), lambda i: "
+           "list_concat([ord(substr(d, i + 1, 1))::BIGINT + 1000], list_transform(range(8), lambda j: -1::BIGINT))))), "
+           "lambda c, x: CASE WHEN x >= 0 THEN xor(c, x - 1000) "
+           "WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)")
+    value = "CASE WHEN {0} IS NULL THEN '-' ELSE concat(strlen(CAST({0} AS VARCHAR)), ':', {0}) END"
+    head = ", ".join(value.format(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    small = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    parts = [f"named AS (SELECT *, CAST(doc_id AS VARCHAR) AS d FROM documents)",
+             f"""leaves AS MATERIALIZED (SELECT doc_id, lang AS g, sha256(concat({head}, {value.format('text')})) AS leaf,
+                 CASE WHEN xor({crc}, 4294967295) % 3 = 0 THEN sha256(concat({head}, {value.format(small)})) END AS tampered
+                 FROM named)""",
+             """l0 AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+                 leaf AS node, count(*) OVER (PARTITION BY g) AS total FROM leaves)"""]
+
+    def climb(prefix: str, count: int) -> None:
+        for k in range(count):
+            parts.append(f"""{prefix}s{k} AS MATERIALIZED (SELECT g, pos, node, total,
+                CASE WHEN total > 1 THEN coalesce(string_agg(node, '') OVER (PARTITION BY g, pos // 8 ORDER BY pos
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') ELSE '' END AS lft,
+                CASE WHEN total > 1 THEN coalesce(string_agg(node, '') OVER (PARTITION BY g, pos // 8 ORDER BY pos
+                    ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') ELSE '' END AS rgt FROM {prefix}{k})""")
+            parts.append(f"""{prefix}{k + 1} AS MATERIALIZED (SELECT g, pos // 8 AS pos, (total + 7) // 8 AS total,
+                CASE WHEN total = 1 THEN min(node) ELSE sha256(string_agg(node, '' ORDER BY pos)) END AS node
+                FROM {prefix}{k} GROUP BY g, pos // 8, total)""")
+
+    climb("l", levels)
+    parts.append(f"""t0 AS MATERIALIZED (SELECT g AS name, 0 AS g, row_number() OVER (ORDER BY g NULLS FIRST) - 1 AS pos,
+        count(*) OVER () AS total, node FROM l{levels})""")
+    climb("t", trees)
+    parts.append(f"""f0 AS (SELECT l.doc_id, l.leaf, l.g, l.pos, t.node AS subroot, t.pos AS tree, r.node AS root,
+        '' AS proof, coalesce(l.tampered, l.leaf) AS fold
+        FROM l0 l JOIN t0 t ON t.name IS NOT DISTINCT FROM l.g CROSS JOIN t{trees} r)""")
+    for k in range(levels + trees):
+        of, n, at = ("l", k, "pos") if k < levels else ("t", k - levels, "tree")
+        same = "s.g IS NOT DISTINCT FROM f.g AND " if of == "l" else ""
+        parts.append(f"""f{k + 1} AS (SELECT f.* REPLACE (concat(proof, lft, rgt) AS proof,
+            CASE WHEN s.total = 1 THEN fold ELSE sha256(concat(lft, fold, rgt)) END AS fold)
+            FROM f{k} f JOIN {of}s{n} s ON {same}s.pos = f.{at} // {8 ** n})""")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, fold AS folded_root, fold = root AS verified
+FROM f{levels + trees}"""
+
+
+@query("op13_merkle_manifest", merkle_sql())
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.check_tampering(table(spark, sf_dir, "documents"))
