@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tenderlake.llm import (audit, chat, decontamination, embeddings, merkle, packing, quality, revisits, simhash,
+from tenderlake.llm import (audit, chat, decontamination, embeddings, merkle, packing, private, quality, revisits, simhash,
                             suffixes, tokenfile, toxicity)
 from tenderlake.llm.common import table
 
@@ -189,6 +189,22 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("filter")
 
 
+@query("op12_personal_data")
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """n_email to n_phone and base_sha256 tell of the patterns' spans; spans holds those of the field too."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = private.personal_data(docs, private.fit(docs))
+    rank = lambda s: F.array_position(F.array(*map(F.lit, private.KINDS)), s["kind"])
+    every = F.array_sort(F.transform(F.concat("base", "added"), lambda s: F.struct(
+        rank(s).alias("rank"), s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
+    joined = lambda spans: F.array_join(F.transform(
+        spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    kinds = F.col("base")["kind"]
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in private.KINDS]
+    return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"),
+                        joined(every).alias("spans"))
+
+
 def merkle_sql(levels: int = 11, trees: int = 4) -> str:
     """The manifest for groups of up to ``8 ** levels`` rows and up to ``8 ** trees`` groups, level by level."""
     crc = ("list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(range(strlen(d)), lambda i: "

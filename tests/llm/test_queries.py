@@ -24,7 +24,7 @@ def rows(spark, name):
 
 def test_all_are_registered():
     assert QUERIES.keys() | {"pipeline"} <= entry.queries().keys() and ORACLES.keys() <= entry.oracle_sql().keys()
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_op2_draws_whole_rows(spark, documents):
