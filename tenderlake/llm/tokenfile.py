@@ -33,6 +33,8 @@ MAGIC = b"PFORTOK1"
 BLOCK = 256
 SHARE = 0.95
 HEAD = 7
+#: Bytes of text encoded together: many pieces come again.
+ENCODED = 8 << 20
 
 
 def pack(ids: np.ndarray, share: float = SHARE) -> tuple[bytes, np.ndarray]:
@@ -165,9 +167,8 @@ def write_shards(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col:
             return pa.RecordBatch.from_pydict({"part": [task.partitionId()], "shard": [number], "name": [name],
                                                "docs": [len(ids)], "tokens": [held]})
 
-        for batch in text_batches(batches):
-            texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
-            for doc_id, found in zip(batch.column(0).to_pylist(), codec.encode(texts)):
+        for batch in text_batches(batches, ENCODED):
+            for doc_id, found in zip(batch.column(0).to_pylist(), codec.encode(batch.column(1).fill_null(""))):
                 ids.append(doc_id)
                 sizes.append(len(found) + 1)
                 tokens += [found, end]
