@@ -17,18 +17,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tenderlake.llm import encoding
-from tenderlake.llm.common import binary_text, stored, text_batches, text_bytes
+from tenderlake.llm.common import binary_text, stored, text_batches
 
-#: Lengths up to FINE have a histogram cell each; longer ones share cells of 1/256 of a doubling. A cell ends at
-#: its longest text, so padding is exact; only borders inside a coarse cell are not tried.
-FINE, PER_DOUBLING = 4096, 256
 #: Rows numbered together by one task.
 SLICE_ROWS = 20_000
-
-
-def word_count(text: str = "text") -> Column:
-    """Words between white space; null and blank texts have none."""
-    return F.coalesce(F.regexp_count(F.col(text), F.lit(r"\S+")), F.lit(0)).cast("long")
+#: Bytes of text encoded together: many pieces come again.
+ENCODED = 16 << 20
 
 
 def token_lengths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -36,11 +30,10 @@ def token_lengths(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """(id, n_tokens) of every row: ids of the whole text under an installed tokenizer, none for null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoding.encoder(encoding.tokenizer_path(tokenizer)).encode
-        for batch in text_batches(batches):
-            found = encode([t.decode() for t in text_bytes(batch.column(1))])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) for x in found], pa.int64())],
-                                             [id_col, "n_tokens"])
+        codec = encoding.encoder(encoding.tokenizer_path(tokenizer))
+        for batch in text_batches(batches, ENCODED):
+            found = codec.lengths(batch.column(1).cast(pa.string()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found)], [id_col, "n_tokens"])
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, binary_text(text_col).alias("text")).mapInArrow(run, f"`{id_col}` {kind}, n_tokens long")
@@ -94,15 +87,15 @@ def pack(docs: DataFrame, buckets: int = 16, budget: int = 16_384, id_col: str =
     Batches of a bucket hold ``budget // bucket_length`` rows, each padded to
     bucket_length, at least one: a text longer than the budget is a batch by
     itself and is not cut. All batches but the last of a bucket are full.
-    ``length`` counts the tokens of a row (words by default). Rows of equal
-    id are numbered in order of length; null ids come first.
+    Without ``length``, a column of lengths, the tokens of the whole texts are
+    counted. Rows of equal id are numbered in order of length; null ids come
+    first. The driver holds one cell for each length that occurs.
     """
-    length = word_count() if length is None else length
+    if length is None:
+        docs, length = token_lengths(docs, id_col), F.col("n_tokens")
     sized = stored(docs.select(F.col(id_col).alias("id"), length.cast("long").alias("n_tokens")), "sized")
-    coarse = FINE + F.floor(F.log2(F.col("n_tokens") / FINE) * PER_DOUBLING)
-    cell = F.when(F.col("n_tokens") <= FINE, F.col("n_tokens")).otherwise(coarse)
-    cells = sorted((r["longest"], r["n"], r["total"]) for r in sized.groupBy(cell.alias("cell")).agg(
-        F.max("n_tokens").alias("longest"), F.count("*").alias("n"), F.sum("n_tokens").alias("total")).collect())
+    cells = sorted((r["n_tokens"], r["n"], r["n_tokens"] * r["n"]) for r in
+                   sized.groupBy("n_tokens").agg(F.count("*").alias("n")).collect())
     ends = borders(cells, buckets)
     bucket, size, room = F.lit(0), F.lit(0), F.lit(1)
     for k, end in reversed(list(enumerate(ends))):

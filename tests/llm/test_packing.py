@@ -4,7 +4,14 @@ from itertools import combinations
 
 import pytest
 
+from tokenizers import Tokenizer
+
 from tenderlake.llm import packing
+from tenderlake.llm.encoding import tokenizer_path
+
+
+def tokens(text):
+    return len(Tokenizer.from_file(tokenizer_path()).encode(text or "", add_special_tokens=False).ids)
 
 
 def padding(lengths, ends):
@@ -34,7 +41,7 @@ def test_batches(spark):
         got = packing.pack(df, buckets=4, budget=300).collect()
     finally:
         packing.SLICE_ROWS = old
-    assert Counter((r.id, r.n_tokens) for r in got) == Counter((i, len((t or "").split())) for i, t, _ in rows)
+    assert Counter((r.id, r.n_tokens) for r in got) == Counter((i, tokens(t)) for i, t, _ in rows)
     lengths = [r.n_tokens for r in got]
     cells = [(n, c, n * c) for n, c in sorted(Counter(lengths).items())]
     ends = packing.borders(cells, 4)
@@ -48,6 +55,25 @@ def test_batches(spark):
         assert len(own) == room or batch == max(b for k, b in batches if k == bucket)
 
 
+def test_long_lengths_have_borders_of_their_own(spark):
+    rng = random.Random(4)
+    lengths = [rng.choice([1, 4097, 4098, 4099, 5000, 90_001, 90_002, 90_007, 1_000_003]) for _ in range(90)]
+    df = spark.createDataFrame(list(enumerate(lengths)), "doc_id long, n int")
+    from pyspark.sql import functions as F
+    got = packing.pack(df, buckets=4, length=F.col("n")).collect()
+    distinct = sorted(set(lengths))
+    least = min(padding(lengths, [*c, distinct[-1]]) for c in combinations(distinct[:-1], 3))
+    assert sum(r.bucket_length - r.n_tokens for r in got) == least
+
+
+def test_lengths_of_odd_rows(spark):
+    rows = [(None, "a b"), (1, None), (1, None), (2, ""), (3, " x"), (4, "w" * 300_000), (5, "two  spaces\t and"), (6, "é" * 10)]
+    df = spark.createDataFrame([(*r, 5) for r in rows], "doc_id long, text string, n_tokens int")
+    got = Counter((r.doc_id, r.n_tokens) for r in packing.token_lengths(df).collect())
+    assert got == Counter((i, tokens(t)) for i, t in rows)
+    assert packing.token_lengths(df.where("false")).collect() == []
+
+
 def test_empty(spark):
     assert packing.pack(spark.createDataFrame([], "doc_id long, text string")).collect() == []
     assert packing.borders([], 3) == []
