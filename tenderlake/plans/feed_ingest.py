@@ -2,28 +2,33 @@
 
 from __future__ import annotations
 
+import hashlib
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tenderlake import schema, sinks
 from tenderlake.functions import dates
 from tenderlake.operators import dedup, layers
-from tenderlake.session import durable
+from tenderlake.session import folders, scratch_tables, stored
 from tenderlake.sources import feed, files
 
 VERSION = ["tender_no", "content_hash"]
 
 
+def single_versions(items: DataFrame) -> DataFrame:
+    """One item of each version: the oldest, then the first by link."""
+    return dedup.keep_first(items, VERSION, [dates.feed_date("published"), "link"])
+
+
 def new_records(items: DataFrame, ledger: DataFrame, source: str, clock, limit: int | None = None) -> DataFrame:
     """Records of the items that the ledger does not know, one per version; ``limit`` takes the newest of them.
 
     Only number, title and price are read from every item; the other fields
     are taken from the items that turn out to be new.
     """
-    single = dedup.keep_first(feed.feed_versions(items), VERSION, [dates.feed_date("published"), "link"])
-    fresh = layers.not_loaded(single, ledger)
+    fresh = layers.not_loaded(single_versions(feed.feed_versions(items)), ledger)
     fresh = fresh if limit is None else feed.newest(fresh, limit)
     return feed.feed_records(fresh, source, clock, keep=("content_hash",))
 
@@ -40,6 +45,21 @@ def known_versions(ledger: DataFrame, raw: DataFrame) -> DataFrame:
     return ledger.select(VERSION).unionByName(stopped.select(VERSION))
 
 
+def waiting_runs(spark: SparkSession, done_path: str, loaded_path: str) -> list[str]:
+    """Runs written to one layer and not to the other, by the names of their folders alone."""
+    return sorted(set(folders(spark, loaded_path, "run_id")) - set(folders(spark, done_path, "run_id")))
+
+
+def asked_versions(asked: DataFrame, ledger: DataFrame, raw: DataFrame, stopped: list[str]) -> DataFrame:
+    """The ``asked`` versions that are loaded: by the ledger, or by raw loads that stopped before their entries.
+
+    The ledger is a stream past the asked versions, which Spark broadcasts if
+    they are few; nothing of it is shuffled or written then.
+    """
+    late = layers.with_content_hash(raw.where(F.col("run_id").isin(stopped)))
+    return ledger.select(VERSION).unionByName(late.select(VERSION)).join(asked, VERSION, "left_semi").distinct()
+
+
 def run(spark: SparkSession, feed_path: str, lake: str, source: str, clock: datetime, run_id: str,
         limit: int | None = None, since: date | None = None) -> dict[str, int]:
     """One load of landed feed files into the lake; returns loaded, duplicate, error and processed rows.
@@ -47,55 +67,84 @@ def run(spark: SparkSession, feed_path: str, lake: str, source: str, clock: date
     The raw rows are written first and the ledger is derived from them. A load
     that stopped half-way can be repeated under its ``run_id``; another load
     sees its raw rows as loaded and processes them. ``limit`` takes the newest
-    unknown items, so the rest is left to the next load. ``since`` is a
-    high-water mark, such as ``last_load`` gives: items dated before it are
-    not looked at, those without a date are. Malformed items are counted.
+    unknown items; the day of the oldest one left goes to the registry.
+    ``since`` is a high-water mark, such as ``last_load`` gives: items dated
+    before it are not looked at, those without a date are. Malformed items are
+    counted.
     """
     lake = lake.rstrip("/")
-    paths = {name: f"{lake}/{name}" for name in ("raw", "processed", "ledger", "sources", "log")}
+    paths = {name: f"{lake}/{name}" for name in ("raw", "processed", "ledger", "log")}
     others = F.col("run_id") != F.lit(run_id)
 
     def layer(name, record):
         return files.read_layer(spark, paths[name], record)
 
-    items = feed.read_feed(spark, feed_path)
-    if since is not None:
+    with scratch_tables(spark):
         day = dates.feed_date("published")
-        items = items.where(F.col("faulty").isNotNull() | day.isNull() | (day >= F.lit(since)))
-    items = durable(items)
-    sound = items.where("faulty IS NULL").drop("faulty")
-    known = durable(known_versions(layer("ledger", schema.LEDGER).where(others),
-                                   layer("raw", schema.RAW_LAYER).where(others)))
-    fresh = new_records(sound, known, source, clock, limit)
-    # A row is named by its load and content: two loads at once give no equal ids, and no history is read for them.
-    name = F.xxhash64(F.lit(run_id), "tender_no", "content_hash").bitwiseAND(F.lit((1 << 63) - 1))
-    batch = fresh.withColumns({"id": name, "published_at": F.col("published_on").cast("timestamp")}) \
-        .select([f.name for f in schema.TENDER.fields])
-    loaded = sinks.append_raw(batch, paths["raw"], paths["log"], source, clock, run_id)
-    mine = layer("raw", schema.RAW_LAYER).where(~others)
-    sinks.append_ledger(mine, paths["ledger"], source, clock, run_id)
-    seen = feed.feed_versions(sound).select(VERSION).unionByName(
-        items.where("faulty IS NOT NULL").select(*[F.lit(None).cast("string").alias(c) for c in VERSION]))
-    outcome = layers.load_outcome(seen, known).first()
+        items = feed.feed_versions(feed.read_feed(spark, feed_path), carry=True).withColumn("__day", day)
+        if since is not None:
+            items = items.where(F.col("faulty").isNotNull() | F.col("__day").isNull() | (F.col("__day") >= F.lit(since)))
+        items = stored(items, "feed-items")
+        sound = items.where("faulty IS NULL").drop("faulty")
+        asked = stored(sound.select(VERSION).distinct(), "feed-asked")
+        stopped = [r for r in waiting_runs(spark, paths["ledger"], paths["raw"]) if r != run_id]
+        known = stored(asked_versions(asked, layer("ledger", schema.LEDGER).where(others),
+                                      layer("raw", schema.RAW_LAYER).where(others), stopped), "feed-known")
+        candidates = layers.not_loaded(single_versions(sound), known)
+        taken = stored(candidates if limit is None else feed.newest(candidates, limit), "feed-taken")
+        fresh = feed.feed_records(taken, source, clock, keep=("content_hash",))
+        # A row is named by its load and content: two loads at once give no equal ids, and no history is read for them.
+        name = F.xxhash64(F.lit(run_id), "tender_no", "content_hash").bitwiseAND(F.lit((1 << 63) - 1))
+        batch = fresh.withColumns({"id": name, "published_at": F.col("published_on").cast("timestamp")}) \
+            .select([f.name for f in schema.TENDER.fields])
+        loaded = sinks.append_raw(batch, paths["raw"], paths["log"], source, clock, run_id)
+        mine = spark.read.schema(schema.RAW_LAYER).parquet(f"{paths['raw']}/run_id={run_id}")
+        sinks.append_ledger(mine, paths["ledger"], source, clock, run_id)
+        seen = sound.select(VERSION).unionByName(
+            items.where("faulty IS NOT NULL").select(*[F.lit(None).cast("string").alias(c) for c in VERSION]))
+        outcome = layers.load_outcome(seen, known).first()
+        left = layers.not_loaded(candidates, taken).agg(F.min("__day"), F.count(F.lit(1))).first() if limit is not None else (None, 0)
+        newest = taken.agg(F.max("__day")).first()[0]
 
     # The processed rows of a raw load have a folder of its name: only loads without one are read.
     processed = 0
     none = spark.createDataFrame([], schema.PROCESSED_LAYER)
-    raw = layer("raw", schema.RAW_LAYER)
-    waiting = open_runs(layer("processed", schema.PROCESSED_LAYER).where(others), raw)
-    for waits in waiting:
-        processed += sinks.append_processed(raw.where(F.col("run_id") == waits), none, paths["processed"], paths["log"],
-                                            clock, waits)
-    registry = spark.createDataFrame([(source, "rss", feed_path, clock, loaded, "active")], schema.SOURCE_REGISTRY)
-    sinks.write_parquet(registry.coalesce(1), paths["sources"], "append")
+    waiting = set(waiting_runs(spark, paths["processed"], paths["raw"])) | {run_id}
+    for waits in sorted(waiting):
+        raw = spark.read.schema(schema.RAW_LAYER).parquet(f"{paths['raw']}/run_id={waits}")
+        processed += sinks.append_processed(raw, none, paths["processed"], paths["log"], clock, waits)
+    before = registered(spark, lake, source)
+    newest, oldest = _ends(before, newest, left[0], since)
+    row = (source, "rss", feed_path, clock, loaded, "active", newest, oldest, left[1])
+    sinks.replace_snapshot(spark.createDataFrame([row], schema.SOURCE_REGISTRY), _registry(lake, source))
     return {"loaded": loaded, "duplicate": outcome["duplicate_count"], "error": outcome["error_count"],
             "processed": processed}
 
 
+def _ends(before: Row | None, newest: date | None, oldest: date | None, since: date | None) -> tuple[date | None, date | None]:
+    """The two ends of the mark after a load: items left before ``since`` stay left."""
+    if before is not None:
+        newest = max(filter(None, (newest, before["newest_item"])), default=None)
+        if since is not None and before["oldest_left"] is not None and before["oldest_left"] < since:
+            oldest = min(filter(None, (oldest, before["oldest_left"])))
+    return newest, oldest
+
+
+def _registry(lake: str, source: str) -> str:
+    return f"{lake.rstrip('/')}/sources/source={hashlib.md5(source.encode()).hexdigest()}"
+
+
+def registered(spark: SparkSession, lake: str, source: str) -> Row | None:
+    """The registry row of a source: its last load, the newest item loaded and the oldest one left unread."""
+    versions = folders(spark, _registry(lake, source), "version")
+    return spark.read.schema(schema.SOURCE_REGISTRY).parquet(f"{_registry(lake, source)}/version={versions[-1]}").first() \
+        if versions else None
+
+
 def last_load(spark: SparkSession, lake: str, source: str) -> date | None:
-    """Day of the newest load of a source."""
-    newest = current_sources(spark, lake).where(F.col("name") == F.lit(source)).first()
-    return None if newest is None else newest["last_load_time"].date()
+    """Where the next load has to start: the day of the newest load, or of the oldest item that loads have left."""
+    row = registered(spark, lake, source)
+    return None if row is None else min(filter(None, (row["last_load_time"].date(), row["oldest_left"])))
 
 
 def current_sources(spark: SparkSession, lake: str) -> DataFrame:

@@ -65,6 +65,10 @@ SOURCE_REGISTRY = T.StructType([
     T.StructField("last_load_time", T.TimestampType()),
     T.StructField("last_load_count", T.LongType()),
     T.StructField("status", T.StringType()),
+    # The two ends of what has been read: the newest item loaded, and the oldest one that a limit left unread.
+    T.StructField("newest_item", T.DateType()),
+    T.StructField("oldest_left", T.DateType()),
+    T.StructField("left_count", T.LongType()),
 ])
 
 FEED_ITEM = T.StructType([

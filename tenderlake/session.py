@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -70,3 +72,42 @@ def durable(df: DataFrame) -> DataFrame:
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """Write the rows below the shared folder and read them from there; unlike a checkpoint the table has known size."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    _scratch.append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+_scratch: list[str] = []
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Deletes what ``stored`` writes inside the block when the block ends: nothing lazy may leave it."""
+    mark = len(_scratch)
+    try:
+        yield
+    finally:
+        for path in _scratch[mark:]:
+            delete(spark, path)
+        del _scratch[mark:]
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def folders(spark: SparkSession, path: str, key: str) -> list[str]:
+    """Values of the complete ``key=value`` folders below a path: those that Spark has marked as written."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    top = hadoop.Path(path)
+    store = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not store.exists(top):
+        return []
+    found = [s.getPath() for s in store.listStatus(top) if s.isDirectory() and s.getPath().getName().startswith(f"{key}=")]
+    return sorted(p.getName()[len(key) + 1:] for p in found if store.exists(hadoop.Path(p, "_SUCCESS")))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tenderlake.operators import layers
 from tenderlake.schema import ETL_LOG
+from tenderlake.session import delete, folders
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", partition_by: list[str] | None = None) -> str:
@@ -81,6 +82,21 @@ def insert_or_ignore(batch: DataFrame, target: DataFrame, path: str, key: str, o
     return write_parquet(layers.insert_or_ignore(batch, target, key, order), f"{path.rstrip('/')}/run_id={run_id}")
 
 
+def replace_snapshot(df: DataFrame, path: str) -> str:
+    """A small table that is replaced as a whole: a new version folder, valid once Spark has marked it as written.
+
+    A writer that stops half-way leaves the version before. That one is kept
+    for readers which are at it; older ones go.
+    """
+    spark, path = df.sparkSession, path.rstrip("/")
+    versions = folders(spark, path, "version")
+    new = f"{path}/version={int(versions[-1]) + 1 if versions else 1:012d}"
+    write_parquet(df.coalesce(1), new)
+    for old in versions[:-1]:
+        delete(spark, f"{path}/version={old}")
+    return new
+
+
 def sync_table(df: DataFrame, path: str) -> str:
     """Copy a table to Parquet."""
     return write_parquet(df, path, "overwrite")

@@ -13,17 +13,55 @@ from tenderlake.schema import FEED_ITEM
 
 ITEM_TAG = "item"
 
+#: Character data and comments, passed over as wholes, and an opening tag with what follows it up to the next one. All
+#: repetitions are possessive, so that long items are matched in a loop.
+_SKIPPED = r"<!\[CDATA\[(?:[^\]]|\](?!\]>))*+\]\]>|<!--(?:[^-]|-(?!->))*+-->"
+_ITEM = rf"{_SKIPPED}|<{ITEM_TAG}(?=[\s>])[^>]*+>(?:[^<]++|{_SKIPPED}|<(?!{ITEM_TAG}[\s>]))*+"
+
+#: Single-byte encodings that a feed may declare, by their registered names.
+ENCODINGS = ["windows-1250", "windows-1251", "windows-1252", "koi8-r", "koi8-u", "iso-8859-1", "iso-8859-2", "iso-8859-5",
+             "iso-8859-15", "cp866"]
+_DECLARED = r"^\s*<\?xml[^>]*encoding\s*=\s*[\"']([A-Za-z0-9._-]+)[\"']"
+
+
+def decoded(raw: Column, encoding: Column) -> Column:
+    """Text of raw bytes in one of ``ENCODINGS``: read as Latin-1, then each of its upper 128 signs is replaced."""
+    latin = F.decode(raw, "ISO-8859-1")
+    upper = bytes(range(128, 256))
+    out = F.lit(None).cast("string")
+    for name in ENCODINGS:
+        # An undefined byte becomes U+FFFD, as everywhere.
+        out = F.when(encoding == name, F.translate(latin, upper.decode("latin-1"), upper.decode(name, "replace"))).otherwise(out)
+    return out
+
 
 def read_feed(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
     """Items of landed feed files, one row each; ``limit`` keeps the newest.
 
-    Each item is parsed by itself, so a malformed one costs no other: it comes
-    as a row whose ``faulty`` holds its text and whose fields are NULL.
+    An item begins at each opening tag outside character data and ends with its
+    end tag. Each is parsed by itself, so a malformed one costs no other: it
+    comes as a row whose ``faulty`` holds its text and whose fields are NULL.
+    That is so for an item without its end tag, too, except the last of a file
+    if its fields are complete. Files are read in the encoding that they
+    declare, UTF-8 by default; items in an unknown encoding, or with bytes that
+    are no text in theirs, are faulty.
     """
-    pieces = spark.read.text(path, lineSep=f"</{ITEM_TAG}>").select(
-        F.regexp_extract("value", rf"(?s)(<{ITEM_TAG}(?:\s[^>]*)?>.*)$", 1).alias("body")).where("body <> ''")
-    parsed = pieces.select("body", F.from_xml(F.concat("body", F.lit(f"</{ITEM_TAG}>")), FEED_ITEM.simpleString(),
-                                              {"rowTag": ITEM_TAG}).alias("item"))
+    split = spark.read.text(path, lineSep=f"</{ITEM_TAG}>").select("value", F.col("_metadata.file_path").alias("file"))
+    # Few files declare another encoding than UTF-8; their names are a small table.
+    name = F.lower(F.regexp_extract("value", _DECLARED, 1))
+    declared = split.where(F.substring("value", 1, 200).contains("<?xml")).select("file", name.alias("encoding")).where(
+        ~F.col("encoding").isin("", "utf-8", "utf8", "us-ascii")).groupBy("file").agg(F.min("encoding").alias("encoding"))
+    valid = F.when(F.col("encoding").isNull(), F.is_valid_utf8("value")).otherwise(F.col("encoding").isin(ENCODINGS))
+    told = split.join(declared, "file", "left").select(
+        F.when(valid & F.col("encoding").isNotNull(), decoded(F.col("value").cast("binary"), F.col("encoding")))
+        .otherwise(F.make_valid_utf8("value")).alias("value"), valid.alias("valid"))
+    parts = F.regexp_extract_all("value", F.lit(_ITEM), F.lit(0))
+    found = told.select("valid", F.filter(parts, lambda p: ~p.startswith("<!")).alias("bodies"))
+    pieces = found.select("valid", F.size("bodies").alias("n"), F.posexplode("bodies").alias("at", "body"))
+    # Only the last one before an end tag is closed by it.
+    whole = pieces.select("body", F.when(F.col("valid") & (F.col("at") == F.col("n") - 1) & ~F.contains("body", F.lit("\ufffd")),
+                                         F.concat("body", F.lit(f"</{ITEM_TAG}>"))).alias("xml"))
+    parsed = whole.select("body", F.from_xml("xml", FEED_ITEM.simpleString(), {"rowTag": ITEM_TAG}).alias("item"))
     read = [f.name for f in FEED_ITEM.fields]
     fault = reduce(lambda a, b: a & b, [F.col(f"item.{c}").isNull() for c in read])
     items = parsed.select(*[F.col(f"item.{c}").alias(c) for c in read], F.when(fault, F.col("body")).alias("faulty"))
@@ -39,12 +77,15 @@ def item_number() -> Column:
     return text.purchase_number("link", "title", "description", "published")
 
 
-def feed_versions(items: DataFrame) -> DataFrame:
-    """Items with their tender number and content hash, which tell known items from new ones."""
+def feed_versions(items: DataFrame, carry: bool = False) -> DataFrame:
+    """Items with their tender number and content hash, which tell known items from new ones.
+
+    With ``carry`` the visible text and the price stay, for ``feed_records`` to use again.
+    """
     visible = items.withColumn("__text", text.strip_tags(F.coalesce("description", F.lit(""))))
     keyed = visible.withColumns({"tender_no": item_number(), "__price": text.labelled_price("__text")})
-    return keyed.withColumn("content_hash", text.content_hash("tender_no", _title(), "__price")) \
-        .drop("__text", "__price")
+    found = keyed.withColumn("content_hash", text.content_hash("tender_no", _title(), "__price"))
+    return found if carry else found.drop("__text", "__price")
 
 
 def feed_records(items: DataFrame, source: str, clock: Column | datetime, keep: tuple[str, ...] = (),
@@ -56,18 +97,19 @@ def feed_records(items: DataFrame, source: str, clock: Column | datetime, keep:
     to the lengths of the dashboard; by default they are kept whole.
     """
     # One projection per step: each text is derived once, then read several times.
-    visible = items.withColumn("__text", text.strip_tags(F.coalesce("description", F.lit(""))))
+    known = {"__text", "__price", "tender_no"} <= set(items.columns)
+    visible = items if known else items.withColumn("__text", text.strip_tags(F.coalesce("description", F.lit(""))))
     found = visible.withColumns({
         "__lower": F.lower("__text"),
         "__customer": text.labelled_text("__text", text.CUSTOMER_LABEL),
         "__region": text.labelled_text("__text", text.REGION_LABEL)})
     return found.select(
-        item_number().alias("tender_no"),
+        F.col("tender_no") if known else item_number().alias("tender_no"),
         text.text_or_default("__customer", text.CUSTOMER_MAX if cut else None).alias("organization"),
         text.cut(_title(), text.TITLE_MAX if cut else None).alias("description"),
         text.classify("__lower").alias("category"),
         text.text_or_default("__region", text.REGION_MAX if cut else None).alias("region"),
-        text.labelled_price("__text").alias("budget"),
+        (F.col("__price") if known else text.labelled_price("__text")).alias("budget"),
         F.lit(text.ANNOUNCED).alias("status"),
         dates.feed_date("published").alias("published_on"),
         F.lit(source).alias("source"),

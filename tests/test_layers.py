@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from tenderlake import schema, sinks
 from tenderlake.operators import layers, layout
 from tenderlake.plans import feed_ingest
-from tenderlake.session import scratch_path
-from tenderlake.sources import files, tables
+from tenderlake.session import folders, scratch_path, stored
+from tenderlake.sources import feed, files, tables
 
 CLOCK = datetime(2024, 2, 1, 12, 0)
 
@@ -156,6 +156,89 @@ def test_limited_loads_reach_every_item(spark, tmp_path):
     assert loaded == [2, 2, 1, 0]
 
 
+def test_unclosed_item_costs_itself_only(spark, tmp_path):
+    feed_dir = tmp_path / "feed"
+    inside = item(4, 4, title="<![CDATA[a <item> in text]]>")
+    land(feed_dir, "a.xml", item(1, 10), item(2, 20).removesuffix("</item>"), item(3, 30), inside, "<!-- <item> -->",
+         "<item attr='x'><title>plain</title></item>", "<items><title>no item</title></items>", "<item>")
+    found = feed.read_feed(spark, str(feed_dir)).collect()
+    assert sorted(r.link[-1] for r in found if r.link) == ["1", "3", "4"]
+    assert sorted(r.title for r in found if r.title) == ["a <item> in text", "plain", "Ремонт", "Ремонт"]
+    assert sum(r.faulty is not None for r in found) == 2
+    assert feed_ingest.run(spark, str(feed_dir), str(tmp_path / "lake"), "feed", CLOCK, "r1") == outcome(4, 0, 2)
+
+
+def test_long_items(spark, tmp_path):
+    feed_dir = tmp_path / "feed"
+    land(feed_dir, "a.xml", item(1, 10, title="&lt;b&gt;" * 60_000), item(2, 1, title="<![CDATA[" + "]>- <a" * 60_000 + "]]>"))
+    assert sorted(len(r.title) for r in feed.read_feed(spark, str(feed_dir)).collect()) == [180_000, 360_000]
+
+
+def test_declared_encodings(spark, tmp_path):
+    feed_dir = tmp_path / "feed"
+    feed_dir.mkdir()
+    head = "<?xml version='1.0' encoding='{}'?><rss>{}</rss>"
+    for k, name in enumerate(["windows-1251", "KOI8-R", "UTF-8", "cp866"]):
+        (feed_dir / f"{k}.xml").write_bytes(head.format(name, item(k, k) + item(10 + k, k)).encode(name))
+    (feed_dir / "bare.xml").write_text(item(5, 5), encoding="utf-8")
+    found = feed.read_feed(spark, str(feed_dir)).collect()
+    assert len(found) == 9 and {r.title for r in found} == {"Ремонт"}
+    (feed_dir / "odd.xml").write_bytes(head.format("x-none", item(6, 6)).encode("windows-1251"))
+    (feed_dir / "bad.xml").write_bytes(item(7, 7).encode("windows-1251"))
+    found = feed.read_feed(spark, str(feed_dir)).collect()
+    assert len(found) == 11 and sum(r.faulty is not None for r in found) == 2
+
+
+def test_limited_loads_with_the_mark_reach_every_item(spark, tmp_path):
+    from datetime import date, datetime
+
+    feed_dir, lake = tmp_path / "feed", str(tmp_path / "lake")
+    dated = [item(k, k).replace("05 Mar", f"{k:02d} Jan") for k in range(1, 9)] + [item(9, 9).replace("Tue, 05", "no")]
+    land(feed_dir, "a.xml", *dated)
+    load = lambda k: feed_ingest.run(spark, str(feed_dir), lake, "feed", datetime(2024, 2, k), f"r{k}", limit=2,
+                                     since=feed_ingest.last_load(spark, lake, "feed"))["loaded"]
+    assert load(1) == 2
+    row = feed_ingest.registered(spark, lake, "feed")
+    assert (row.newest_item, row.oldest_left, row.left_count) == (date(2024, 1, 8), date(2024, 1, 1), 7)
+    assert [load(k) for k in range(2, 7)] == [2, 2, 2, 1, 0]
+    raw = files.read_layer(spark, f"{lake}/raw", schema.RAW_LAYER)
+    assert sorted(r.tender_no for r in raw.collect()) == [f"44-{k}" for k in range(1, 10)]
+    assert feed_ingest.registered(spark, lake, "feed").oldest_left is None
+    assert feed_ingest.last_load(spark, lake, "feed") == date(2024, 2, 6)
+
+
+def test_items_left_before_a_later_mark_stay_left(spark, tmp_path):
+    from datetime import date
+
+    feed_dir, lake = tmp_path / "feed", str(tmp_path / "lake")
+    land(feed_dir, "a.xml", *[item(k, k).replace("05 Mar", f"{k:02d} Jan") for k in range(1, 7)])
+    run = lambda k, since: feed_ingest.run(spark, str(feed_dir), lake, "feed", CLOCK, f"r{k}", limit=2, since=since)["loaded"]
+    assert run(1, None) == 2
+    assert run(2, date(2024, 1, 4)) == 1
+    assert feed_ingest.last_load(spark, lake, "feed") == date(2024, 1, 1)
+
+
+def test_registry_keeps_one_snapshot_and_the_one_before(spark, tmp_path):
+    path = str(tmp_path / "registry")
+    for k in range(12):
+        sinks.replace_snapshot(spark.createDataFrame([(k,)], "k int"), path)
+    assert [int(v) for v in folders(spark, path, "version")] == [11, 12]
+    # A writer that stopped half-way has left no mark.
+    (tmp_path / "registry" / "version=000000000013").mkdir()
+    assert int(folders(spark, path, "version")[-1]) == 12
+    sinks.replace_snapshot(spark.createDataFrame([(99,)], "k int"), path)
+    assert spark.read.parquet(f"{path}/version=000000000013").first().k == 99
+
+
+def test_ledger_is_neither_shuffled_nor_written(spark, tmp_path):
+    ledger = spark.range(200_000).selectExpr("concat('44-', id) AS tender_no", "md5(cast(id AS string)) AS content_hash", "'r' AS run_id")
+    ledger = stored(ledger, "big-ledger")
+    asked = stored(ledger.limit(100).select("tender_no", "content_hash"), "asked")
+    plan = feed_ingest.asked_versions(asked, ledger, ledger.limit(0).withColumns({"description": F.lit(""), "budget": F.lit(0.0)}), [])
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text and plan.count() == 100
+
+
 def test_mark_leaves_out_old_items(spark, tmp_path):
     from datetime import date
 
