@@ -183,6 +183,33 @@ SQL = {
 }
 
 
+# The five primes of XXH64.
+XXH64_PRIMES = (11400714785074694791, 14029467366897019727, 1609587929392839161, 9650029242287828579, 2870177450012600261)
+
+
+def uniform_sql(source: str, key: str, seed: int, name: str) -> str:
+    """``source`` with the draw that ``numbers.stable_uniform`` makes of a non-negative long key: XXH64 in 128-bit numbers."""
+    one, two, three, four, five = XXH64_PRIMES
+    whole = 1 << 64
+
+    def turned(x: str, bits: int) -> str:
+        return f"((({x} << {bits}) | ({x} >> {64 - bits})) % {whole})"
+
+    def spread(x: str, to: str) -> list[tuple[str, str]]:
+        return [(f"{to}1", f"xor({x}, {x} >> 33) * {two} % {whole}"), (f"{to}2", f"xor({to}1, {to}1 >> 29) * {three} % {whole}"),
+                (f"{to}3", f"xor({to}2, {to}2 >> 32)")]
+
+    steps = [("k1", f"CAST({key} AS UHUGEINT) * {two} % {whole}"),
+             ("k2", f"xor(CAST({42 + five + 8} AS UHUGEINT), {turned('k1', 31)} * {one} % {whole})"),
+             ("k3", f"({turned('k2', 27)} * {one} + {four}) % {whole}"), *spread("k3", "x"),
+             ("s1", f"xor((x3 + {five + 4}) % {whole}, CAST({seed * one % whole} AS UHUGEINT))"),
+             ("s2", f"({turned('s1', 23)} * {two} + {three}) % {whole}"), *spread("s2", "y")]
+    for column, value in steps:
+        source = f"(SELECT *, {value} AS {column} FROM {source})"
+    return (f"(SELECT * EXCLUDE ({', '.join(c for c, _ in steps)}), (CAST(y3 % {1 << 52} AS DOUBLE) + 0.5) / {1 << 52} AS {name} "
+            f"FROM {source})")
+
+
 def over(*names: str, body: str) -> str:
     """SQL text with the named derived tables in front (each may use the earlier ones)."""
     wanted = list(names)

@@ -28,11 +28,9 @@ def _(spark, sf_dir):
       SELECT region, CAST(row_number() OVER (ORDER BY count(*) DESC, region) - 1 AS double) AS code
       FROM tenders GROUP BY region) c USING (region)"""))
 def _(spark, sf_dir):
-    from pyspark.ml.feature import StringIndexer
-
     rows = fx.tenders(spark, sf_dir).select("id", "region")
-    indexed = StringIndexer(inputCol="region", outputCol="region_code").fit(rows).transform(rows)
-    return indexed.select("id", "region_code")
+    codes = ranking.code_tables(rows, ["region"], by_frequency=True)["region"]
+    return rows.join(codes, rows.region == codes.label).select("id", F.col("code").cast("double").alias("region_code"))
 
 
 @query("one_hot_status", """
@@ -55,11 +53,10 @@ def _(spark, sf_dir):
     return rounded(scaled.select("id", "quantity_std", "unit_price_std"), 6)
 
 
-@query("hash_split", _t("SELECT count(*) AS rows, true AS share_met FROM tenders"))
+@query("hash_split", _t(f"""
+    SELECT id, u < 0.8 AS is_train FROM {fx.uniform_sql("tenders", "id", features.SEED, "u")}"""))
 def _(spark, sf_dir):
-    split = features.hash_split(fx.tenders(spark, sf_dir), "id")
-    return split.agg(F.count(F.lit(1)).alias("rows"),
-                     (F.abs(F.avg(F.col("is_train").cast("double")) - 0.8) < 0.02).alias("share_met"))
+    return features.hash_split(fx.tenders(spark, sf_dir), "id").select("id", "is_train")
 
 
 @query("regression_metrics", fx.over("procurements", body="""
@@ -88,36 +85,91 @@ def _(spark, sf_dir):
     return rounded(spark.createDataFrame([row], "quantity_slope double, discount_slope double, intercept double"), 3)
 
 
-# Fits have no SQL form; the SQL side states the rows seen and that held-out rows are predicted better than by their mean.
-def _verdict(metrics, groups=()):
-    held_out = F.max(F.when(~F.col("is_train"), F.col("r2")))
-    return metrics.groupBy(*groups).agg(F.sum("size").alias("rows"), (held_out > 0).alias("explained"))
+def split_sql(share: float = 1.0) -> str:
+    """The rows of a nested share with their split, as the fits see them."""
+    rows = fx.uniform_sql("procurements", "id", features.SEED, "u")
+    if share < 1:
+        rows = f"(SELECT * FROM {fx.uniform_sql(rows, 'id', features.SEED + 7, 'drawn')} WHERE drawn < {share})"
+    return f"(SELECT *, u < {features.TRAIN_SHARE} AS is_train FROM {rows})"
+
+
+def least_squares_sql() -> str:
+    """Metrics of the linear cost model by split: moments of the training rows, eliminated one unknown after the other."""
+    names, n = features.CATEGORICAL + features.NUMERICAL, len(features.CATEGORICAL + features.NUMERICAL)
+    joins = " ".join(f"LEFT JOIN codes_{c} ON label_{c} = {c}" for c in features.CATEGORICAL)
+    values = ", ".join(f"coalesce(code_{c}, (SELECT count(*) FROM codes_{c}))::double" if c in features.CATEGORICAL else f"{c}::double"
+                       for c in names)
+    parts = [f"split AS MATERIALIZED (SELECT *, row_number() OVER () AS rid FROM {split_sql()})",
+             *(f"codes_{c} AS (SELECT {c} AS label_{c}, row_number() OVER (ORDER BY {c}) - 1 AS code_{c} FROM split WHERE is_train GROUP BY {c})"
+               for c in features.CATEGORICAL),
+             f"vectors AS MATERIALIZED (SELECT rid, is_train, total_cost AS y, [{values}, total_cost] AS x FROM split {joins})",
+             f"""long AS MATERIALIZED (SELECT rid, is_train, unnest(x) AS v, unnest(range({n + 1})) AS k FROM vectors)""",
+             """scale AS MATERIALIZED (SELECT k, avg(v) AS mean, CASE WHEN stddev_pop(v) > 0 THEN stddev_pop(v) ELSE 1 END AS dev
+                 FROM long WHERE is_train GROUP BY k)""",
+             """scaled AS MATERIALIZED (SELECT rid, k, (v - mean) / dev AS v FROM long JOIN scale USING (k) WHERE is_train)""",
+             f"""m0 AS MATERIALIZED (SELECT a.k AS i, b.k AS j, avg(a.v * b.v) AS v FROM scaled a JOIN scaled b USING (rid)
+                 WHERE a.k < {n} GROUP BY a.k, b.k)"""]
+    for k in range(n):
+        # An unknown that others explain wholly, or a constant one, counts as zero.
+        parts.append(f"""m{k + 1} AS MATERIALIZED (SELECT a.i, a.j, CASE WHEN abs(p.v) < 1e-9 THEN CASE WHEN a.i = {k} THEN 0 ELSE a.v END
+            WHEN a.i = {k} THEN a.v / p.v ELSE a.v - c.v * r.v / p.v END AS v
+            FROM m{k} a JOIN m{k} p ON p.i = {k} AND p.j = {k} JOIN m{k} r ON r.i = {k} AND r.j = a.j
+            JOIN m{k} c ON c.j = {k} AND c.i = a.i)""")
+    parts.append(f"""slopes AS (SELECT m.i AS k, m.v * y.dev / s.dev AS slope, s.mean FROM m{n} m JOIN scale s ON s.k = m.i
+        JOIN scale y ON y.k = {n} WHERE m.j = {n})""")
+    parts.append(f"""predicted AS (SELECT rid, is_train, max(v) FILTER (l.k = {n}) AS y,
+        (SELECT mean FROM scale WHERE k = {n}) + sum(slope * (v - mean)) AS p
+        FROM long l LEFT JOIN slopes USING (k) GROUP BY rid, is_train)""")
+    return "WITH " + ",\n".join(parts) + """
+        SELECT is_train, round(avg((y - p) ** 2) / 1e6, 3) AS mse_mln, round(sqrt(avg((y - p) ** 2)), 3) AS rmse,
+               round(1 - avg((y - p) ** 2) / var_pop(y), 7) AS r2, round(avg(abs(y - p)), 3) AS mae, count(*) AS size
+        FROM predicted GROUP BY is_train"""
 
 
-_SEEN = fx.over("procurements", body="SELECT count(*) AS rows, true AS explained FROM procurements")
+def _numbers(metrics, *groups):
+    return metrics.select(*groups, "is_train", F.round(F.col("mse") / 1e6, 3).alias("mse_mln"), F.round("rmse", 3).alias("rmse"),
+                          F.round("r2", 7).alias("r2"), F.round("mae", 3).alias("mae"), "size")
 
 
-@query("cost_model_linear", _SEEN)
+@query("cost_model_linear", fx.over("procurements", body=least_squares_sql()))
 def _(spark, sf_dir):
-    return _verdict(models.train(fx.procurements(spark, sf_dir), "linear")[1])
+    return _numbers(models.train(fx.procurements(spark, sf_dir), "linear", keep=scratch_path(spark, "predictions"))[1])
+
+
+# Trees have no SQL form. The SQL side states the rows of each split, and that rows are predicted better than by their mean;
+# tests compute the metrics again from the stored predictions.
+def _explained(metrics, *groups):
+    return metrics.select(*groups, "is_train", "size", (F.col("r2") > 0.9).alias("explained"))
+
 
+_SIZES = "SELECT is_train, count(*) AS size, true AS explained FROM {rows} GROUP BY is_train"
 
-@query("cost_model_boosted", _SEEN)
+
+@query("cost_model_boosted", fx.over("procurements", body=_SIZES.format(rows=split_sql())))
 def _(spark, sf_dir):
-    return _verdict(models.train(fx.procurements(spark, sf_dir), "gradient_boosting")[1])
+    return _explained(models.train(fx.procurements(spark, sf_dir), "gradient_boosting")[1])
 
 
-@query("cost_model_forest", _SEEN)
+@query("cost_model_forest", fx.over("procurements", body=_SIZES.format(rows=split_sql())))
 def _(spark, sf_dir):
-    return _verdict(models.train(fx.procurements(spark, sf_dir), "random_forest")[1])
+    return _explained(models.train(fx.procurements(spark, sf_dir), "random_forest")[1])
 
 
-@query("frequency_forest", _t("SELECT count(*) AS rows, count(*) AS predicted, true AS mean_kept FROM tenders"))
+# Labels of single tenders: as many codes as rows. A forest predicts averages of training labels.
+@query("frequency_forest", _t(f"""
+    WITH split AS (SELECT *, u < 0.8 AS is_train FROM {fx.uniform_sql("tenders", "id", features.SEED, "u")}),
+    codes AS (SELECT tender_no, row_number() OVER (ORDER BY count(*) DESC, tender_no) - 1 AS code FROM split WHERE is_train
+              GROUP BY tender_no)
+    SELECT s.id, s.is_train, coalesce(c.code, (SELECT count(*) FROM codes)) AS tender_index, true AS within_labels
+    FROM split s LEFT JOIN codes c ON c.tender_no = s.tender_no"""))
 def _(spark, sf_dir):
     rows = features.hash_split(fx.tenders(spark, sf_dir).withColumnRenamed("budget", "label"), "id")
-    predicted = models.frequency_forest().fit(rows.where("is_train")).transform(rows)
-    return predicted.agg(F.count(F.lit(1)).alias("rows"), F.count("prediction").alias("predicted"),
-                         (F.abs(F.avg("prediction") / F.avg("label") - 1) < 0.05).alias("mean_kept"))
+    training = rows.where("is_train")
+    predicted = models.frequency_forest(columns=[*models.FOREST_COLUMNS, "tender_no"]).fit(training).transform(rows)
+    edges = training.agg(F.struct(F.min("label").alias("low"), F.max("label").alias("high"))).scalar()
+    return predicted.withColumn("edges", edges).select(
+        "id", "is_train", F.col("tender_no_index").cast("long").alias("tender_index"),
+        F.col("prediction").between(F.col("edges.low"), F.col("edges.high")).alias("within_labels"))
 
 
 _FORECAST = """
@@ -153,22 +205,32 @@ def _(spark, sf_dir):
     model = models.frequency_forest().fit(rows)
     models.save(model, path)
     before = model.transform(rows).select("id", F.col("prediction").alias("p"))
-    after = models.load(path).transform(rows).select("id", F.col("prediction").alias("q"))
+    after = models.load_coded(spark, path).transform(rows).select("id", F.col("prediction").alias("q"))
     return before.join(after, "id").agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("p") != F.col("q")).alias("mismatches"))
 
 
-@query("volume_study", fx.over("procurements", body="""
-    SELECT share, CASE WHEN share = 1 THEN (SELECT count(*) FROM procurements) END AS all_rows, true AS explained
-    FROM (SELECT unnest([0.25, 0.5, 1.0]::double[]) AS share) s"""))
+_SHARES = [0.25, 0.5, 1.0]
+
+
+@query("volume_study", fx.over("procurements", body=" UNION ALL ".join(
+    f"SELECT {share}::double AS share, is_train, count(*) AS size, true AS explained FROM {split_sql(share)} GROUP BY is_train"
+    for share in _SHARES)))
+def _(spark, sf_dir):
+    return _explained(models.volume_study(fx.procurements(spark, sf_dir), _SHARES), "share")
+
+
+@query("volume_study_linear", fx.over("procurements", body=" UNION ALL ".join(
+    f"SELECT {share}::double AS share, * FROM ({least_squares_sql().replace(split_sql(), split_sql(share))})" for share in _SHARES)))
 def _(spark, sf_dir):
-    study = models.volume_study(fx.procurements(spark, sf_dir), [0.25, 0.5, 1.0])
-    found = _verdict(study, ["share"])
-    return found.select("share", F.when(F.col("share") == 1, F.col("rows")).alias("all_rows"), "explained")
+    study = models.volume_study(fx.procurements(spark, sf_dir), _SHARES, "linear")
+    return _numbers(study, "share")
 
 
-@query("trained_models", fx.over("procurements", body="""
-    SELECT m.model, count(*) AS rows, true AS explained
-    FROM procurements, (SELECT unnest(['linear', 'gradient_boosting', 'random_forest']) AS model) m GROUP BY m.model"""))
+@query("trained_models", fx.over("procurements", body=f"""
+    SELECT m.model, s.is_train, s.size, CASE WHEN m.model = 'linear' THEN l.r2 END AS linear_r2
+    FROM (SELECT is_train, count(*) AS size FROM {split_sql()} GROUP BY is_train) s,
+         (SELECT unnest(['linear', 'gradient_boosting', 'random_forest']) AS model) m,
+         ({least_squares_sql()}) l WHERE l.is_train = s.is_train"""))
 def _(spark, sf_dir):
     trained = models.train_all(fx.procurements(spark, sf_dir), scratch_path(spark, "models"))
-    return _verdict(trained, ["model"])
+    return trained.select("model", "is_train", "size", F.when(F.col("model") == "linear", F.round("r2", 7)).alias("linear_r2"))

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, StandardScaler, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 from tenderlake.functions import dates, numbers
 from tenderlake.ml import features as prep
 from tenderlake.operators.layout import cached
-from tenderlake.operators.ranking import label_codes
-from tenderlake.session import durable
+from tenderlake.operators.ranking import code_tables
+from tenderlake.session import folders
 
 KINDS = ("linear", "gradient_boosting", "random_forest")
+FOREST_COLUMNS = ["category", "region", "status"]
 
 
 def regressor(kind: str, features: str = "features", label: str = prep.LABEL, **overrides):
@@ -55,26 +56,36 @@ def _coded(df: DataFrame, codes: dict[str, DataFrame]) -> DataFrame:
     return df
 
 
+@dataclass
+class CodedPipeline:
+    """Stages behind label codes of some columns; what is fitted knows labels by joined tables only."""
+
+    columns: list[str]
+    stages: list
+    by_frequency: bool = False
+
+    def fit(self, training: DataFrame) -> CodedModel:
+        codes = code_tables(training, self.columns, self.by_frequency)
+        with cached(_coded(training, codes)) as rows:
+            return CodedModel(codes, Pipeline(stages=self.stages).fit(rows))
+
+
 def fit_cost_model(training: DataFrame, kind: str, categorical: list[str] = prep.CATEGORICAL,
                    numerical: list[str] = prep.NUMERICAL, label: str = prep.LABEL, **overrides) -> CodedModel:
     """Alphabetical codes, assembly, standardisation, regression."""
-    codes = {c: durable(label_codes(training, c)) for c in categorical}
     stages = [VectorAssembler(inputCols=[f"{c}_index" for c in categorical] + numerical, outputCol="assembled"),
               StandardScaler(inputCol="assembled", outputCol="features", withMean=True, withStd=True),
               regressor(kind, label=label, **overrides)]
-    with cached(_coded(training, codes)) as rows:
-        return CodedModel(codes, Pipeline(stages=stages).fit(rows))
+    return CodedPipeline(categorical, stages).fit(training)
 
 
-def frequency_forest(label: str = "label", trees: int = 10, depth: int = 5) -> Pipeline:
-    """Frequency-ordered index of category, region and status, scaling, small forest."""
-    columns = ["category", "region", "status"]
-    stages = [_index(columns, "frequencyDesc"),
-              VectorAssembler(inputCols=[f"{c}_index" for c in columns], outputCol="features"),
-               StandardScaler(inputCol="features", outputCol="scaled_features"),
-               RandomForestRegressor(featuresCol="scaled_features", labelCol=label, numTrees=trees, maxDepth=depth,
-                                     seed=prep.SEED)]
-    return Pipeline(stages=stages)
+def frequency_forest(label: str = "label", trees: int = 10, depth: int = 5, columns: list[str] = FOREST_COLUMNS) -> CodedPipeline:
+    """Frequency-ordered codes of category, region and status (or other columns), scaling, small forest."""
+    stages = [VectorAssembler(inputCols=[f"{c}_index" for c in columns], outputCol="features"),
+              StandardScaler(inputCol="features", outputCol="scaled_features"),
+              RandomForestRegressor(featuresCol="scaled_features", labelCol=label, numTrees=trees, maxDepth=depth,
+                                    seed=prep.SEED)]
+    return CodedPipeline(columns, stages, by_frequency=True)
 
 
 def rmse(predictions: DataFrame, label: str = "label") -> float:
@@ -91,20 +102,28 @@ def regression_metrics(predictions: DataFrame, label: str = prep.LABEL, groups:
         F.avg(F.abs(error)).alias("mae"), F.count(F.lit(1)).alias("size"))
 
 
-def train(df: DataFrame, kind: str, key: str = "id", **overrides) -> tuple[CodedModel, DataFrame]:
-    """Fit on the training split; returns the model and its metrics per split."""
+def train(df: DataFrame, kind: str, key: str = "id", keep: str | None = None, **overrides) -> tuple[CodedModel, DataFrame]:
+    """Fit on the training split; returns the model and its metrics per split.
+
+    ``keep`` is a folder for the predictions (key, split, label, prediction) that the metrics are of.
+    """
     split = prep.hash_split(df, key)
     model = fit_cost_model(split.where("is_train"), kind, **overrides)
-    return model, regression_metrics(model.transform(split), groups=["is_train"])
+    predicted = model.transform(split)
+    if keep is not None:
+        predicted.select(key, "is_train", prep.LABEL, "prediction").write.mode("overwrite").parquet(keep)
+        predicted = df.sparkSession.read.parquet(keep)
+    return model, regression_metrics(predicted, groups=["is_train"])
 
 
 def train_all(df: DataFrame, folder: str, kinds=KINDS, key: str = "id",
               overrides: dict[str, dict] | None = None) -> DataFrame:
-    """Train and store every kind; one metrics row per kind and split."""
+    """Train and store every kind, with its predictions; one metrics row per kind and split."""
     results = []
     for kind in kinds:
-        model, metrics = train(df, kind, key, **(overrides or {}).get(kind, {}))
-        save(model, f"{folder.rstrip('/')}/{kind}")
+        place = f"{folder.rstrip('/')}/{kind}"
+        model, metrics = train(df, kind, key, f"{place}/predictions", **(overrides or {}).get(kind, {}))
+        save(model, place)
         results.append(metrics.withColumn("model", F.lit(kind)))
     return reduce(DataFrame.unionByName, results)
 
@@ -113,7 +132,7 @@ def save(model: CodedModel | PipelineModel, path: str) -> None:
     """Store a model with its preprocessing."""
     if isinstance(model, CodedModel):
         for column, table in model.codes.items():
-            table.write.mode("overwrite").parquet(f"{path}/codes/{column}")
+            table.write.mode("overwrite").parquet(f"{path}/codes/column={column}")
         model.fitted.write().overwrite().save(f"{path}/fitted")
     else:
         model.write().overwrite().save(path)
@@ -123,8 +142,9 @@ def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def load_coded(spark: SparkSession, path: str, categorical: list[str] = prep.CATEGORICAL) -> CodedModel:
-    codes = {c: spark.read.schema("label string, code bigint").parquet(f"{path}/codes/{c}") for c in categorical}
+def load_coded(spark: SparkSession, path: str) -> CodedModel:
+    columns = folders(spark, f"{path}/codes", "column")
+    codes = {c: spark.read.schema("label string, code bigint").parquet(f"{path}/codes/column={c}") for c in columns}
     return CodedModel(codes, load(f"{path}/fitted"))
 
 
@@ -139,32 +159,27 @@ def volume_study(df: DataFrame, shares: list[float], kind: str = "gradient_boost
     return reduce(DataFrame.unionByName, results)
 
 
-def forecast_pipeline(label: str = "budget", trees: int = 50, depth: int = 10) -> Pipeline:
-    """One-hot category, region, status and epoch seconds into a forest."""
-    columns = ["category", "region", "status"]
-    stages = [_index(columns, "alphabetAsc")]
-    stages.append(OneHotEncoder(inputCols=[f"{c}_index" for c in columns],
-                                outputCols=[f"{c}_hot" for c in columns], handleInvalid="keep"))
-    stages.append(VectorAssembler(inputCols=[f"{c}_hot" for c in columns] + ["day_seconds"], outputCol="features"))
-    stages.append(regressor("random_forest", label=label, numTrees=trees, maxDepth=depth))
-    return Pipeline(stages=stages)
+def forecast_pipeline(label: str = "budget", trees: int = 50, depth: int = 10,
+                      columns: list[str] = FOREST_COLUMNS) -> CodedPipeline:
+    """One-hot category, region, status (or other columns) and epoch seconds into a forest.
+
+    The dummies are sparse vectors made from the joined codes; the encoder
+    keeps the number of codes, no labels.
+    """
+    stages = [OneHotEncoder(inputCols=[f"{c}_index" for c in columns], outputCols=[f"{c}_hot" for c in columns],
+                            handleInvalid="keep"),
+              VectorAssembler(inputCols=[f"{c}_hot" for c in columns] + ["day_seconds"], outputCol="features"),
+              regressor("random_forest", label=label, numTrees=trees, maxDepth=depth)]
+    return CodedPipeline(columns, stages)
 
 
-def train_forecast(df: DataFrame, trees: int = 50, depth: int = 10) -> PipelineModel:
-    training = df.select("category", "region", "status", "budget",
-                         dates.epoch_seconds("published_at").alias("day_seconds"))
-    with cached(training):
-        return forecast_pipeline(trees=trees, depth=depth).fit(training)
+def train_forecast(df: DataFrame, trees: int = 50, depth: int = 10) -> CodedModel:
+    training = df.select(*FOREST_COLUMNS, "budget", dates.epoch_seconds("published_at").alias("day_seconds"))
+    return forecast_pipeline(trees=trees, depth=depth).fit(training)
 
 
-def forecast(model: PipelineModel, df: DataFrame, days: int = 30) -> DataFrame:
+def forecast(model: CodedModel, df: DataFrame, days: int = 30) -> DataFrame:
     """Predicted budget for each of the next days: (forecast_on, category, region, status, predicted_budget)."""
     future = prep.forecast_frame(df, days).withColumn("day_seconds", dates.epoch_seconds("forecast_on"))
     return model.transform(future).select("day", "forecast_on", "category", "region", "status",
                                           F.col("prediction").alias("predicted_budget"))
-
-
-def _index(columns: list[str], order: str) -> StringIndexer:
-    """One pass indexes all columns; a value unseen in training gets its own index."""
-    return StringIndexer(inputCols=columns, outputCols=[f"{c}_index" for c in columns], stringOrderType=order,
-                         handleInvalid="keep")

@@ -61,3 +61,17 @@ def label_encode(df: DataFrame, columns: list[str], suffix: str = "_code") -> Da
         codes = label_codes(df, column).select(F.col("label").alias("__label"), F.col("code").alias(column + suffix))
         df = df.join(codes, F.col(column) == F.col("__label"), "left").drop("__label")
     return df
+
+
+def code_tables(df: DataFrame, columns: list[str], by_frequency: bool = False) -> dict[str, DataFrame]:
+    """For each column its non-NULL labels with codes from 0, as a table (label, code): alphabetical, or most frequent first.
+
+    The labels of all columns are gathered in one pass and ranked together, so
+    that no column costs jobs of its own. Labels as many as rows are fine.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("of"), F.col(c).cast("string").alias("label")) for c in columns])
+    labels = df.select(F.explode(pairs).alias("p")).where("p.label IS NOT NULL").groupBy("p.of", "p.label").agg(
+        F.count(F.lit(1)).alias("n"))
+    order = [F.desc("n"), F.asc("label")] if by_frequency else [F.asc("label")]
+    ranked = durable(row_number_by(labels, ["of"], order, "code").select("of", "label", (F.col("code") - 1).alias("code")))
+    return {c: ranked.where(F.col("of") == c).select("label", "code") for c in columns}

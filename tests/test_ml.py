@@ -99,3 +99,32 @@ def test_frequency_forest_rmse(costs):
     rows = costs.withColumnRenamed("total_cost", "label")
     predicted = models.frequency_forest(trees=3).fit(rows).transform(rows)
     assert models.rmse(predicted) == pytest.approx(models.regression_metrics(predicted, "label").first().rmse)
+
+
+def test_metrics_are_those_of_the_stored_predictions(spark, costs):
+    import duckdb
+
+    folder = scratch_path(spark, "models")
+    small = {"gradient_boosting": {"maxIter": 3}, "random_forest": {"numTrees": 3}}
+    rows = costs.withColumn("total_cost", F.col("total_cost") + F.sin(F.col("id").cast("double")) * 4)
+    got = {(r.model, r.is_train): r for r in models.train_all(rows, folder, overrides=small).collect()}
+    assert len(got) == 6
+    for (kind, split), r in got.items():
+        mse, r2, mae, size = duckdb.execute(f"""SELECT avg((total_cost - prediction) ** 2), 1 - avg((total_cost - prediction) ** 2)
+            / var_pop(total_cost), avg(abs(total_cost - prediction)), count(*)
+            FROM '{folder}/{kind}/predictions/*.parquet' WHERE is_train = {split}""").fetchone()
+        assert (r.mse, r.rmse, r.r2, r.mae, r.size) == pytest.approx((mse, mse ** 0.5, r2, mae, size))
+
+
+def test_labels_of_every_row_reach_no_driver(costs):
+    """A forest over a label that each row has alone: codes are a table, the fitted stages know numbers only."""
+    rows = costs.withColumn("tender_no", F.concat(F.lit("t"), F.col("id"))).withColumn("label", F.col("total_cost"))
+    model = models.frequency_forest(trees=2, columns=["tender_no", "category"]).fit(rows)
+    assert not any("StringIndexer" in type(s).__name__ for s in model.fitted.stages)
+    assert model.codes["tender_no"].count() == 600
+    assert [r.label for r in model.codes["category"].orderBy("code").collect()] == ["c0", "c1", "c2"]
+    unseen = model.transform(rows.limit(2).withColumn("tender_no", F.when(F.col("id") == 0, "new")))
+    assert {r.tender_no_index for r in unseen.collect()} == {600.0}
+    hot = models.forecast_pipeline("label", trees=2, depth=2, columns=["tender_no"]).fit(
+        rows.withColumn("day_seconds", F.col("id").cast("double")))
+    assert hot.transform(rows.withColumn("day_seconds", F.lit(1.0))).where("prediction IS NULL").count() == 0

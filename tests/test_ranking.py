@@ -51,6 +51,38 @@ def test_quantiles_interpolate(spark, values):
     assert got == pytest.approx({p: float(np.quantile(values, p)) for p in probs})
 
 
+@pytest.mark.parametrize("kind", ["heavy tail", "constant", "two values", "one of many", "infinite", "negative"])
+def test_quantiles_by_brackets(spark, monkeypatch, kind):
+    monkeypatch.setattr(quantiles, "FEW", 5)
+    monkeypatch.setattr(quantiles, "SKETCH", 64)  # so inexact that brackets miss
+    rng = np.random.default_rng(3)
+    values = {"heavy tail": rng.pareto(0.3, 3000), "constant": np.full(3000, 7.25), "two values": rng.choice([1.0, 2.0], 3000),
+              "one of many": np.where(rng.random(3000) < 0.7, 5.0, rng.normal(5, 1, 3000)),
+              "infinite": np.where(rng.random(3000) < 0.2, np.inf, rng.normal(size=3000)), "negative": -rng.exponential(size=3000)}[kind]
+    probs = [0.0, 0.001, 0.1, 0.25, 0.5, 0.75, 0.9, 0.999, 1.0]
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)] * 10, "v double").repartition(6)
+    got = {r.probability: r.value for r in quantiles.exact_quantiles(df, "v", probs).collect()}
+    low, high = (np.quantile(values, probs, method=m) for m in ("lower", "higher"))
+    share = np.mod(np.multiply(probs, len(values) - 1), 1)
+    want = [float(a) if a == b else float(a + (b - a) * s) for a, b, s in zip(low, high, share)]
+    assert got == pytest.approx(dict(zip(probs, want)))
+
+
+def test_quantiles_put_nan_last(spark):
+    df = spark.createDataFrame([(1.0,), (2.0,), (float("nan"),), (3.0,), (float("nan"),)], "v double")
+    got = [r.value for r in quantiles.exact_quantiles(df, "v", [0.0, 0.5, 1.0]).orderBy("probability").collect()]
+    assert got[:2] == [1.0, 3.0] and np.isnan(got[2])
+
+
+def test_quantile_passes_shuffle_no_values(spark):
+    df = spark.range(200_000).selectExpr("CAST(id * 7919 % 200000 AS double) AS v")
+    values = df.where("v IS NOT NULL")
+    plan = values.agg(quantiles._cuts(F.lit(True)))._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" in plan and "hashpartitioning" not in plan and "rangepartitioning" not in plan
+    ranks = {0, 1234, 99_999, 199_999}
+    assert quantiles.ranked_values(values, ranks, 200_000, values.agg(quantiles._cuts(F.lit(True))).first()[0]) == {r: float(r) for r in ranks}
+
+
 def test_quantiles_of_nothing(spark):
     df = spark.createDataFrame([(None,)], "v double")
     assert quantiles.exact_quantiles(df, "v", [0.5]).collect() == []
