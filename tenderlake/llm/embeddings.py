@@ -112,9 +112,10 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     n_links counts the other rows linked directly, component is the smallest
     id reachable (the own id included), kept marks the row that stands for its
     component. Null vectors, zero vectors, vectors with null or non-finite
-    components, of another length than the most frequent one, and rows of null
-    id or label link with nothing. Equal vectors are indexed once and counted
-    as often as they occur; repeated rows count as rows of their own.
+    components, and rows of null id or label link with nothing; vectors of
+    different lengths do not link with each other, and every length has an
+    index of its own. Equal vectors are indexed once and counted as often as
+    they occur; repeated rows count as rows of their own.
     """
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("string").alias("label"),
                           F.col(vector_col).alias("vector"))
@@ -123,12 +124,10 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
         "vector", lambda x: x != 0))
     classes = stored(sound.groupBy("label", "vector").agg(F.min("id").alias("rep"), F.count("*").alias("copies")),
                      "vectors")
-    length = classes.groupBy(F.size("vector").alias("n")).count().orderBy(F.desc("count"), "n").first()
-    if length is None:
-        return rows.select("id", F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component"),
-                           F.lit(True).alias("kept"))
-    classes = classes.where(F.size("vector") == length["n"])
-    found = stored(_links(classes, length["count"], threshold, options), "vector-links")
+    found = classes.sparkSession.createDataFrame([], "edge boolean, a long, b long, n long")
+    for length in classes.groupBy(F.size("vector").alias("n")).count().where("count > 1").orderBy("n").collect():
+        own = classes.where(F.size("vector") == length["n"])
+        found = found.unionAll(stored(_links(own, length["count"], threshold, options), "vector-links"))
     counts = found.where("not edge").groupBy(F.col("a").alias("rep")).agg((F.sum("n") - 1).alias("n_links"))
     groups = connected_components(found.where("edge"))
     done = stored(classes.join(counts, "rep", "left").join(groups, F.col("rep") == F.col("node"), "left").select(
@@ -171,7 +170,7 @@ def _links(classes: DataFrame, n: int, threshold: float, options: Settings) -> D
     placed = stored(classes.select("label", "rep", "copies", "vector").mapInArrow(
         place, f"label string, rep long, copies long, vector {kind}, list int, probes array<int>, code binary, "
                "off double"), "placed")
-    probes = placed.select("label", "rep", "vector", F.explode("probes").alias("list"))
+    probes = placed.select("label", "rep", "copies", "vector", F.col("list").alias("home"), F.explode("probes").alias("list"))
     # Rows of a list and queries of a list are cut into slices; each pair of slices is a tile.
     slices = lambda c: F.ceil(F.col(c) / tile).cast("int")
     cells = stored(placed.groupBy("label", "list").agg(F.count("*").alias("held")).join(
@@ -181,10 +180,10 @@ def _links(classes: DataFrame, n: int, threshold: float, options: Settings) -> D
     part_of = lambda c: F.pmod(F.xxhash64("rep"), F.col(c)).cast("int")
     held = placed.join(cells, ["label", "list"]).select(
         "label", "list", part_of("held").alias("i"), spread("asked").alias("j"), F.lit(0).alias("role"), "rep",
-        "copies", "vector", "code", "off")
+        "copies", "vector", "code", "off", F.col("list").alias("home"), "probes")
     asked = probes.join(cells, ["label", "list"]).select(
         "label", "list", spread("held").alias("i"), part_of("asked").alias("j"), F.lit(1).alias("role"), "rep",
-        F.lit(0).cast("long").alias("copies"), "vector", F.lit(b"").alias("code"), F.lit(0.0).alias("off"))
+        "copies", "vector", F.lit(b"").alias("code"), F.lit(0.0).alias("off"), "home", F.array().cast("array<int>").alias("probes"))
     tiles = held.unionByName(asked).withColumn("key", F.xxhash64("label", "list", "i", "j"))
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,38 +206,64 @@ def _links(classes: DataFrame, n: int, threshold: float, options: Settings) -> D
         search, "edge boolean, a long, b long, n long")
 
 
+#: Queries of a tile compared at once.
+QUERIES = 256
+
+
 def _tile(part: pa.Table, model: Quantiser, radius: float, threshold: float):
+    """Link counts of a tile's rows and edges that span their components; memory follows ``QUERIES`` times the rows held.
+
+    A pair of two lists is found by every query that probes the other's list;
+    where only one does, its link counts for both ends.
+    """
     role = column(part, "role")
     cut = int(np.searchsorted(role, 1))
     if cut in (0, len(role)):
         return
     rep, label, lists = column(part, "rep"), np.array(part.column("label").to_pylist()), column(part, "list")
+    copies, home, off = column(part, "copies"), column(part, "home"), column(part, "off")[:cut]
     x = _unit(_matrix(part))
     known, asked = x[:cut], x[cut:]
     codes = np.frombuffer(b"".join(part.column("code").slice(0, cut).to_pylist()), np.uint8).reshape(cut, -1)
-    # Asymmetric distances: one table of squared distances for each query and subspace.
-    queries = model.split((asked - model.centres[lists[cut:]]).astype(np.float32))
-    reach = np.zeros((len(asked), cut), np.float32)
-    for m, book in enumerate(model.books):
-        reach += _squared(queries[:, m], book)[:, codes[:, m]]
-    reach = np.sqrt(np.maximum(reach, 0)) <= radius + column(part, "off")[:cut] + 1e-3
-    reach &= (label[cut:, None] == label[:cut]) & (lists[cut:, None] == lists[:cut])
-    q, k = np.nonzero(reach)
-    exact = np.einsum("ij,ij->i", asked[q], known[k]) >= threshold
-    q, k = q[exact], k[exact]
-    if not len(q):
-        return
-    linked = np.bincount(q, column(part, "copies")[k], len(asked)).astype(np.int64)
-    some = np.flatnonzero(linked)
-    yield False, rep[cut:][some], rep[cut:][some], linked[some]
-    names, ends = np.unique(np.stack([rep[cut:][q], rep[k]]), return_inverse=True)
-    a, b = ends.reshape(2, -1)
-    root, last = np.arange(len(names)), None
-    while last is None or not np.array_equal(root, last):
-        last = root.copy()
-        low = np.minimum(root[a], root[b])
-        np.minimum.at(root, a, low)
-        np.minimum.at(root, b, low)
-        root = root[root]
+    probed = np.zeros((cut, len(model.centres)), bool)
+    for k, own in enumerate(part.column("probes").slice(0, cut).to_pylist()):
+        probed[k, own] = True
+    names, place = np.unique(rep, return_inverse=True)
+    root = np.arange(len(names))
+    linked, back = np.zeros(len(asked), np.int64), np.zeros(cut, np.int64)
+    for at in range(0, len(asked), QUERIES):
+        own = np.arange(at, min(at + QUERIES, len(asked)))
+        # Asymmetric distances: one table of squared distances for each query and subspace.
+        queries = model.split((asked[own] - model.centres[lists[cut + own]]).astype(np.float32))
+        reach = np.zeros((len(own), cut), np.float32)
+        for m, book in enumerate(model.books):
+            reach += _squared(queries[:, m], book)[:, codes[:, m]]
+        reach = np.sqrt(np.maximum(reach, 0)) <= radius + off + 1e-3
+        reach &= (label[cut + own, None] == label[:cut]) & (lists[cut + own, None] == lists[:cut])
+        cosine = asked[own] @ known.T
+        # At the very threshold, sums in one fixed order decide, for both ends alike.
+        q, k = np.nonzero(reach & (np.abs(cosine - threshold) < 1e-9))
+        cosine[q, k] = np.einsum("ij,ij->i", asked[own[q]], known[k])
+        q, k = np.nonzero(reach & (cosine >= threshold))
+        linked[own] = np.bincount(q, copies[k], len(own)).astype(np.int64)
+        alone = ~probed[k, home[cut + own[q]]]
+        back += np.bincount(k[alone], copies[cut + own[q[alone]]], cut).astype(np.int64)
+        _tie(root, place[cut + own[q]], place[k])
+    for ids, n in ((rep[cut:], linked), (rep[:cut], back)):
+        some = np.flatnonzero(n)
+        yield False, ids[some], ids[some], n[some]
     tied = np.flatnonzero(root != np.arange(len(names)))
     yield True, names[tied], names[root[tied]], np.zeros(len(tied), np.int64)
+
+
+def _tie(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Give the smallest root to all that the pairs (a, b) join."""
+    while True:
+        x, y = root[a], root[b]
+        apart = x != y
+        if not apart.any():
+            return
+        x, y = x[apart], y[apart]
+        np.minimum.at(root, np.maximum(x, y), np.minimum(x, y))
+        while not np.array_equal(root, root[root]):
+            root[:] = root[root]

@@ -68,3 +68,45 @@ def test_empty(spark):
     assert embeddings.near_duplicates(spark.createDataFrame([], KIND)).collect() == []
     none = spark.createDataFrame([(1, None, 1, 1), (2, [0.0], 1, 1)], KIND)
     assert sorted(tuple(r) for r in embeddings.near_duplicates(none).collect()) == [(1, 0, 1, True), (2, 0, 2, True)]
+
+
+def test_pairs_across_lists_count_for_both_ends(spark):
+    rows = data(seed=8, n=900)
+    options = embeddings.Settings(margin=0.5, most_lists=1024)
+    got = {r.id: (r.n_links, r.component, r.kept) for r in
+           embeddings.near_duplicates(spark.createDataFrame(rows, KIND), options=options).collect()}
+    # At half the radius one of two neighbours always probes the other's list.
+    assert got == brute(rows)
+
+
+def test_every_length_links_within_itself(spark):
+    long, short = [1.0, 2.0, 3.0], [1.0, 2.0]
+    rows = [(1, long, 1, 0), (2, long, 1, 0), (3, [1.0, 2.0, 3.05], 1, 0), (4, short, 1, 0), (5, [1.0, 2.01], 1, 0), (6, short, 2, 0),
+            (7, [5.0], 1, 0), (8, [7.0], 1, 0), (9, [-7.0], 1, 0), (10, [0.0], 1, 0)]
+    got = {r.id: (r.n_links, r.component) for r in embeddings.near_duplicates(spark.createDataFrame(rows, KIND)).collect()}
+    assert got == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (1, 4), 5: (1, 4), 6: (0, 6), 7: (1, 7), 8: (1, 7), 9: (0, 9), 10: (0, 10)}
+
+
+def test_memory_of_a_dense_list(spark):
+    """All pairs of 5,000 vectors of one list are links: far less than a gigabyte is held."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(1)
+    n, dims = 5000, 64
+    base = rng.normal(size=dims)
+    x = base + rng.normal(0, 0.01, (n, dims))
+    model = embeddings.fit(embeddings._unit(x[:500]), 1, embeddings.Settings())
+    codes, off = model.encode((embeddings._unit(x) - model.centres[0]).astype(np.float32))
+    one = pa.table({"label": ["a"] * n, "list": np.zeros(n, np.int32), "role": np.zeros(n, np.int32), "rep": np.arange(n),
+                    "copies": np.ones(n, np.int64), "vector": list(x), "code": [c.tobytes() for c in codes], "off": off,
+                    "home": np.zeros(n, np.int32), "probes": [[0]] * n})
+    both = pa.concat_tables([one, one.set_column(2, "role", pa.array(np.ones(n, np.int32)))])
+    tracemalloc.start()
+    found = list(embeddings._tile(both, model, float(np.sqrt(0.14)), 0.93))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 500e6
+    counts, back, edges = found
+    assert (counts[3] == n).all() and len(back[1]) == 0 and len(edges[1]) == n - 1 and (edges[2] == 0).all()
