@@ -27,6 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -174,25 +175,33 @@ class Block:
         sums = hashing.prefix(self.octets)
         whole = hashing.mixed(hashing.substrings(sums, place - left, place + layout.gram + right)
                               + (left * 64 + right).astype(np.uint64) * np.uint64(hashing.BASE))
-        own = np.lexsort((self.orders[at], whole))
-        name = np.flatnonzero(np.concatenate([[True], whole[own][1:] != whole[own][:-1]])) if len(own) else own
-        group = np.zeros(len(own), np.int64)
-        group[own] = np.repeat(np.arange(len(name)), np.diff(np.append(name, len(own))))
-        lead = own[name]  # of each hash the anchor in the first document
-        self._verify(place, left, right, lead[group], layout)
+        while True:
+            own = np.lexsort((place, self.orders[at], whole))
+            name = np.flatnonzero(np.concatenate([[True], whole[own][1:] != whole[own][:-1]])) if len(own) else own
+            group = np.zeros(len(own), np.int64)
+            group[own] = np.repeat(np.arange(len(name)), np.diff(np.append(name, len(own))))
+            lead = own[name]  # of each hash the anchor in the first document
+            other = _differing(self.octets, place, left, right, lead[group], layout)
+            if not len(other):
+                break
+            # Two surroundings of one hash: those that differ from the first are named by another hash of their bytes.
+            windows = _window(self.octets, place[other], left[other], right[other], layout)
+            whole[other] = [xxhash.xxh3_64_intdigest(w.tobytes(), int(h) & 0xFFFFFFFF) for w, h in zip(windows, whole[other])]
         return {"place": place, "left": left, "right": right, "order": self.orders[at], "hash": whole, "lead": lead,
                 "group": group, "gram": hashing.mixed(hashing.substrings(sums, place, place + layout.gram))}
 
-    def _verify(self, place, left, right, lead, layout: Layout) -> None:
-        """Equal hashes stand for equal bytes."""
-        for at in range(0, len(place), 1 << 15):
-            own = np.arange(at, min(at + (1 << 15), len(place)))
-            own = own[lead[own] != own]
-            same = (left[own] == left[lead[own]]) & (right[own] == right[lead[own]])
-            same &= (_window(self.octets, place[own], left[own], right[own], layout) ==
-                     _window(self.octets, place[lead[own]], left[lead[own]], right[lead[own]], layout)).all(axis=1)
-            if not same.all():
-                raise ArithmeticError("two surroundings of one hash: choose another hashing.BASE")
+
+def _differing(octets: np.ndarray, place, left, right, lead, layout: Layout) -> np.ndarray:
+    """Those whose surroundings are not, byte by byte, the ones of their ``lead``."""
+    found = [np.empty(0, np.int64)]
+    for at in range(0, len(place), 1 << 15):
+        own = np.arange(at, min(at + (1 << 15), len(place)))
+        own = own[lead[own] != own]
+        same = (left[own] == left[lead[own]]) & (right[own] == right[lead[own]])
+        same &= (_window(octets, place[own], left[own], right[own], layout) ==
+                 _window(octets, place[lead[own]], left[lead[own]], right[lead[own]], layout)).all(axis=1)
+        found.append(own[~same])
+    return np.concatenate(found)
 
 
 def _window(octets: np.ndarray, place: np.ndarray, left: np.ndarray, right: np.ndarray, layout: Layout) -> np.ndarray:
@@ -481,6 +490,10 @@ def _repeats(layout: Layout):
         octets = np.frombuffer(b"".join(body), np.uint8)
         # The same surroundings in several blocks are sorted once, for their first document.
         _, lead, which = np.unique(name, return_index=True, return_inverse=True)
+        # Different surroundings under one name in different blocks are sorted each for itself.
+        other = _differing(octets, places, left, right, lead[which], layout)
+        which[other] = len(lead) + np.arange(len(other))
+        lead = np.concatenate([lead, other])
         low = np.full(len(lead), LAST, np.int64)
         np.minimum.at(low, which, order)
         gram = hashing.substrings(hashing.prefix(octets), places[lead], places[lead] + layout.gram)

@@ -96,3 +96,42 @@ def test_collisions_are_found_out(monkeypatch):
     sizes, groups = np.full(60, 9), np.zeros(60, np.int64)
     order, common = suffixes._runs(rows, sizes, groups)
     assert [bytes(rows[k]) for k in order] == sorted(map(bytes, rows))
+
+
+def test_surroundings_of_one_hash_are_told_apart(monkeypatch):
+    """With a hash of two bits nearly all surroundings collide; groups are still those of equal bytes."""
+    rng = random.Random(6)
+    texts = [("".join(rng.choices("ab", k=rng.randrange(60, 120)))).encode() for _ in range(12)]
+    texts += [texts[0], texts[3][10:], b"x" + texts[5]]
+    layout = suffixes.Layout(50, 24)
+    block = object.__new__(suffixes.Block)
+    block.octets = np.frombuffer(b"".join(texts), np.uint8)
+    block.orders = np.arange(len(texts))
+    block.ends = np.cumsum([len(t) for t in texts])
+    block.starts = block.ends - [len(t) for t in texts]
+    place, _ = suffixes.anchors(block.octets, block.starts, block.ends, layout)
+    order = np.searchsorted(block.ends, place, side="right")
+    monkeypatch.setattr(hashing, "mixed", lambda v: v & np.uint64(3))
+    seen = block.surroundings(order, place - block.starts[order], layout)
+    windows = suffixes._window(block.octets, seen["place"], seen["left"], seen["right"], layout)
+    content = [(w.tobytes(), a, b) for w, a, b in zip(windows, seen["left"], seen["right"])]
+    assert len(set(content)) == len(set(seen["group"])) == len(set(zip(content, seen["group"])))
+    assert len(set(seen["hash"])) == len(set(content)) < len(content)
+    again = block.surroundings(order[::-1], (place - block.starts[order])[::-1], layout)
+    assert np.array_equal(again["hash"], seen["hash"][::-1])
+
+
+def test_one_name_for_different_surroundings_of_two_blocks():
+    layout = suffixes.Layout(50, 24)
+    same, other = b"a" * 50, b"a" * 20 + b"b" + b"a" * 29  # one gram, one name, other bytes behind
+    reach = layout.length - layout.gram
+
+    def rows(number, order, body):
+        head = suffixes._blob(np.array([7], np.uint64), np.array([order]), np.array([0], np.uint8), np.array([reach], np.uint8))
+        return b"".join([np.array([number, len(head), len(body)], "<i8").tobytes(), head,
+                         suffixes.pa.compress(body, "zstd", asbytes=True)])
+
+    part = suffixes.pa.Table.from_batches([suffixes._rows([0] * 3, "around", [rows(1, 5, same), rows(2, 6, other), rows(3, 9, same)])])
+    found = suffixes._repeats(layout)(part)
+    marks = dict(zip(found.column("part").to_pylist(), found.column("data")))
+    assert set(marks) == {3}  # only the later copy of equal bytes
