@@ -144,12 +144,11 @@ FROM judged"""
 @query("op8_revisits", OP8_SQL)
 def op8_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     captures = spark.sql(CAPTURES.replace("FROM pages", "FROM {pages}"), pages=table(spark, sf_dir, "pages"))
-    records = captures.select("record_id", "record_type", "url", F.timestamp_seconds("seconds").alias("date"), "headers",
-                              F.sha2("payload", 256).alias("payload_sha256"))
-    found = revisits.resolve(records, carry=("payload_sha256",))
+    records = captures.select("record_id", "record_type", "url", F.timestamp_seconds("seconds").alias("date"), "headers", "payload")
+    found = revisits.resolve(records, carry=("payload",))
     fields = F.array_join(F.transform("fields", lambda h: F.concat(h["name"], F.lit("="), h["value"])), ";")
     return found.select("record_id", "record_type", "canonical_url", "outcome", "source_id", fields.alias("fields"),
-                        "payload_sha256")
+                        F.sha2("payload", 256).alias("payload_sha256"))
 
 
 OP11_SQL = r"""
