@@ -163,8 +163,9 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     name = f"tenders_{uuid.uuid4().hex}"
     sinks.write_table(fx.tenders(spark, sf_dir).select("category", "budget"), name, path=scratch_path(spark, "table"))
-    return rounded(spark.table(name).groupBy("category").agg(F.count(F.lit(1)).alias("n"),
-                                                             F.sum("budget").alias("total_budget")))
+    found = rounded(spark.table(name).groupBy("category").agg(F.count(F.lit(1)).alias("n"), F.sum("budget").alias("total_budget")))
+    spark.sql(f"DROP TABLE {name}")  # the entry; the files are the owner's
+    return found
 
 
 @query("raw_load", fx.over("tenders", body="""
@@ -174,10 +175,10 @@ def _(spark, sf_dir):
     root = scratch_path(spark, "raw")
     frame = fx.tenders(spark, sf_dir).withColumn("published_at", F.col("published_at").cast("timestamp"))
     sinks.append_raw(frame, f"{root}/raw", f"{root}/log", "upload", CLOCK, "first")
-    stored = files.read_layer(spark, f"{root}/raw", schema.RAW_LAYER).groupBy("load_source") \
+    stored = files.read_layer(spark, f"{root}/raw", schema.RAW_LAYER).groupBy("run_id", "load_source") \
         .agg(F.count(F.lit(1)).alias("stored"))
     log = files.read_layer(spark, f"{root}/log", schema.ETL_LOG)
-    return log.join(stored, F.col("records_count") == F.col("stored")) \
+    return log.join(stored, "run_id") \
         .select("stage", "status", "records_count", "stored", "load_source")
 
 
@@ -213,9 +214,16 @@ def _(spark, sf_dir):
     return layers.existing(fx.tenders(spark, sf_dir), ["category", "no_such_column", "id"])
 
 
-@query("stored_bytes", "SELECT 14 AS files, true AS has_bytes")
+_SIZED = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents"]
+
+
+@query("stored_bytes", " UNION ALL ".join(
+    f"SELECT '{name}' AS name, count(*) AS rows, true AS has_files, true AS plausible FROM {name}" for name in _SIZED))
 def _(spark, sf_dir):
-    return layout.stored_bytes(spark, sf_dir).select("files", (F.col("bytes") > 0).alias("has_bytes"))
+    sizes = [layout.dataset_size(fx.table(spark, sf_dir, name)).select(
+        F.lit(name).alias("name"), "rows", (F.col("files") > 0).alias("has_files"),
+        (F.col("bytes") > F.col("rows")).alias("plausible")) for name in _SIZED]
+    return files.union_feeds(*sizes)
 
 
 @query("partition_rows", "SELECT count(*) AS rows, true AS numbered FROM lineitem")

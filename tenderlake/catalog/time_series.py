@@ -4,6 +4,7 @@ from datetime import date
 
 from pyspark.sql import functions as F
 
+from tenderlake import sinks
 from tenderlake.catalog import fixtures as fx
 from tenderlake.catalog.registry import DAY, SECOND, as_text, query, rounded
 from tenderlake.operators import filters, layers, trends
@@ -60,7 +61,7 @@ _SELECTED = "SELECT * FROM tenders WHERE category IN ('BUILDING', 'MACHINERY')"
     SELECT count(*) AS periods, round(max(v), 2) AS max_total, round(min(v), 2) AS min_total,
            round((arg_max(v, day) - arg_min(v, day)) * 100 / arg_min(v, day), 4) AS change_pct FROM daily"""))
 def _(spark, sf_dir):
-    regions = [r[0] for r in fx.table(spark, sf_dir, "nation").select("n_name").distinct().collect()]
+    regions = fx.table(spark, sf_dir, "nation").select("n_name")
     report = trend_report.report(fx.tenders(spark, sf_dir), ["BUILDING", "MACHINERY"], regions)
     return report["summary"].withColumns({"max_total": F.round("max_total", 2), "min_total": F.round("min_total", 2),
                                           "change_pct": F.round("change_pct", 4)})
@@ -70,7 +71,7 @@ def _(spark, sf_dir):
     SELECT {_DAY}, category, round(sum(budget), 2) AS total_budget FROM ({_SELECTED}) s
     WHERE region IN (SELECT n_name FROM nation ORDER BY n_name LIMIT 5) GROUP BY day, category"""))
 def _(spark, sf_dir):
-    regions = [r[0] for r in fx.table(spark, sf_dir, "nation").select("n_name").orderBy("n_name").limit(5).collect()]
+    regions = fx.table(spark, sf_dir, "nation").select("n_name").orderBy("n_name").limit(5)
     report = trend_report.report(fx.tenders(spark, sf_dir), ["BUILDING", "MACHINERY"], regions)
     return as_text(rounded(report["by_category"]), day=DAY)
 
@@ -89,6 +90,18 @@ def _(spark, sf_dir):
     return as_text(kept.select("tender_no", "loaded_at"), loaded_at=DAY)
 
 
+@query("ledger_by_month", fx.over("ledger", body="""
+    SELECT tender_no, strftime(loaded_at, '%Y-%m-%d') AS loaded_at FROM ledger
+    WHERE ledger.loaded_at >= date_trunc('month', (SELECT max(loaded_at) FROM ledger))"""))
+def _(spark, sf_dir):
+    """The ledger in folders of months; retention drops whole folders."""
+    path = scratch_path(spark, "ledger-months")
+    rows = fx.ledger(spark, sf_dir)
+    sinks.write_by_day(rows, path, "loaded_at", "month")
+    sinks.drop_days(spark, path, rows.agg(F.max("loaded_at")).first()[0].date().replace(day=1))
+    return as_text(spark.read.parquet(path).select("tender_no", "loaded_at"), loaded_at=DAY)
+
+
 @query("newer_than_mark", fx.over("feed_items", body="""
     SELECT item_id FROM feed_items
     WHERE published = 'soon' OR item_id IN (SELECT id FROM tenders WHERE published_at > TIMESTAMP '2000-06-15')"""))

@@ -52,9 +52,15 @@ def matches_selection(df: DataFrame, category: str, region: str, status: str, lo
                      & F.col("budget").between(low, high))
 
 
-def in_selections(df: DataFrame, categories: list[str], regions: list[str]) -> DataFrame:
-    """Multi-select on category and region."""
-    return df.filter(F.col("category").isin(list(categories)) & F.col("region").isin(list(regions)))
+def in_selections(df: DataFrame, categories: list[str] | DataFrame, regions: list[str] | DataFrame) -> DataFrame:
+    """Multi-select on category and region: lists, or one-column tables of any size."""
+    return _selected(_selected(df, "category", categories), "region", regions)
+
+
+def _selected(df: DataFrame, column: str, wanted: list[str] | DataFrame) -> DataFrame:
+    if not isinstance(wanted, DataFrame):
+        return df.filter(F.col(column).isin(list(wanted)))
+    return df.join(wanted.toDF(column), column, "left_semi")
 
 
 def with_positive(df: DataFrame, column: str) -> DataFrame:

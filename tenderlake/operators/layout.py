@@ -49,6 +49,14 @@ def stored_bytes(spark: SparkSession, path: str) -> DataFrame:
                                         F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"))
 
 
+def dataset_size(df: DataFrame) -> DataFrame:
+    """One row: files, bytes and rows of a table read from files, those without a row left out."""
+    each = df.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.min("_metadata.file_size").alias("bytes"), F.count(F.lit(1)).alias("rows"))
+    return each.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes"),
+                    F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
+
+
 #: Settings a run is described by.
 FACTS = ["spark.app.name", "spark.master", "spark.executor.memory", "spark.default.parallelism",
          "spark.sql.shuffle.partitions"]

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from tenderlake.operators import filters, trends
 
 
-def report(tenders: DataFrame, categories: list[str], regions: list[str]) -> dict[str, DataFrame]:
+def report(tenders: DataFrame, categories: list[str] | DataFrame, regions: list[str] | DataFrame) -> dict[str, DataFrame]:
     chosen = filters.in_selections(tenders, categories, regions)
     return {
         "daily_budget": trends.daily_sum(chosen),

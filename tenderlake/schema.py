@@ -48,6 +48,7 @@ ETL_LOG = T.StructType([
     T.StructField("logged_at", T.TimestampType()),
     T.StructField("error_message", T.StringType()),
     T.StructField("duration_seconds", T.DoubleType()),
+    T.StructField("run_id", T.StringType()),
 ])
 
 LEDGER = T.StructType([

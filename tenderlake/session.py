@@ -102,12 +102,12 @@ def delete(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
-def folders(spark: SparkSession, path: str, key: str) -> list[str]:
-    """Values of the complete ``key=value`` folders below a path: those that Spark has marked as written."""
+def folders(spark: SparkSession, path: str, key: str, complete: bool = True) -> list[str]:
+    """Values of the ``key=value`` folders below a path; ``complete`` ones are those that Spark has marked as written."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
     top = hadoop.Path(path)
     store = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not store.exists(top):
         return []
     found = [s.getPath() for s in store.listStatus(top) if s.isDirectory() and s.getPath().getName().startswith(f"{key}=")]
-    return sorted(p.getName()[len(key) + 1:] for p in found if store.exists(hadoop.Path(p, "_SUCCESS")))
+    return sorted(p.getName()[len(key) + 1:] for p in found if not complete or store.exists(hadoop.Path(p, "_SUCCESS")))

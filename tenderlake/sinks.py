@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
-from tenderlake.operators import layers
+from tenderlake.operators import layers, sketches
 from tenderlake.schema import ETL_LOG
 from tenderlake.session import delete, folders
 
@@ -97,6 +97,37 @@ def replace_snapshot(df: DataFrame, path: str) -> str:
     return new
 
 
+def write_by_day(df: DataFrame, path: str, time: str, unit: str = "day") -> str:
+    """Rows in one folder for each day of ``time`` (or the first day of its month, year, ...).
+
+    The folders that come are replaced, the others stay as they are.
+    """
+    df.withColumn("day", F.to_date(F.date_trunc(unit, time))).repartition("day").write.mode("overwrite").partitionBy("day") \
+        .option("partitionOverwriteMode", "dynamic").parquet(path)
+    return path
+
+
+def drop_days(spark: SparkSession, path: str, before: date) -> list[str]:
+    """Delete the folders of days before a date; nothing else is read or written. Rows without a day stay."""
+    old = [d for d in folders(spark, path, "day", complete=False) if d[:1].isdigit() and date.fromisoformat(d) < before]
+    for day in old:
+        delete(spark, f"{path.rstrip('/')}/day={day}")
+    return old
+
+
+def write_sketch(rows: DataFrame, path: str, run_id: str) -> str:
+    """The sketch row of a load; repeating the load replaces it."""
+    return write_parquet(sketches.run_sketch(rows), f"{path.rstrip('/')}/run_id={run_id}")
+
+
+def brought(df: DataFrame, most: int = 10_000) -> list[Row]:
+    """A small result as rows on the driver; more than ``most`` rows are an error, not a full driver."""
+    rows = df.limit(most + 1).collect()
+    if len(rows) > most:
+        raise ValueError(f"more than {most} rows: write the result instead")
+    return rows
+
+
 def sync_table(df: DataFrame, path: str) -> str:
     """Copy a table to Parquet."""
     return write_parquet(df, path, "overwrite")
@@ -109,14 +140,14 @@ def _add_run(df, path, log_path, stage, clock, run_id) -> int:
     try:
         write_parquet(df.observe(seen, F.count(F.lit(1)).alias("rows")), f"{path}/run_id={run_id}")
     except Exception as error:
-        _log(spark, log_path, stage, "ERROR", 0, clock, str(error), started)
+        _log(spark, log_path, stage, "ERROR", 0, clock, str(error), started, run_id)
         raise
     rows = seen.get["rows"]
-    _log(spark, log_path, stage, "SUCCESS", rows, clock, None, started)
+    _log(spark, log_path, stage, "SUCCESS", rows, clock, None, started, run_id)
     return rows
 
 
-def _log(spark, log_path, stage, status, rows, clock, message, started):
+def _log(spark, log_path, stage, status, rows, clock, message, started, run_id):
     seconds = (datetime.now() - started).total_seconds()
-    row = spark.createDataFrame([(stage, status, rows, clock, message, seconds)], ETL_LOG)
+    row = spark.createDataFrame([(stage, status, rows, clock, message, seconds, run_id)], ETL_LOG)
     write_parquet(row.coalesce(1), log_path, "append")

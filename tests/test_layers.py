@@ -284,3 +284,45 @@ def test_feed_load_that_stopped_before_its_ledger(spark, tmp_path):
     feed_ingest.run(spark, str(feed_dir), str(lake), "feed", CLOCK, "r1")
     shutil.rmtree(lake / "ledger")
     assert feed_ingest.run(spark, str(feed_dir), str(lake), "feed", CLOCK, "r2") == outcome(0, 2)
+
+
+def test_retention_touches_no_other_day(spark, tmp_path):
+    from datetime import date
+
+    path = str(tmp_path / "days")
+    rows = spark.createDataFrame([(k, datetime(2024, 1, 1 + k % 5)) for k in range(50)] + [(99, None)], "k int, at timestamp")
+    sinks.write_by_day(rows, path, "at")
+    before = {f: f.stat().st_mtime_ns for f in (tmp_path / "days").rglob("*.parquet")}
+    assert sinks.drop_days(spark, path, date(2024, 1, 3)) == ["2024-01-01", "2024-01-02"]
+    left = {f: f.stat().st_mtime_ns for f in (tmp_path / "days").rglob("*.parquet")}
+    assert left.items() <= before.items() and spark.read.parquet(path).count() == 31
+    # A day that comes again is replaced, the others stay.
+    sinks.write_by_day(spark.createDataFrame([(1, datetime(2024, 1, 5))], "k int, at timestamp"), path, "at")
+    assert spark.read.parquet(path).count() == 22
+    assert sum(f in left and f.stat().st_mtime_ns == left[f] for f in (tmp_path / "days").rglob("*.parquet")) >= 3
+
+
+def test_totals_read_sketches_only(spark, tmp_path):
+    from tenderlake.operators import sketches
+
+    path = str(tmp_path / "sketches")
+    rows = spark.range(20_000).selectExpr("concat('c', id % 7) AS category", "concat('r', id % 90) AS region", "concat('o', id) AS organization",
+                                          "'x' AS status", "CAST(id AS double) AS budget", "id % 3 AS run")
+    for k in (0, 1, 2, 1):
+        sinks.write_sketch(rows.where(f"run = {k}"), path, f"r{k}")
+    sinks.write_sketch(rows.where("false"), path, "empty")
+    found = sketches.merged_stats(spark.read.parquet(path))
+    row = found.first()
+    assert (row.total_count, row.category_count, row.region_count, row.status_count, row.min_budget, row.max_budget) == (
+        20_000, 7, 90, 1, 0.0, 19_999.0)
+    assert abs(row.organization_count / 20_000 - 1) < 0.03 and row.avg_budget == pytest.approx(9999.5)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "sketches" in plan
+    none = sketches.merged_stats(spark.read.parquet(path).where("false")).first()
+    assert (none.total_count, none.organization_count, none.total_budget) == (0, 0, 0.0)
+
+
+def test_only_small_results_are_brought(spark):
+    assert [r.id for r in sinks.brought(spark.range(3), most=3)] == [0, 1, 2]
+    with pytest.raises(ValueError):
+        sinks.brought(spark.range(4), most=3)
