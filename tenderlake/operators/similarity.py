@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tenderlake.functions import text
 from tenderlake.operators.search import too_short
-from tenderlake.session import scratch_path
+from tenderlake.session import scratch_path, stored
 
 # Parameters of the ranking.
 MAX_TERMS = 5000
@@ -122,17 +122,32 @@ def search_index(index: TermIndex, query: str, limit: int = 100, threshold: floa
     dots = index.postings.where(F.col("term").isin(wanted)).join(F.broadcast(weights), "term").groupBy(
         index.key).agg(F.sum(F.col("weight") * F.col("query_weight")).alias("dot"))
     scored = dots.join(index.norms, index.key).select(index.key, F.try_divide("dot", "norm").alias("score"))
-    return (scored.where(F.col("score") > F.lit(threshold)).select(index.key, F.round("score", 6).alias("relevance_score"))
-            .orderBy(F.desc("relevance_score"), F.asc(index.key)).limit(limit))
+    return _best(scored, index.key, limit, threshold)
+
+
+def _best(scored: DataFrame, key: str, limit: int, threshold: float) -> DataFrame:
+    return (scored.where(F.col("score") > F.lit(threshold)).select(key, F.round("score", 6).alias("relevance_score"))
+            .orderBy(F.desc("relevance_score"), F.asc(key)).limit(limit))
 
 
 def similar_rows(df: DataFrame, query: str, column: str, key: str = "id", limit: int = 100,
                  threshold: float = THRESHOLD, max_terms: int = MAX_TERMS,
                  grams: tuple[int, int] = GRAMS) -> DataFrame:
-    """One search over a corpus without an index; ``build_index`` serves several."""
+    """One search over a corpus without an index; ``build_index`` serves several.
+
+    The counts are stored once, for the vocabulary and for the scores; weights
+    and norms are summed by document as they are read, and never stored.
+    """
     if too_short(query):
         return df.select(key, F.lit(0.0).alias("relevance_score")).limit(0)
-    return search_index(build_index(df, column, key, max_terms, grams), query, limit, threshold)
+    placed, documents = placed_texts(df, key, column)
+    counts = stored(term_counts(placed, key, column, grams), "term-counts")
+    terms = stored(vocabulary(term_totals(counts), documents, max_terms), "terms")
+    # At most ``max_terms`` rows, so the broadcast does not grow with the corpus.
+    weights = F.broadcast(weighted_vocabulary(terms, query, grams))
+    weight, asked = F.col("tf") * F.col("idf"), F.coalesce("query_weight", F.lit(0.0))
+    sums = counts.join(weights, "term").groupBy(key).agg(F.sum(weight * asked).alias("dot"), F.sum(weight * weight).alias("square"))
+    return _best(sums.select(key, F.try_divide("dot", F.sqrt("square")).alias("score")), key, limit, threshold)
 
 
 def semantic_search(df: DataFrame, query: str, limit: int = 100, corpus_limit: int | None = None) -> DataFrame:
