@@ -43,10 +43,28 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     joins that follow plain scans, whose skewed partitions Spark can split.
     """
     path = scratch_path(df.sparkSession, label)
+    _made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_made: list[str] = []
+
+
+def made() -> int:
+    """A mark: tables stored from here on can be released together."""
+    return len(_made)
+
+
+def release(result: DataFrame, mark: int) -> None:
+    """Delete the tables stored since the mark but the last, which is ``result`` and so no longer needs them."""
+    spark = result.sparkSession
+    for path in _made[mark:-1]:
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    del _made[mark:-1]
+
+
 def text_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a text column; null counts as empty."""
     return [b"" if x is None else x for x in column.cast(pa.binary()).to_pylist()]

@@ -1,9 +1,15 @@
-"""Near duplicates by the Jaccard similarity of shingle sets, exactly, by prefix filtering.
+"""Near duplicates by SimHash links first, completed to all pairs of a Jaccard similarity by prefix filtering.
 
-Two sets of similarity 0.8 or more share most of their shingles. With the
+Texts whose fingerprints are tied by deletion variants (operator 1) are each
+verified against the first of their group, on the whole shingle sets. That
+joins most near copies at the cost of one comparison a text. Fingerprints tell
+little about pairs near the similarity of 0.8, so the rest is found by an exact
+join: two sets of that similarity share most of their shingles. With the
 shingles of every set in one common order, the first shared one stands among
-the first fifth of both, so only those are indexed. Pairs that meet under a
-key, and could still share enough behind it, are verified on the whole sets.
+the first fifth of both, so only those are indexed. Members of a key group that
+are not yet in one component are compared with a pivot, and what is then still
+apart is compared pair by pair. Every link is verified on the whole sets.
+
 The order puts shingles first that are rare in a sample: it decides how many
 pairs meet for nothing, never which pairs are found.
 """
@@ -19,14 +25,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenderlake.llm import hashing
-from tenderlake.llm.common import binary_text, column, stored, text_batches, text_bytes, whole_groups
+from tenderlake.llm.common import binary_text, column, made, release, stored, text_batches, text_bytes, whole_groups
 from tenderlake.llm.components import connected_components
-from tenderlake.llm.simhash import shingle_hashes
+from tenderlake.llm.simhash import fingerprint, links, shingle_hashes
 
 #: Documents that tell which shingles are common, and how many of these shingles are known.
 SAMPLE, COMMON = 20_000, 400_000
-#: Key groups up to this size give all their pairs at once; of larger ones so many members are compared with all first.
+#: Key groups up to this size have one member compared with all the others first, larger ones so many.
 BULK, PIVOTS = 48, 4
+#: Texts compared with one pivot by one task.
+SHARE = 2_000
+#: Cells over which a set's shingles are counted, and the largest set whose counts are used.
+CELLS, COUNTED = 64, 60_000
 
 
 def shingle_set(text: bytes, width: int) -> np.ndarray:
@@ -66,124 +76,163 @@ def _prefix(hashes: np.ndarray, keys: np.ndarray, counts: np.ndarray) -> np.ndar
 
 
 def _sets(docs: DataFrame, width: int, common) -> DataFrame:
-    """(id, name, n, keys): the set's hash and size, and the shingles under which it is indexed."""
+    """(id, name, n, fp0, cells, keys): the set's hash and size, fingerprint, shingles by cell, and shingles it is indexed under."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = common.value
         for batch in text_batches(batches):
-            found = [shingle_set(t, width) for t in text_bytes(batch.column(1))]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([xxhash.xxh3_128_digest(f.tobytes()) for f in found], pa.binary()),
-                 pa.array([len(f) for f in found], pa.int64()),
-                 pa.array([_prefix(f, *known).tobytes() for f in found], pa.binary())], ["id", "name", "n", "keys"])
+            rows = []
+            for text in text_bytes(batch.column(1)):
+                hashes = shingle_hashes(text, width, 64)
+                found = np.unique(hashes)
+                cells = np.bincount((found >> np.uint64(58)).astype(np.int64), minlength=CELLS)
+                rows.append((xxhash.xxh3_128_digest(found.tobytes()), len(found), int(fingerprint(hashes)[0].astype(np.int64)),
+                             np.minimum(cells, COUNTED).astype("<u2").tobytes(), _prefix(found, *known).tobytes()))
+            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0)] + [pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)],
+                                             ["id", "name", "n", "fp0", "cells", "keys"])
 
-    return docs.mapInArrow(run, "id long, name binary, n long, keys binary")
+    return docs.mapInArrow(run, "id long, name binary, n long, fp0 long, cells binary, keys binary")
 
 
-def _index(classes: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+MEMBERS = "key long, row long, n long, pos long"
+
+
+def _shared(firsts: DataFrame) -> DataFrame:
+    """(key, row, n, pos) of the keys that several rows are indexed under."""
+
+    def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
                 keys = [np.frombuffer(k, np.int64) for k in part.column("keys").to_pylist()]
                 sizes = np.fromiter(map(len, keys), np.int64, len(keys))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(keys)), *(pa.array(np.repeat(column(part, c), sizes)) for c in ("rep", "n")),
-                     pa.array(np.concatenate([np.arange(s) for s in sizes]))], ["key", "rep", "n", "pos"])
-
-    return classes.select("rep", "n", "keys").mapInArrow(run, "key long, rep long, n long, pos long")
-
-
-def _may(n, pos, i, j) -> np.ndarray:
-    """Whether members that share this key first can share enough from there on."""
-    return similar(np.minimum(n[i] - pos[i], n[j] - pos[j]), n[i], n[j])
-
-
-PAIRS = "a long, b long, key long, n long, pos long"
+                    [pa.array(np.concatenate(keys)), *(pa.array(np.repeat(column(part, c), sizes)) for c in ("row", "n")),
+                     pa.array(np.concatenate([np.arange(s) for s in sizes]))], ["key", "row", "n", "pos"])
 
-
-def _meet(indexed: DataFrame) -> DataFrame:
-    """Pairs (a, b) to be verified; of groups over BULK those with a pivot, and their members (a, null, key, n, pos)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in whole_groups(batches, "key"):
-            key, rep, n, pos = (column(part, c) for c in ("key", "rep", "n", "pos"))
+            key, row = column(part, "key"), column(part, "row")
             starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             sizes = np.diff(np.append(starts, len(key)))
-            size = np.repeat(sizes, sizes)
-            small, large = np.flatnonzero((size > 1) & (size <= BULK)), np.flatnonzero(size > BULK)
-            a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-            for step in range(1, BULK):
-                i, j = small[:-step], small[step:]
-                same = key[i] == key[j]
-                if not same.any():
-                    break
-                i, j = i[same], j[same]
-                good = _may(n, pos, i, j)
-                a.append(rep[i[good]])
-                b.append(rep[j[good]])
-            for k in np.flatnonzero(sizes > BULK):
-                own = np.arange(starts[k], starts[k] + sizes[k])
-                # The same members are pivots under all keys.
-                for pivot in own[np.argsort(hashing.mixed(rep[own].astype(np.uint64)))[:PIVOTS]]:
-                    near = own[_may(n, pos, own, np.full(len(own), pivot))]
-                    a.append(np.full(len(near), rep[pivot]))
-                    b.append(rep[near])
-            a, b = np.concatenate(a), np.concatenate(b)
-            a, b = np.minimum(a, b)[a != b], np.maximum(a, b)[a != b]
-            pairs = np.unique(np.stack([a, b], axis=1), axis=0)
-            none = pa.nulls(len(pairs), pa.int64())
-            yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in pairs.T), none, none, none], ["a", "b", "key", "n", "pos"])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(rep[large]), pa.nulls(len(large), pa.int64()), *(pa.array(x[large]) for x in (key, n, pos))],
-                ["a", "b", "key", "n", "pos"])
-
-    return indexed.repartition("key").sortWithinPartitions("key", "n", "rep").mapInArrow(run, PAIRS)
-
-
-def _across(members: DataFrame) -> DataFrame:
-    """Pairs of large groups that are in different components so far."""
+            several = np.repeat(np.minimum.reduceat(row, starts) != np.maximum.reduceat(row, starts), sizes)
+            yield from part.filter(pa.array(several)).combine_chunks().to_batches()
+
+    indexed = firsts.select("row", "n", "keys").mapInArrow(index, MEMBERS)
+    return indexed.repartition("key").sortWithinPartitions("key", "n", "row").mapInArrow(meet, MEMBERS)
+
+
+class Members:
+    """Members of whole key groups, ascending by key and then by n."""
+
+    def __init__(self, part: pa.Table):
+        self.key, self.rep, self.n, self.pos, self.label = (column(part, c) for c in ("key", "rep", "n", "pos", "label"))
+        self.cells = np.frombuffer(b"".join(part.column("cells").to_pylist()), "<u2").reshape(-1, CELLS)
+        self.starts = np.flatnonzero(np.concatenate([[True], self.key[1:] != self.key[:-1]]))
+        self.sizes = np.diff(np.append(self.starts, len(self.key)))
+
+    def candidates(self, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Those of the pairs (i, j) that are apart and may be similar.
+
+        Beside the places in the order, the counts of the shingles by cell
+        bound what two sets can share.
+        """
+        n, pos = self.n, self.pos
+        good = (self.label[i] != self.label[j]) & similar(np.minimum(n[i] - pos[i], n[j] - pos[j]), n[i], n[j])
+        i, j = i[good], j[good]
+        kept = [np.empty(0, bool)]
+        for at in range(0, len(i), 1 << 17):
+            x, y = i[at:at + (1 << 17)], j[at:at + (1 << 17)]
+            shared = np.minimum(self.cells[x], self.cells[y]).sum(axis=1, dtype=np.int64)
+            kept.append(similar(np.where(np.maximum(n[x], n[y]) <= COUNTED, shared, n[x]), n[x], n[y]))
+        good = np.concatenate(kept)
+        return self.rep[i[good]], self.rep[j[good]]
+
+    def with_pivots(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of a group's pivots with its members; the same members are pivots under all keys."""
+        group = np.repeat(np.arange(len(self.starts)), self.sizes)
+        order = np.lexsort((hashing.mixed(self.rep.astype(np.uint64)), group))
+        for rank in range(PIVOTS):
+            asked = np.flatnonzero(self.sizes > (1 if rank == 0 else BULK))
+            pivot = order[self.starts[asked] + rank] if len(asked) else asked
+            member = np.flatnonzero(np.isin(group, asked)) if rank else np.flatnonzero(self.sizes[group] > 1)
+            yield self.candidates(np.repeat(pivot, self.sizes[asked]), member)
+
+    def of_each_other(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """All pairs inside groups."""
+        group = np.repeat(np.arange(len(self.starts)), self.sizes)
+        small = np.flatnonzero(self.sizes[group] <= BULK)
+        for step in range(1, BULK):
+            i, j = small[:-step], small[step:]
+            same = group[i] == group[j]
+            if not same.any():
+                break
+            yield self.candidates(i[same], j[same])
+        for k in np.flatnonzero(self.sizes > BULK):
+            begin, end = self.starts[k], self.starts[k] + self.sizes[k]
+            if (self.label[begin:end] == self.label[begin]).all():
+                continue
+            for i in range(begin, end - 1):
+                j = np.arange(i + 1, np.searchsorted(self.n[i + 1:end], 5 * self.n[i] // 4, side="right") + i + 1)
+                yield self.candidates(np.full(len(j), i), j)
+
+
+def _apart(members: DataFrame, pivots: bool) -> DataFrame:
+    """Pairs (a, b) of key groups that are not in one component yet and could be similar; with ``pivots`` those with a pivot."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in whole_groups(batches, "key"):
-            key, rep, n, pos, label = (column(part, c) for c in ("key", "rep", "n", "pos", "label"))
-            starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-            for begin, end in zip(starts, np.append(starts[1:], len(key))):
-                if (label[begin:end] == label[begin]).all():
-                    continue
-                for i in range(begin, end - 1):  # ascending in n
-                    j = np.arange(i + 1, np.searchsorted(n[i + 1:end], 5 * n[i] // 4, side="right") + i + 1)
-                    j = j[label[j] != label[i]]
-                    j = j[_may(n, pos, np.full(len(j), i), j)]
-                    if len(j):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(rep[i], rep[j])),
-                                                          pa.array(np.maximum(rep[i], rep[j]))], ["a", "b"])
+            held, n = [], 0
+            own = Members(part)
+            for pair in own.with_pivots() if pivots else own.of_each_other():
+                held.append(np.stack([np.minimum(*pair), np.maximum(*pair)], axis=1)[pair[0] != pair[1]])
+                n += len(held[-1])
+                if n > 1 << 20:
+                    yield _pairs(held)
+                    held, n = [], 0
+            if n:
+                yield _pairs(held)
+
+    labelled = members.repartition("key").sortWithinPartitions("key", "n", "rep")
+    return labelled.mapInArrow(run, "a long, b long").distinct()
 
-    return members.repartition("key").sortWithinPartitions("key", "n", "rep").mapInArrow(run, "a long, b long")
+
+def _pairs(held: list[np.ndarray]) -> pa.RecordBatch:
+    found = np.unique(np.concatenate(held), axis=0)
+    return pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["a", "b"])
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, width: int) -> DataFrame:
-    """The pairs (stored, distinct) whose sets have a similarity of 0.8 or more."""
+    """The pairs (stored, distinct) whose sets have a similarity of 0.8 or more.
 
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_batches(batches):
-            found = [shingle_set(t, width).tobytes() for t in text_bytes(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["id", "hashes"])
+    A text is sent once to each ``a`` that it is compared with, behind the text
+    of ``a``; more than ``SHARE`` texts of one ``a`` are dealt to several tasks.
+    """
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, pivots = None, []
         for batch in text_batches(batches):
             good = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist()):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                good.append(similar(len(x) + len(y) - len(np.union1d(x, y)), len(x), len(y)))
-            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
-
-    ends = stored(pairs.select(F.col("a").alias("id")).unionAll(pairs.select("b")).distinct(), "near-ends")
-    sets = stored(docs.join(ends, "id", "left_semi").select("id", "text").mapInArrow(read, "id long, hashes binary")
-                  .distinct(), "near-sets")
-    one = stored(pairs.join(sets.select(F.col("id").alias("a"), F.col("hashes").alias("x")), "a"), "near-left")
-    both = one.join(sets.select(F.col("id").alias("b"), F.col("hashes").alias("y")), "b")
-    return stored(both.select("a", "b", "x", "y").mapInArrow(verify, "a long, b long").distinct(), "near-links")
+            for k, (a, slot, member, text) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("a", "slot", "member", "text")))):
+                if at != (a, slot):
+                    at, pivots = (a, slot), []
+                own = shingle_set(text, width)
+                if not member:
+                    pivots.append(own)
+                elif any(similar(len(np.intersect1d(own, x, assume_unique=True)), len(own), len(x)) for x in pivots):
+                    good.append(k)
+            yield batch.select(["a", "id"]).take(pa.array(good, pa.int64())).rename_columns(["a", "b"])
+
+    size = stored(pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / SHARE).alias("slots")), "near-slots")
+    first = size.select(F.col("a").alias("id"), "a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("slots") - 1)).alias("slot"),
+                        F.lit(False).alias("member"))
+    other = pairs.join(size, "a").select(F.col("b").alias("id"), "a", F.pmod(F.xxhash64("b"), F.col("slots")).alias("slot"),
+                                         F.lit(True).alias("member"))
+    wanted = stored(first.unionByName(other), "near-wanted")
+    sent = docs.join(wanted, "id").select("a", "slot", "member", "id", "text")
+    return stored(sent.repartition("a", "slot").sortWithinPartitions("a", "slot", "member").mapInArrow(verify, "a long, b long")
+                  .distinct(), "near-links")
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -194,25 +243,40 @@ def near_duplicates(docs: DataFrame, width: int = 5, id_col: str = "doc_id", tex
     and are linked only with each other. Rows of one id are one document,
     linked by any of their texts.
     """
+    mark = made()
     given = docs.select(F.col(id_col).cast("long").alias("id"), binary_text(text_col).alias("text")).where("id is not null")
     common = docs.sparkSession.sparkContext.broadcast(_common(given, width))
-    sets = stored(_sets(given, width, common), "near-names")
-    classes = stored(sets.groupBy("name").agg(F.min(F.struct("id", "n", "keys")).alias("row")).select(
-        "name", F.col("row.id").alias("rep"), F.col("row.n").alias("n"), F.col("row.keys").alias("keys")), "near-classes")
-    met = stored(_meet(_index(classes.where("n > 0"))), "near-met")
-    pairs = stored(met.where("b is not null").select("a", "b").distinct(), "near-pairs")
-    links = _verified(pairs, given, width)
-    members = met.where("b is null").select("key", F.col("a").alias("rep"), "n", "pos")
-    if not members.isEmpty():
-        parts = stored(connected_components(links), "near-parts")
-        labelled = members.join(parts, members.rep == parts.node, "left").select(
-            "key", "rep", "n", "pos", F.coalesce("component", "rep").alias("label"))
-        more = stored(_across(labelled).distinct().join(pairs, ["a", "b"], "left_anti"), "near-across")
-        if not more.isEmpty():
-            links = links.unionAll(_verified(more, given, width))
+    sets = stored(_sets(given, width, common).withColumn("row", F.monotonically_increasing_id()), "near-sets")
+    # Equal sets are one class, spoken for by one row of the smallest id.
+    classes = stored(sets.groupBy("name").agg(F.min(F.struct("id", "row")).alias("first")).select(
+        "name", F.col("first.id").alias("rep"), "first.row"), "near-classes")
+    firsts = sets.where("n > 0").join(classes.select("row", "rep"), "row")
+    heads = stored(firsts.select("row", "rep", "fp0", "cells"), "near-heads")
+
+    # Texts of near fingerprints, each against the first of its group.
+    prints = stored(heads.groupBy("fp0").agg(F.min("rep").alias("rep")), "near-prints")
+    groups = stored(connected_components(links(prints, 64, 3)), "near-groups")
+    label = prints.join(groups, prints.rep == groups.node, "left").select("fp0", F.coalesce("component", "rep").alias("a"))
+    close = stored(heads.join(label, "fp0").select("a", F.col("rep").alias("b")).where("a <> b").distinct(), "near-close")
+    found = _verified(close, given, width)
+
+    # What these links leave apart, exactly.
+    members = stored(_shared(firsts), "near-members")
+    tested = close
+    for pivots in (True, False):
+        parts = stored(connected_components(found), "near-parts")
+        seen = heads.join(parts, F.col("rep") == F.col("node"), "left").select(
+            "row", "rep", "cells", F.coalesce("component", "rep").alias("label"))
+        pairs = stored(_apart(members.join(seen, "row"), pivots).join(
+            tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "near-pairs")
+        found = found.unionAll(_verified(pairs, given, width))
+        tested = tested.unionAll(pairs)
+
     # An id with several texts ties their classes together.
-    own = sets.select("id", "name").join(classes.select("name", "rep"), "name").select(
-        F.col("id").alias("a"), F.col("rep").alias("b"))
-    found = stored(connected_components(links.unionAll(stored(own, "near-own"))), "near-components")
+    own = sets.select("id", "name").join(classes.select("name", "rep"), "name").select(F.col("id").alias("a"), F.col("rep").alias("b"))
+    joined = connected_components(found.unionAll(own))
     ids = sets.select("id")
-    return ids.join(found, ids.id == found.node, "left").select("id", F.coalesce("component", "id").alias("component"))
+    result = stored(ids.join(joined, ids.id == joined.node, "left").select("id", F.coalesce("component", "id").alias("component")),
+                    "near-components")
+    release(result, mark)
+    return result
