@@ -3,7 +3,8 @@
 Every stage takes ``(spark, docs, sf_dir)``. All but the last return the
 columns of ``docs``. Rows without doc_id cannot be named by a join, so the
 near-duplicate stage leaves them alone; the other stages judge them like any
-other row. Null texts count as empty.
+other row. Null texts count as empty. What a stage has written on the way is
+deleted when its output is stored.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenderlake.llm import decontamination, packing, shingles, suffixes, toxicity
-from tenderlake.llm.common import stored, table
+from tenderlake.llm.common import made, release, stored, table
 
 #: Near duplicates: words of a shingle; sets of shingles with a similarity of 0.8 or more are linked.
 SHINGLE = 5
@@ -61,7 +62,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Batches of padded documents: doc_id, n_tokens, bucket, bucket_length, batch, slot."""
+    """Batches of documents padded to tokens of a bucket: doc_id, n_tokens, bucket, bucket_length, batch, slot."""
     return packing.pack(docs).withColumnRenamed("id", "doc_id")
 
 
@@ -75,6 +76,8 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
+    mark = made()
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name)
+        release(docs, mark)
     return docs
