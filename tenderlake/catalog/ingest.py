@@ -1,5 +1,6 @@
 """Feed extraction, layers, ledger and registry."""
 
+import uuid
 from datetime import datetime
 
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from tenderlake import schema
 from tenderlake.catalog import fixtures as fx
 from tenderlake.catalog.registry import DAY, as_text, query, rounded
 from tenderlake.functions import dates, text
-from tenderlake.operators import layers
+from tenderlake.operators import layers, ledger
 from tenderlake.plans import feed_ingest
 from tenderlake.session import durable, scratch_path
 from tenderlake.sources import feed, files
@@ -136,6 +137,24 @@ def _(spark, sf_dir):
         .select("id", "tender_no")
 
 
+@query("ledger_lookup", fx.over("ledger", body=f"""WITH {_HASHED}
+    SELECT id, tender_no, EXISTS (SELECT 1 FROM ledger l WHERE l.tender_no = h.tender_no AND l.content_hash = h.content_hash) AS known
+    FROM hashed h"""))
+def _(spark, sf_dir):
+    """All tenders against a ledger in buckets, which two loads have filled."""
+    name = f"ledger_{uuid.uuid4().hex}"
+    table = ledger.open_ledger(spark, name, scratch_path(spark, "ledger-buckets"), 16)
+    loaded = fx.ledger(spark, sf_dir)
+    late = F.pmod(F.xxhash64("tender_no"), F.lit(2)) == 0
+    for run, rows in (("r1", loaded.where(late)), ("r2", loaded.where(~late))):
+        ledger.enter(rows, name, "feed", CLOCK, run, 16)
+    spark.catalog.refreshTable(name)
+    batch = layers.with_content_hash(fx.tenders(spark, sf_dir))
+    found = ledger.known(batch, table).select("version", F.lit(True).alias("known"))
+    marked = batch.withColumn("version", ledger.version()).join(found, "version", "left")
+    return marked.select("id", "tender_no", F.coalesce("known", F.lit(False)).alias("known"))
+
+
 @query("load_outcome", fx.over("ledger", body=f"""WITH {_HASHED},
     batch AS (SELECT CASE WHEN id % 101 = 0 THEN NULL ELSE tender_no END AS tender_no, content_hash FROM hashed
               UNION ALL SELECT tender_no, content_hash FROM hashed),
