@@ -143,14 +143,13 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     """All tenders against a ledger in buckets, which two loads have filled."""
     name = f"ledger_{uuid.uuid4().hex}"
-    table = ledger.open_ledger(spark, name, scratch_path(spark, "ledger-buckets"), 16)
+    ledger.open_ledger(spark, name, scratch_path(spark, "ledger-buckets"), 16)
     loaded = fx.ledger(spark, sf_dir)
     late = F.pmod(F.xxhash64("tender_no"), F.lit(2)) == 0
     for run, rows in (("r1", loaded.where(late)), ("r2", loaded.where(~late))):
         ledger.enter(rows, name, "feed", CLOCK, run, 16)
-    spark.catalog.refreshTable(name)
     batch = layers.with_content_hash(fx.tenders(spark, sf_dir))
-    found = ledger.known(batch, table).select("version", F.lit(True).alias("known"))
+    found = ledger.known(batch, spark.table(name)).select("version", F.lit(True).alias("known"))
     marked = batch.withColumn("version", ledger.version()).join(found, "version", "left")
     return marked.select("id", "tender_no", F.coalesce("known", F.lit(False)).alias("known"))
 
