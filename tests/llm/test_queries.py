@@ -77,7 +77,8 @@ def test_one_row_for_each_row(spark, name):
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_against_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW pages AS SELECT * FROM '{SF_DIR}/pages.parquet'")
+    for table in ("pages", "documents", "labels"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     want = con.execute(ORACLES[name])
     columns = [d[0] for d in want.description]
     got = QUERIES[name](spark, SF_DIR).select(columns).collect()
