@@ -112,6 +112,11 @@ def content_hash(tender_no, description, budget) -> Column:
     return F.md5(F.concat(*[F.coalesce(part, F.lit("")) for part in (_c(tender_no), _c(description), money)]))
 
 
+def single_spaced(text) -> Column:
+    """Lower-cased text in which a run of white space is one space."""
+    return F.regexp_replace(F.lower(_c(text)), r"(?U)\s\s+", " ")
+
+
 def char_grams(text, low: int = 2, high: int = 3) -> Column:
     """All character n-grams of the text, spaces included, as an array.
 
@@ -119,8 +124,7 @@ def char_grams(text, low: int = 2, high: int = 3) -> Column:
     one shorter zipped with the shifted characters, so the text is walked once
     per length whatever its size.
     """
-    clean = F.regexp_replace(F.lower(_c(text)), r"(?U)\s\s+", " ")
-    chars = F.split(clean, "")
+    chars = F.split(single_spaced(text), "")
     level, grams = chars, []
     for n in range(2, high + 1):
         shifted = F.slice(chars, n, F.greatest(F.size(chars), F.lit(0)))

@@ -1,7 +1,7 @@
 """TF-IDF similarity search over character n-grams.
 
-An index expands the texts once. They are shuffled by document, so term counts
-stay inside the partitioning; only distinct terms per task travel to form
+An index expands the texts once. They are shuffled by document and counted in
+Arrow batches, so term counts stay inside the partitioning; only distinct terms per task travel to form
 totals and document frequencies. The cut vocabulary (at most ``max_terms``
 rows) is broadcast to the counts, whose weights are stored in order of term
 together with the norm of each document. A search reads the postings of its
@@ -10,10 +10,15 @@ own terms and the norms.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tenderlake.functions import text
 from tenderlake.operators.search import too_short
@@ -25,6 +30,8 @@ THRESHOLD = 0.1
 GRAMS = (2, 3)
 # Text per task: two n-grams per character, about half of them distinct.
 CHARS_PER_TASK = 8_000_000
+# Text whose grams are counted together.
+CHARS_AT_ONCE = 500_000
 
 
 def newest_rows(df: DataFrame, time: str, key: str, limit: int | None) -> DataFrame:
@@ -45,9 +52,49 @@ def placed_texts(corpus: DataFrame, key: str, column: str) -> tuple[DataFrame, i
 
 
 def term_counts(placed: DataFrame, key: str, column: str, grams: tuple[int, int] = GRAMS) -> DataFrame:
-    """(key, term, tf) of texts that are partitioned by the key."""
-    return (placed.select(key, F.explode(text.char_grams(column, *grams)).alias("term"))
-            .groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf")))
+    """(key, term, tf) of texts that are partitioned by the key.
+
+    The grams of some documents at a time are numbered and counted as arrays,
+    so no task keeps a table of the terms of all its documents.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = pc.list_value_length(batch.column(1)).fill_null(0).to_numpy(zero_copy_only=False)
+            texts = batch.column(1).flatten().to_pylist()
+            owner = np.repeat(np.arange(batch.num_rows), sizes)
+            heights = np.cumsum([0, *map(len, texts)])
+            begin = 0
+            while begin < len(texts):
+                # All texts of a document go together.
+                end = max(begin + 1, int(np.searchsorted(heights, heights[begin] + CHARS_AT_ONCE, side="right")) - 1)
+                end = int(np.searchsorted(owner, owner[end - 1], side="right"))
+                for rows, terms, tf in _counted(texts[begin:end], owner[begin:end], grams):
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(rows), terms, tf], [key, "term", "tf"])
+                begin = end
+
+    clean = F.transform("__texts", text.single_spaced)
+    documents = placed.groupBy(key).agg(F.collect_list(column).alias("__texts")).select(key, clean.alias("__texts"))
+    kinds = StructType([documents.schema[key], StructField("term", StringType()), StructField("tf", LongType())])
+    return documents.mapInArrow(count, kinds)
+
+
+def _counted(texts: list[str], owner: np.ndarray, grams: tuple[int, int]) -> Iterator[tuple[pa.Array, pa.Array, pa.Array]]:
+    """(owner, term, occurrences) for each length of grams; a gram is numbered by its head, one shorter, and its last character."""
+    joined = "".join(texts)
+    chars = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
+    inside = np.repeat(np.arange(len(texts)), np.fromiter(map(len, texts), np.int64, len(texts)))
+    head, at = chars, np.arange(len(chars))
+    for n in range(2, grams[1] + 1):
+        at = at[at + n - 1 < len(chars)]
+        whole = inside[at] == inside[at + n - 1]
+        head, at = head[:len(at)][whole], at[whole]
+        number, first, head = np.unique((head << 21) + chars[at + n - 1], return_index=True, return_inverse=True)
+        if n >= grams[0] and len(at):
+            found, tf = np.unique(owner[inside[at]] * len(number) + head, return_counts=True)
+            rows, term = np.divmod(found, len(number))
+            terms = pa.array([joined[p:p + n] for p in at[first].tolist()], pa.string())
+            yield pa.array(rows), terms.take(pa.array(term)), pa.array(tf.astype(np.int64))
 
 
 def term_totals(counts: DataFrame) -> DataFrame:

@@ -117,3 +117,15 @@ def test_similarity_limit_ties_and_no_match(spark):
 def test_semantic_search_corpus_limit(tenders):
     got = similarity.semantic_search(tenders, "школа", corpus_limit=2).collect()
     assert {r.id for r in got} <= {1, 2} and got
+
+
+def test_term_counts_keep_no_table_of_terms(spark, monkeypatch):
+    texts = {1: ["дорога  в 😀😀 школу", "aaa"], 2: ["AAA aaa", None], 3: ["x"], 4: [None], 5: [" \tдорога"] * 2}
+    df = spark.createDataFrame([(k, t) for k, several in texts.items() for t in several], "id long, t string").repartition(1)
+    monkeypatch.setattr(similarity, "CHARS_AT_ONCE", 8)
+    counts = similarity.term_counts(similarity.placed_texts(df, "id", "t")[0], "id", "t")
+    want = {k: sum((Counter(brute_grams(t)) for t in several if t is not None), Counter()) for k, several in texts.items()}
+    got = [(r.id, r.term, r.tf) for r in counts.collect()]
+    assert sorted(got) == sorted((k, g, n) for k, c in want.items() for g, n in c.items())
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "term" not in "".join(line for line in plan.splitlines() if "Aggregate" in line)
