@@ -175,7 +175,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     utc = F.to_timestamp_ltz(F.concat(F.col("published_at").cast("string"), F.lit("+00:00")))
     return fx.tenders(spark, sf_dir).select("id", dates.epoch_seconds(utc).alias("seconds"),
-                                            numbers.percent_text(F.col("budget") / 500000).alias("share"))
+                                            numbers.one_decimal(numbers.percent_of("budget", F.lit(500000)), "%").alias("share"))
 
 
 @query("contract_cost", fx.over("procurements", body="""

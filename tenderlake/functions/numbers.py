@@ -33,7 +33,25 @@ def percent_of(part, whole) -> Column:
 
 def percent_text(score) -> Column:
     """A share as text with one decimal: ``0.4213`` -> ``42.1%``."""
-    return F.format_string("%.1f%%", F.lit(100.0) * _c(score))
+    return one_decimal(F.lit(100.0) * _c(score), "%")
+
+
+def one_decimal(number, unit: str = "") -> Column:
+    """A number as text with one decimal, rounded by its exact binary value, ties to the even digit: ``99.25`` -> ``99.2``.
+
+    ``format_string`` rounds the shortest decimal form, ties away from zero. The
+    fraction is scaled to a whole number of 2**-58, exact wherever it can be a tie.
+    """
+    number = _c(number)
+    plain = F.abs(number) < F.lit(1e15)
+    size = F.when(plain, F.abs(number)).otherwise(F.lit(0.0))
+    tenths = ((size - F.floor(size)) * F.lit(float(1 << 58))).cast("bigint") * F.lit(10)
+    digit, rest = F.shiftright(tenths, 58), tenths.bitwiseAND(F.lit((1 << 58) - 1))
+    up = (rest > F.lit(1 << 57)) | ((rest == F.lit(1 << 57)) & (digit % 2 == 1))
+    whole = F.floor(size) * F.lit(10) + digit + up.cast("bigint")
+    sign = F.when(number < 0, F.lit("-")).otherwise(F.lit(""))
+    text = F.concat(sign, ((whole - whole % 10) / F.lit(10)).cast("bigint").cast("string"), F.lit("."), (whole % 10).cast("string"), F.lit(unit))
+    return F.when(plain, text).when(number.isNotNull(), F.format_string("%.1f" + unit.replace("%", "%%"), number))
 
 
 def contract_cost(quantity, price, level, noise=None) -> Column:

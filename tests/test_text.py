@@ -87,3 +87,10 @@ def test_numbers(spark):
 
 def test_padded_number(spark):
     assert values(spark, text.padded_number, [0, 41, 12345678], "long") == ["44-1000000", "44-1000041", "44-13345678"]
+
+
+def test_one_decimal_rounds_the_exact_value(spark):
+    inputs = [99.25, 0.25, 0.75, 0.15, 0.05, 12.35, 99.95, 99.96, 1e-9, -2.25, -0.04, 28.749999999999996, 0.0, 123456789.25] + \
+        [n / 4 for n in range(1, 400, 2)] + [n / 20 for n in range(1, 400, 2)]
+    assert values(spark, numbers.one_decimal, inputs, "double") == [f"{x:.1f}" for x in inputs]
+    assert values(spark, numbers.percent_text, [0.9925, None], "double") == ["99.2%", None]
