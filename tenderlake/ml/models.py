@@ -14,9 +14,8 @@ from pyspark.sql import functions as F
 
 from tenderlake.functions import dates, numbers
 from tenderlake.ml import features as prep
-from tenderlake.operators.layout import cached
 from tenderlake.operators.ranking import code_tables
-from tenderlake.session import folders
+from tenderlake.session import folders, scratch_tables, stored
 
 KINDS = ("linear", "gradient_boosting", "random_forest")
 FOREST_COLUMNS = ["category", "region", "status"]
@@ -58,25 +57,40 @@ def _coded(df: DataFrame, codes: dict[str, DataFrame]) -> DataFrame:
 
 @dataclass
 class CodedPipeline:
-    """Stages behind label codes of some columns; what is fitted knows labels by joined tables only."""
+    """Stages behind label codes of some columns; what is fitted knows labels by joined tables only.
+
+    ``others`` are the columns that the stages read beside the codes.
+    """
 
     columns: list[str]
     stages: list
+    others: list[str]
     by_frequency: bool = False
 
+    def reads(self) -> list[str]:
+        return [f"{c}_index" for c in self.columns] + self.others
+
     def fit(self, training: DataFrame) -> CodedModel:
         codes = code_tables(training, self.columns, self.by_frequency)
-        with cached(_coded(training, codes)) as rows:
-            return CodedModel(codes, Pipeline(stages=self.stages).fit(rows))
+        with scratch_tables(training.sparkSession):
+            return CodedModel(codes, self.fit_coded(stored(_coded(training, codes).select(self.reads()), "model-rows")))
+
+    def fit_coded(self, rows: DataFrame) -> PipelineModel:
+        """Fit on stored rows that have their codes: the stages read them several times, trees keep their own binned form."""
+        return Pipeline(stages=self.stages).fit(rows)
 
 
-def fit_cost_model(training: DataFrame, kind: str, categorical: list[str] = prep.CATEGORICAL,
-                   numerical: list[str] = prep.NUMERICAL, label: str = prep.LABEL, **overrides) -> CodedModel:
+def cost_pipeline(kind: str, categorical: list[str] = prep.CATEGORICAL, numerical: list[str] = prep.NUMERICAL,
+                  label: str = prep.LABEL, **overrides) -> CodedPipeline:
     """Alphabetical codes, assembly, standardisation, regression."""
     stages = [VectorAssembler(inputCols=[f"{c}_index" for c in categorical] + numerical, outputCol="assembled"),
               StandardScaler(inputCol="assembled", outputCol="features", withMean=True, withStd=True),
               regressor(kind, label=label, **overrides)]
-    return CodedPipeline(categorical, stages).fit(training)
+    return CodedPipeline(categorical, stages, [*numerical, label])
+
+
+def fit_cost_model(training: DataFrame, kind: str, **how) -> CodedModel:
+    return cost_pipeline(kind, **how).fit(training)
 
 
 def frequency_forest(label: str = "label", trees: int = 10, depth: int = 5, columns: list[str] = FOREST_COLUMNS) -> CodedPipeline:
@@ -85,7 +99,7 @@ def frequency_forest(label: str = "label", trees: int = 10, depth: int = 5, colu
               StandardScaler(inputCol="features", outputCol="scaled_features"),
               RandomForestRegressor(featuresCol="scaled_features", labelCol=label, numTrees=trees, maxDepth=depth,
                                     seed=prep.SEED)]
-    return CodedPipeline(columns, stages, by_frequency=True)
+    return CodedPipeline(columns, stages, [label], by_frequency=True)
 
 
 def rmse(predictions: DataFrame, label: str = "label") -> float:
@@ -106,25 +120,39 @@ def train(df: DataFrame, kind: str, key: str = "id", keep: str | None = None, **
     """Fit on the training split; returns the model and its metrics per split.
 
     ``keep`` is a folder for the predictions (key, split, label, prediction) that the metrics are of.
+    The rows are joined with their codes once, then read by the fit and for the predictions.
     """
+    spark, pipeline = df.sparkSession, cost_pipeline(kind, **overrides)
     split = prep.hash_split(df, key)
-    model = fit_cost_model(split.where("is_train"), kind, **overrides)
-    predicted = model.transform(split)
-    if keep is not None:
-        predicted.select(key, "is_train", prep.LABEL, "prediction").write.mode("overwrite").parquet(keep)
-        predicted = df.sparkSession.read.parquet(keep)
-    return model, regression_metrics(predicted, groups=["is_train"])
+    codes = code_tables(split.where("is_train"), pipeline.columns, pipeline.by_frequency)
+    with scratch_tables(spark):
+        rows = stored(_coded(split, codes).select(key, "is_train", *pipeline.reads()), "model-rows")
+        model = CodedModel(codes, pipeline.fit_coded(rows.where("is_train")))
+        predicted = model.fitted.transform(rows)
+        if keep is not None:
+            predicted.select(key, "is_train", prep.LABEL, "prediction").write.mode("overwrite").parquet(keep)
+            predicted = spark.read.parquet(keep)
+        metrics = regression_metrics(predicted, groups=["is_train"])
+        # One row for each split: they are brought here, as the stored rows go.
+        return model, spark.createDataFrame(metrics.collect(), metrics.schema)
+
+
+def _source(df: DataFrame, key: str) -> DataFrame:
+    """What the cost models read of a table, derived once."""
+    return stored(df.select(key, *prep.CATEGORICAL, *prep.NUMERICAL, prep.LABEL), "model-source")
 
 
 def train_all(df: DataFrame, folder: str, kinds=KINDS, key: str = "id",
               overrides: dict[str, dict] | None = None) -> DataFrame:
     """Train and store every kind, with its predictions; one metrics row per kind and split."""
     results = []
-    for kind in kinds:
-        place = f"{folder.rstrip('/')}/{kind}"
-        model, metrics = train(df, kind, key, f"{place}/predictions", **(overrides or {}).get(kind, {}))
-        save(model, place)
-        results.append(metrics.withColumn("model", F.lit(kind)))
+    with scratch_tables(df.sparkSession):
+        source = _source(df, key)
+        for kind in kinds:
+            place = f"{folder.rstrip('/')}/{kind}"
+            model, metrics = train(source, kind, key, f"{place}/predictions", **(overrides or {}).get(kind, {}))
+            save(model, place)
+            results.append(metrics.withColumn("model", F.lit(kind)))
     return reduce(DataFrame.unionByName, results)
 
 
@@ -152,10 +180,12 @@ def volume_study(df: DataFrame, shares: list[float], kind: str = "gradient_boost
                  **overrides) -> DataFrame:
     """Metrics against data volume: nested samples, one fit each."""
     results = []
-    for share in shares:
-        sample = df.where(numbers.stable_uniform(key, prep.SEED + 7) < F.lit(share))
-        _, metrics = train(sample, kind, key, **overrides)
-        results.append(metrics.withColumns({"share": F.lit(share), "model": F.lit(kind)}))
+    with scratch_tables(df.sparkSession):
+        source = _source(df, key)
+        for share in shares:
+            sample = source.where(numbers.stable_uniform(key, prep.SEED + 7) < F.lit(share))
+            _, metrics = train(sample, kind, key, **overrides)
+            results.append(metrics.withColumns({"share": F.lit(share), "model": F.lit(kind)}))
     return reduce(DataFrame.unionByName, results)
 
 
@@ -170,7 +200,7 @@ def forecast_pipeline(label: str = "budget", trees: int = 50, depth: int = 10,
                             handleInvalid="keep"),
               VectorAssembler(inputCols=[f"{c}_hot" for c in columns] + ["day_seconds"], outputCol="features"),
               regressor("random_forest", label=label, numTrees=trees, maxDepth=depth)]
-    return CodedPipeline(columns, stages)
+    return CodedPipeline(columns, stages, ["day_seconds", label])
 
 
 def train_forecast(df: DataFrame, trees: int = 50, depth: int = 10) -> CodedModel:

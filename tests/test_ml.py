@@ -128,3 +128,11 @@ def test_labels_of_every_row_reach_no_driver(costs):
     hot = models.forecast_pipeline("label", trees=2, depth=2, columns=["tender_no"]).fit(
         rows.withColumn("day_seconds", F.col("id").cast("double")))
     assert hot.transform(rows.withColumn("day_seconds", F.lit(1.0))).where("prediction IS NULL").count() == 0
+
+
+def test_studies_derive_their_rows_once(spark, costs):
+    made = spark.sparkContext.accumulator(0)
+    rows = costs.sparkSession.createDataFrame(costs.rdd.map(lambda r: (made.add(1), r)[1]), costs.schema)
+    got = {(r.share, r.is_train): r.r2 for r in models.volume_study(rows, [0.5, 1.0], "linear").collect()}
+    assert made.value == 600
+    assert got == {(r.share, r.is_train): r.r2 for r in models.volume_study(costs, [0.5, 1.0], "linear").collect()}
