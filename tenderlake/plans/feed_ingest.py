@@ -19,7 +19,7 @@ VERSION = ["tender_no", "content_hash"]
 
 def single_versions(items: DataFrame) -> DataFrame:
     """One item of each version: the oldest, then the first by link."""
-    return dedup.keep_first(items, VERSION, [dates.feed_date("published"), "link"])
+    return dedup.keep_first(items, VERSION, [feed.day(items), "link"])
 
 
 def new_records(items: DataFrame, ledger: DataFrame, source: str, clock, limit: int | None = None) -> DataFrame:
@@ -82,16 +82,18 @@ def run(spark: SparkSession, feed_path: str, lake: str, source: str, clock: date
     with scratch_tables(spark):
         day = dates.feed_date("published")
         items = feed.feed_versions(feed.read_feed(spark, feed_path), carry=True).withColumn("__day", day)
+        items = stored(items, "feed-items")
         if since is not None:
+            # Behind the stored rows: before them, Spark would parse each item again for each field the condition names.
             items = items.where(F.col("faulty").isNotNull() | F.col("__day").isNull() | (F.col("__day") >= F.lit(since)))
-        items = stored(items, "feed-items")
         sound = items.where("faulty IS NULL").drop("faulty")
         asked = stored(sound.select(VERSION).distinct(), "feed-asked")
         stopped = [r for r in waiting_runs(spark, paths["ledger"], paths["raw"]) if r != run_id]
         known = stored(asked_versions(asked, layer("ledger", schema.LEDGER).where(others),
                                       layer("raw", schema.RAW_LAYER).where(others), stopped), "feed-known")
         candidates = layers.not_loaded(single_versions(sound), known)
-        taken = stored(candidates if limit is None else feed.newest(candidates, limit), "feed-taken")
+        candidates = stored(candidates, "feed-candidates")
+        taken = candidates if limit is None else stored(feed.newest(candidates, limit), "feed-taken")
         fresh = feed.feed_records(taken, source, clock, keep=("content_hash",))
         # A row is named by its load and content: two loads at once give no equal ids, and no history is read for them.
         name = F.xxhash64(F.lit(run_id), "tender_no", "content_hash").bitwiseAND(F.lit((1 << 63) - 1))
@@ -103,8 +105,11 @@ def run(spark: SparkSession, feed_path: str, lake: str, source: str, clock: date
         seen = sound.select(VERSION).unionByName(
             items.where("faulty IS NOT NULL").select(*[F.lit(None).cast("string").alias(c) for c in VERSION]))
         outcome = layers.load_outcome(seen, known).first()
-        left = layers.not_loaded(candidates, taken).agg(F.min("__day"), F.count(F.lit(1))).first() if limit is not None else (None, 0)
-        newest = taken.agg(F.max("__day")).first()[0]
+        ends = [rows.agg(F.count(F.lit(1)).alias("n"), F.count("__day").alias("dated"), F.min("__day").alias("oldest"),
+                         F.max("__day").alias("newest")).first() for rows in (candidates, taken)]
+        newest, left = ends[1]["newest"], ends[0]["n"] - ends[1]["n"]
+        # The newest are taken: if a dated item is left, the oldest is.
+        oldest = ends[0]["oldest"] if ends[0]["dated"] > ends[1]["dated"] else None
 
     # The processed rows of a raw load have a folder of its name: only loads without one are read.
     processed = 0
@@ -114,8 +119,8 @@ def run(spark: SparkSession, feed_path: str, lake: str, source: str, clock: date
         raw = spark.read.schema(schema.RAW_LAYER).parquet(f"{paths['raw']}/run_id={waits}")
         processed += sinks.append_processed(raw, none, paths["processed"], paths["log"], clock, waits)
     before = registered(spark, lake, source)
-    newest, oldest = _ends(before, newest, left[0], since)
-    row = (source, "rss", feed_path, clock, loaded, "active", newest, oldest, left[1])
+    newest, oldest = _ends(before, newest, oldest, since)
+    row = (source, "rss", feed_path, clock, loaded, "active", newest, oldest, left)
     sinks.replace_snapshot(spark.createDataFrame([row], schema.SOURCE_REGISTRY), _registry(lake, source))
     return {"loaded": loaded, "duplicate": outcome["duplicate_count"], "error": outcome["error_count"],
             "processed": processed}

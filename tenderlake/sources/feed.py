@@ -5,10 +5,11 @@ from __future__ import annotations
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tenderlake.functions import dates, text
+from tenderlake.operators import ranking
 from tenderlake.schema import FEED_ITEM
 
 ITEM_TAG = "item"
@@ -21,6 +22,10 @@ _ITEM = rf"{_SKIPPED}|<{ITEM_TAG}(?=[\s>])[^>]*+>(?:[^<]++|{_SKIPPED}|<(?!{ITEM_
 #: Single-byte encodings that a feed may declare, by their registered names.
 ENCODINGS = ["windows-1250", "windows-1251", "windows-1252", "koi8-r", "koi8-u", "iso-8859-1", "iso-8859-2", "iso-8859-5",
              "iso-8859-15", "cp866"]
+#: Files of another encoding up to this number are handed to the tasks as a table.
+FEW_FILES = 1000
+#: Limits up to this number are kept by every task and merged by one; larger ones are cut by days.
+FEW = 10_000
 _DECLARED = r"^\s*<\?xml[^>]*encoding\s*=\s*[\"']([A-Za-z0-9._-]+)[\"']"
 
 
@@ -35,6 +40,26 @@ def decoded(raw: Column, encoding: Column) -> Column:
     return out
 
 
+def _told(split: DataFrame, spark: SparkSession) -> DataFrame:
+    """(value, valid): pieces of files as text, and whether their bytes are text in the encoding of their file.
+
+    Files in another encoding than UTF-8 are looked up first. Mostly there are
+    none or few, and then the texts stay where they are read.
+    """
+    name = F.lower(F.regexp_extract("value", _DECLARED, 1))
+    declared = split.where(F.substring("value", 1, 200).contains("<?xml")).select("file", name.alias("encoding")).where(
+        ~F.col("encoding").isin("", "utf-8", "utf8", "us-ascii")).groupBy("file").agg(F.min("encoding").alias("encoding"))
+    first = declared.limit(FEW_FILES + 1).collect()
+    if not first:
+        return split.select(F.make_valid_utf8("value").alias("value"), F.is_valid_utf8("value").alias("valid"))
+    if len(first) <= FEW_FILES:
+        declared = F.broadcast(spark.createDataFrame(first, declared.schema))
+    valid = F.when(F.col("encoding").isNull(), F.is_valid_utf8("value")).otherwise(F.col("encoding").isin(ENCODINGS))
+    return split.join(declared, "file", "left").select(
+        F.when(valid & F.col("encoding").isNotNull(), decoded(F.col("value").cast("binary"), F.col("encoding")))
+        .otherwise(F.make_valid_utf8("value")).alias("value"), valid.alias("valid"))
+
+
 def read_feed(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
     """Items of landed feed files, one row each; ``limit`` keeps the newest.
 
@@ -47,17 +72,12 @@ def read_feed(spark: SparkSession, path: str, limit: int | None = None) -> DataF
     are no text in theirs, are faulty.
     """
     split = spark.read.text(path, lineSep=f"</{ITEM_TAG}>").select("value", F.col("_metadata.file_path").alias("file"))
-    # Few files declare another encoding than UTF-8; their names are a small table.
-    name = F.lower(F.regexp_extract("value", _DECLARED, 1))
-    declared = split.where(F.substring("value", 1, 200).contains("<?xml")).select("file", name.alias("encoding")).where(
-        ~F.col("encoding").isin("", "utf-8", "utf8", "us-ascii")).groupBy("file").agg(F.min("encoding").alias("encoding"))
-    valid = F.when(F.col("encoding").isNull(), F.is_valid_utf8("value")).otherwise(F.col("encoding").isin(ENCODINGS))
-    told = split.join(declared, "file", "left").select(
-        F.when(valid & F.col("encoding").isNotNull(), decoded(F.col("value").cast("binary"), F.col("encoding")))
-        .otherwise(F.make_valid_utf8("value")).alias("value"), valid.alias("valid"))
+    told = _told(split, spark)
     parts = F.regexp_extract_all("value", F.lit(_ITEM), F.lit(0))
     found = told.select("valid", F.filter(parts, lambda p: ~p.startswith("<!")).alias("bodies"))
-    pieces = found.select("valid", F.size("bodies").alias("n"), F.posexplode("bodies").alias("at", "body"))
+    # Outer, as Spark would else test the pieces before they are exploded, and so match each text several times.
+    pieces = found.select("valid", F.size("bodies").alias("n"), F.posexplode_outer("bodies").alias("at", "body")) \
+        .where("body IS NOT NULL")
     # Only the last one before an end tag is closed by it.
     whole = pieces.select("body", F.when(F.col("valid") & (F.col("at") == F.col("n") - 1) & ~F.contains("body", F.lit("\ufffd")),
                                          F.concat("body", F.lit(f"</{ITEM_TAG}>"))).alias("xml"))
@@ -68,9 +88,36 @@ def read_feed(spark: SparkSession, path: str, limit: int | None = None) -> DataF
     return items if limit is None else newest(items, limit)
 
 
+def day(items: DataFrame) -> Column:
+    """Day of an item: its column ``__day`` where it was derived before."""
+    return F.col("__day") if "__day" in items.columns else dates.feed_date("published")
+
+
 def newest(items: DataFrame, limit: int) -> DataFrame:
-    """The newest items; among those of one day, and those without a date, the first by link."""
-    return items.orderBy(dates.feed_date("published").desc_nulls_last(), "link", "title").limit(limit)
+    """The newest items; among those of one day, and those without a date, the first by link.
+
+    A large limit is cut by the counts of the days: what is newer than the day
+    at the limit is taken as it is, and only that day's items are ranked, over
+    all tasks. The items are read up to three times then: store what is dear
+    to compute.
+    """
+    # A column, as a sort derives an expression at every comparison.
+    dated = items.withColumn("__newest", day(items))
+    order, by_day = ["link", "title"], F.desc_nulls_last("__newest")
+    if limit <= FEW:
+        return dated.orderBy(by_day, *order).limit(limit).drop("__newest")
+    counts = dated.groupBy("__newest").agg(F.count(F.lit(1)).alias("n"))
+    upto = F.sum("n").over(Window.orderBy(by_day).rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    last = counts.withColumn("upto", upto).where(F.col("upto") >= limit).orderBy("upto").first()
+    if last is None:
+        return items
+    edge = F.lit(last["__newest"]).cast("date")
+    newer, same = F.col("__newest").isNotNull() if last["__newest"] is None else F.col("__newest") > edge, F.col("__newest").eqNullSafe(edge)
+    if last["upto"] == limit:
+        return dated.where(newer | same).drop("__newest")
+    ranked = ranking.row_number_by(dated.where(same), [], order, "__at")
+    taken = ranked.where(F.col("__at") <= limit - last["upto"] + last["n"]).drop("__at")
+    return dated.where(newer).unionByName(taken).drop("__newest")
 
 
 def item_number() -> Column:
@@ -111,7 +158,7 @@ def feed_records(items: DataFrame, source: str, clock: Column | datetime, keep:
         text.text_or_default("__region", text.REGION_MAX if cut else None).alias("region"),
         (F.col("__price") if known else text.labelled_price("__text")).alias("budget"),
         F.lit(text.ANNOUNCED).alias("status"),
-        dates.feed_date("published").alias("published_on"),
+        day(items).alias("published_on"),
         F.lit(source).alias("source"),
         F.col("link").alias("url"),
         F.col("description").alias("raw_description"),

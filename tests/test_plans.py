@@ -10,7 +10,7 @@ import __spark_entry__ as entry
 from tenderlake.catalog import fixtures as fx
 from tenderlake.operators import aggregates, filters, regression, search, similarity, trends
 from tenderlake.plans import scaling
-from tenderlake.sources import synthetic
+from tenderlake.sources import feed, synthetic
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -107,3 +107,28 @@ def test_log_lines(spark):
                                    ("2024-01-01 08:00:00 - x - ERROR - early",)], "value string")
     assert [r.line[-5:] for r in trends.log_lines(lines, "ERROR").collect()] == [" late", "early"]
     assert trends.log_lines(lines, last=2).count() == 2
+
+
+def test_large_limits_are_cut_by_days(spark, monkeypatch):
+    rows = [(f"l{k:04d}" if k % 7 else None, f"t{k % 3}", None if k % 4 == 3 else f"2024-01-{k % 9 + 1:02d}") for k in range(200)]
+    items = spark.createDataFrame(rows, "link string, title string, published string").repartition(5)
+    small = {n: sorted(map(str, feed.newest(items, n).collect())) for n in (1, 40, 129, 150, 151, 190, 200, 300)}
+    monkeypatch.setattr(feed, "FEW", 0)
+    for n, want in small.items():
+        taken = feed.newest(items, n)
+        # No task keeps and merges the rows of the limit.
+        assert "TakeOrdered" not in taken._jdf.queryExecution().executedPlan().toString()
+        got = sorted(map(str, taken.collect()))
+        assert len(got) == min(n, 200)
+        assert [r.count("published=None") for r in got].count(1) == [r.count("published=None") for r in want].count(1)
+        if n >= 200 or n == 150:
+            assert got == want
+
+
+def test_texts_of_a_feed_are_not_shuffled_by_file(spark, tmp_path):
+    for name in "ab":
+        (tmp_path / f"{name}.xml").write_text(f"<channel><item><title>{name}</title><link>l</link></item></channel>")
+    read = feed.read_feed(spark, str(tmp_path))
+    assert sorted(r.title for r in read.collect()) == ["a", "b"]
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
