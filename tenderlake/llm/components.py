@@ -43,6 +43,7 @@ def _pull(pairs: DataFrame, which) -> DataFrame:
 
 def _is_star(pairs: DataFrame) -> bool:
     """Every left node has one right node, and no right node is a left node."""
-    total, nodes = pairs.agg(F.count(F.lit(1)), F.countDistinct("u")).first()
-    return total == nodes and pairs.select("v").distinct().join(
-        pairs.select(F.col("u").alias("v")), "v", "left_semi").isEmpty()
+    ends = pairs.select(F.col("u").alias("node"), F.lit(1).alias("left"), F.lit(0).alias("right")).unionAll(
+        pairs.select(F.col("v").alias("node"), F.lit(0).alias("left"), F.lit(1).alias("right")))
+    return ends.groupBy("node").agg(F.sum("left").alias("left"), F.max("right").alias("right")).where(
+        "left > 1 OR left = 1 AND right = 1").isEmpty()

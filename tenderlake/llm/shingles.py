@@ -35,14 +35,20 @@ SAMPLE, COMMON = 20_000, 400_000
 BULK, PIVOTS = 48, 4
 #: Texts compared with one pivot by one task.
 SHARE = 2_000
-#: Cells over which a set's shingles are counted, and the largest set whose counts are used.
-CELLS, COUNTED = 64, 60_000
+#: Cells over which a set's shingles are counted, two to a byte, and the count that stands for itself and any larger one.
+CELLS, FULL = 256, 15
 
 
 def shingle_set(text: bytes, width: int) -> np.ndarray:
     return np.unique(shingle_hashes(text, width, 64))
 
 
+def cell_counts(found: np.ndarray) -> bytes:
+    """Shingles of a set by cell, up to ``FULL``."""
+    counts = np.minimum(np.bincount((found >> np.uint64(56)).astype(np.int64), minlength=CELLS), FULL).astype(np.uint8)
+    return (counts[::2] << 4 | counts[1::2]).tobytes()
+
+
 def similar(shared, n, m):
     """Whether so many shared shingles of n and m are a similarity of 0.8 or more."""
     return 9 * shared >= 4 * (n + m)
@@ -85,9 +91,8 @@ def _sets(docs: DataFrame, width: int, common) -> DataFrame:
             for text in text_bytes(batch.column(1)):
                 hashes = shingle_hashes(text, width, 64)
                 found = np.unique(hashes)
-                cells = np.bincount((found >> np.uint64(58)).astype(np.int64), minlength=CELLS)
                 rows.append((xxhash.xxh3_128_digest(found.tobytes()), len(found), int(fingerprint(hashes)[0].astype(np.int64)),
-                             np.minimum(cells, COUNTED).astype("<u2").tobytes(), _prefix(found, *known).tobytes()))
+                             cell_counts(found), _prefix(found, *known).tobytes()))
             kinds = (pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0)] + [pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)],
                                              ["id", "name", "n", "fp0", "cells", "keys"])
@@ -128,7 +133,8 @@ class Members:
 
     def __init__(self, part: pa.Table):
         self.key, self.rep, self.n, self.pos, self.label = (column(part, c) for c in ("key", "rep", "n", "pos", "label"))
-        self.cells = np.frombuffer(b"".join(part.column("cells").to_pylist()), "<u2").reshape(-1, CELLS)
+        packed = np.frombuffer(b"".join(part.column("cells").to_pylist()), np.uint8).reshape(-1, CELLS // 2)
+        self.cells = np.concatenate([packed >> 4, packed & 15], axis=1)
         self.starts = np.flatnonzero(np.concatenate([[True], self.key[1:] != self.key[:-1]]))
         self.sizes = np.diff(np.append(self.starts, len(self.key)))
 
@@ -136,16 +142,17 @@ class Members:
         """Those of the pairs (i, j) that are apart and may be similar.
 
         Beside the places in the order, the counts of the shingles by cell
-        bound what two sets can share.
+        bound what two sets can share, unless a cell is full in both.
         """
         n, pos = self.n, self.pos
         good = (self.label[i] != self.label[j]) & similar(np.minimum(n[i] - pos[i], n[j] - pos[j]), n[i], n[j])
         i, j = i[good], j[good]
         kept = [np.empty(0, bool)]
-        for at in range(0, len(i), 1 << 17):
-            x, y = i[at:at + (1 << 17)], j[at:at + (1 << 17)]
-            shared = np.minimum(self.cells[x], self.cells[y]).sum(axis=1, dtype=np.int64)
-            kept.append(similar(np.where(np.maximum(n[x], n[y]) <= COUNTED, shared, n[x]), n[x], n[y]))
+        for at in range(0, len(i), 1 << 15):
+            x, y = i[at:at + (1 << 15)], j[at:at + (1 << 15)]
+            both = np.minimum(self.cells[x], self.cells[y])
+            shared = np.where(both.max(axis=1, initial=0) < FULL, both.sum(axis=1, dtype=np.int64), np.minimum(n[x], n[y]))
+            kept.append(similar(shared, n[x], n[y]))
         good = np.concatenate(kept)
         return self.rep[i[good]], self.rep[j[good]]
 
@@ -258,23 +265,25 @@ def near_duplicates(docs: DataFrame, width: int = 5, id_col: str = "doc_id", tex
     groups = stored(connected_components(links(prints, 64, 3)), "near-groups")
     label = prints.join(groups, prints.rep == groups.node, "left").select("fp0", F.coalesce("component", "rep").alias("a"))
     close = stored(heads.join(label, "fp0").select("a", F.col("rep").alias("b")).where("a <> b").distinct(), "near-close")
-    found = _verified(close, given, width)
+    tied_by = _verified(close, given, width)
 
     # What these links leave apart, exactly.
     members = stored(_shared(firsts), "near-members")
     tested = close
     for pivots in (True, False):
-        parts = stored(connected_components(found), "near-parts")
+        # What is tied already goes on as stars, which take fewer rounds than all links again.
+        parts = stored(connected_components(tied_by).distinct(), "near-parts")
         seen = heads.join(parts, F.col("rep") == F.col("node"), "left").select(
             "row", "rep", "cells", F.coalesce("component", "rep").alias("label"))
         pairs = stored(_apart(members.join(seen, "row"), pivots).join(
             tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"), "near-pairs")
-        found = found.unionAll(_verified(pairs, given, width))
+        tied = parts.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        tied_by = tied.unionAll(_verified(pairs, given, width))
         tested = tested.unionAll(pairs)
 
     # An id with several texts ties their classes together.
     own = sets.select("id", "name").join(classes.select("name", "rep"), "name").select(F.col("id").alias("a"), F.col("rep").alias("b"))
-    joined = connected_components(found.unionAll(own))
+    joined = connected_components(tied_by.unionAll(own))
     ids = sets.select("id")
     result = stored(ids.join(joined, ids.id == joined.node, "left").select("id", F.coalesce("component", "id").alias("component")),
                     "near-components")

@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 import corpus_pipeline as pipeline
 from tenderlake.llm import shingles as near
@@ -95,3 +96,25 @@ def test_rows_of_one_id_and_without_id(spark):
     texts = [(3, "a b c d e f"), (3, "p q r s t u"), (5, "p q r s t u"), (None, "a b c d e f"), (2, "a b c d e f")]
     found = near.near_duplicates(spark.createDataFrame(texts, KIND)).collect()
     assert sorted((r.id, r.component) for r in found) == [(2, 2), (3, 2), (3, 2), (5, 2)]
+
+
+def test_counts_by_cell_keep_texts_apart_and_lose_no_link():
+    rng = random.Random(11)
+    word = lambda: f"v{rng.randrange(10 ** 6)}"
+    base, sets = [word() for _ in range(400)], []
+    for k in range(80):  # 60 copies with seven words changed, some 0.7 like each other, and 20 with one or two
+        words = list(base)
+        for at in rng.sample(range(10, 390, 6), 7 if k < 60 else rng.choice([1, 2])):
+            words[at] = word()
+        sets.append(near.shingle_set(" ".join(words).encode(), 5))
+    sets.append(near.shingle_set(" ".join(word() for _ in range(9000)).encode(), 5))
+    sets.append(np.delete(sets[-1], [5, 6]))  # every cell is full in both
+    rows = [(1, k, len(s), 0, k, near.cell_counts(s)) for k, s in enumerate(sets)]
+    part = pa.table(dict(zip(("key", "rep", "n", "pos", "label", "cells"), map(list, zip(*rows)))))
+    i, j = np.triu_indices(len(sets), 1)
+    found = set(zip(*(x.tolist() for x in near.Members(part).candidates(i, j))))
+    links = {(a, b) for a, b in zip(i.tolist(), j.tolist())
+             if near.similar(len(np.intersect1d(sets[a], sets[b])), len(sets[a]), len(sets[b]))}
+    assert links <= found and (80, 81) in found
+    apart = [p for p in found if p[1] < 60]
+    assert len(apart) < 0.1 * 60 * 59 / 2
