@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import shutil
 import tempfile
@@ -120,5 +121,9 @@ def text_batches(batches: Iterator[pa.RecordBatch], size: int = 4 << 20) -> Iter
 
 
 def give_back() -> None:
-    """Return what Arrow keeps of freed memory: a Python worker lives on for other tasks."""
+    """Return what Arrow and the C library keep of freed memory: a Python worker lives on for other tasks, a driver for other stages."""
     pa.default_memory_pool().release_unused()
+    # Small arrays come from the heap of the C library, which only glibc can be asked to shrink.
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)

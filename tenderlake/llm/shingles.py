@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tenderlake.llm import hashing
-from tenderlake.llm.common import binary_text, column, made, release, stored, text_batches, text_bytes, whole_groups
+from tenderlake.llm.common import binary_text, column, give_back, made, release, stored, text_batches, text_bytes, whole_groups
 from tenderlake.llm.components import connected_components
 from tenderlake.llm.simhash import fingerprint, links, shingle_hashes
 
@@ -253,6 +253,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, id_col: str = "doc_id", tex
     mark = made()
     given = docs.select(F.col(id_col).cast("long").alias("id"), binary_text(text_col).alias("text")).where("id is not null")
     common = docs.sparkSession.sparkContext.broadcast(_common(given, width))
+    give_back()
     sets = stored(_sets(given, width, common).withColumn("row", F.monotonically_increasing_id()), "near-sets")
     # Equal sets are one class, spoken for by one row of the smallest id.
     classes = stored(sets.groupBy("name").agg(F.min(F.struct("id", "row")).alias("first")).select(

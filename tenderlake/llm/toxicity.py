@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tenderlake.llm import hashing
-from tenderlake.llm.common import binary_text, text_batches, text_bytes
+from tenderlake.llm.common import binary_text, give_back, text_batches, text_bytes
 
 BITS = 16
 BUCKETS = 1 << BITS
@@ -171,7 +171,13 @@ def fit(docs: DataFrame, labels: DataFrame, options: Training = Training()) -> M
 
     texts = docs.select("doc_id", binary_text().alias("text"))
     rows = texts.join(F.broadcast(chosen), "doc_id").mapInArrow(
-        bags, "doc_id long, toxic int, places binary, counts binary").toArrow()
+        bags, "doc_id long, toxic int, places binary, counts binary")
+    model = _trained(rows.toArrow(), options)
+    give_back()
+    return model
+
+
+def _trained(rows: pa.Table, options: Training) -> Model:
     rows = rows.sort_by([("doc_id", "ascending"), ("toxic", "ascending"), ("places", "ascending")])
     read = lambda name, kind: [np.frombuffer(x.as_buffer(), kind) for x in rows.column(name)]
     return train(list(zip(read("places", np.uint16), read("counts", np.uint32))),
