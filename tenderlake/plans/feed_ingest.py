@@ -14,7 +14,10 @@ from tenderlake.operators import dedup, layers
 from tenderlake.session import folders, scratch_tables, stored
 from tenderlake.sources import feed, files
 
-VERSION = ["tender_no", "content_hash"]
+#: The hash stands first, as sorts tell rows apart by the first bytes of the first key.
+VERSION = ["content_hash", "tender_no"]
+#: What copies of a version may differ in.
+FIELDS = ["title", "link", "published", "description"]
 
 
 def single_versions(items: DataFrame) -> DataFrame:
@@ -33,6 +36,34 @@ def new_records(items: DataFrame, ledger: DataFrame, source: str, clock, limit:
     return feed.feed_records(fresh, source, clock, keep=("content_hash",))
 
 
+def numbered(items: DataFrame) -> DataFrame:
+    """Items to be stored, with a row number and two hashes of the fields in which copies of a version may differ."""
+    # Hashing passes over missing values, so which are missing is hashed, too.
+    told = [*FIELDS, *[F.col(c).isNull() for c in FIELDS]]
+    return items.withColumns({"__row": F.monotonically_increasing_id(), "__h0": F.xxhash64(F.lit(0), *told), "__h1": F.xxhash64(F.lit(1), *told)})
+
+
+def counted_versions(items: DataFrame) -> DataFrame:
+    """(version, n, row, alike): items of each version, the first row of them, and whether all are copies of it.
+
+    Numbers only, so versions are met in hash tables and no text is sorted.
+    """
+    ends = [f(c) for c in ("__h0", "__h1") for f in (F.min, F.max)]
+    return items.groupBy(*VERSION).agg(F.count(F.lit(1)).alias("n"), F.min("__row").alias("row"),
+                                       ((ends[0] == ends[1]) & (ends[2] == ends[3])).alias("alike"))
+
+
+def first_items(items: DataFrame, fresh: DataFrame, mixed: bool) -> DataFrame:
+    """One item of each version of ``fresh``, as ``single_versions`` takes them.
+
+    Only if there are ``mixed`` versions, whose items are not all alike, these items are put in order.
+    """
+    rows = fresh.where("alike").select(F.col("row").alias("__row"))
+    if mixed:
+        rows = rows.unionByName(single_versions(items.join(fresh.where("NOT alike"), VERSION, "left_semi")).select("__row"))
+    return items.join(rows, "__row", "left_semi")
+
+
 def open_runs(done: DataFrame, loaded: DataFrame) -> list[str]:
     """Runs of ``loaded`` that ``done`` has no folder of. Only the partition column is read; open runs are few."""
     runs = loaded.select("run_id").distinct().join(done.select("run_id").distinct(), "run_id", "left_anti")
@@ -80,49 +111,54 @@ def run(spark: SparkSession, feed_path: str, lake: str, source: str, clock: date
         return files.read_layer(spark, paths[name], record)
 
     with scratch_tables(spark):
-        day = dates.feed_date("published")
-        items = feed.feed_versions(feed.read_feed(spark, feed_path), carry=True).withColumn("__day", day)
+        items = feed.feed_versions(feed.read_feed(spark, feed_path), carry=True).drop("__text")
+        items = numbered(items if since is None else items.withColumn("__day", dates.feed_date("published")))
         items = stored(items, "feed-items")
         if since is not None:
             # Behind the stored rows: before them, Spark would parse each item again for each field the condition names.
             items = items.where(F.col("faulty").isNotNull() | F.col("__day").isNull() | (F.col("__day") >= F.lit(since)))
         sound = items.where("faulty IS NULL").drop("faulty")
-        asked = stored(sound.select(VERSION).distinct(), "feed-asked")
+        asked = stored(counted_versions(sound), "feed-asked")
         stopped = [r for r in waiting_runs(spark, paths["ledger"], paths["raw"]) if r != run_id]
-        known = stored(asked_versions(asked, layer("ledger", schema.LEDGER).where(others),
-                                      layer("raw", schema.RAW_LAYER).where(others), stopped), "feed-known")
-        candidates = layers.not_loaded(single_versions(sound), known)
-        candidates = stored(candidates, "feed-candidates")
-        taken = candidates if limit is None else stored(feed.newest(candidates, limit), "feed-taken")
-        fresh = feed.feed_records(taken, source, clock, keep=("content_hash",))
+        known = asked_versions(asked.select(VERSION), layer("ledger", schema.LEDGER).where(others),
+                               layer("raw", schema.RAW_LAYER).where(others), stopped)
+        fresh = stored(layers.not_loaded(asked, known), "feed-fresh")
+        found = fresh.agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("alike")).alias("mixed")).first()
+        seen = asked.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"]
+        faulty = items.where("faulty IS NOT NULL").count()
+        candidates = first_items(sound, fresh, found["mixed"] > 0)
+        if limit is not None:
+            # Dated and stored: they are cut by their days, and the days of those left are looked at.
+            candidates = stored(candidates.withColumn("__day", feed.day(candidates)), "feed-candidates")
+        taken = candidates if limit is None else feed.newest(candidates, limit)
+        records = feed.feed_records(taken, source, clock, keep=("content_hash",))
         # A row is named by its load and content: two loads at once give no equal ids, and no history is read for them.
         name = F.xxhash64(F.lit(run_id), "tender_no", "content_hash").bitwiseAND(F.lit((1 << 63) - 1))
-        batch = fresh.withColumns({"id": name, "published_at": F.col("published_on").cast("timestamp")}) \
+        batch = records.withColumns({"id": name, "published_at": F.col("published_on").cast("timestamp")}) \
             .select([f.name for f in schema.TENDER.fields])
         loaded = sinks.append_raw(batch, paths["raw"], paths["log"], source, clock, run_id)
         mine = spark.read.schema(schema.RAW_LAYER).parquet(f"{paths['raw']}/run_id={run_id}")
         sinks.append_ledger(mine, paths["ledger"], source, clock, run_id)
-        seen = sound.select(VERSION).unionByName(
-            items.where("faulty IS NOT NULL").select(*[F.lit(None).cast("string").alias(c) for c in VERSION]))
-        outcome = layers.load_outcome(seen, known).first()
-        ends = [rows.agg(F.count(F.lit(1)).alias("n"), F.count("__day").alias("dated"), F.min("__day").alias("oldest"),
-                         F.max("__day").alias("newest")).first() for rows in (candidates, taken)]
-        newest, left = ends[1]["newest"], ends[0]["n"] - ends[1]["n"]
-        # The newest are taken: if a dated item is left, the oldest is.
-        oldest = ends[0]["oldest"] if ends[0]["dated"] > ends[1]["dated"] else None
+        left, day = found["n"] - loaded, F.to_date("published_at")
+        ends = mine.agg(F.count("published_at").alias("dated"), F.max(day).alias("newest")).first()
+        newest, oldest = ends["newest"], None
+        if left:
+            # The newest are taken: if a dated item is left, the oldest is.
+            all_ends = candidates.agg(F.count("__day").alias("dated"), F.min("__day").alias("oldest")).first()
+            oldest = all_ends["oldest"] if all_ends["dated"] > ends["dated"] else None
 
     # The processed rows of a raw load have a folder of its name: only loads without one are read.
     processed = 0
-    none = spark.createDataFrame([], schema.PROCESSED_LAYER)
     waiting = set(waiting_runs(spark, paths["processed"], paths["raw"])) | {run_id}
     for waits in sorted(waiting):
         raw = spark.read.schema(schema.RAW_LAYER).parquet(f"{paths['raw']}/run_id={waits}")
+        none = raw.select(F.col("id").alias("raw_id")).where(F.lit(False))
         processed += sinks.append_processed(raw, none, paths["processed"], paths["log"], clock, waits)
     before = registered(spark, lake, source)
     newest, oldest = _ends(before, newest, oldest, since)
     row = (source, "rss", feed_path, clock, loaded, "active", newest, oldest, left)
     sinks.replace_snapshot(spark.createDataFrame([row], schema.SOURCE_REGISTRY), _registry(lake, source))
-    return {"loaded": loaded, "duplicate": outcome["duplicate_count"], "error": outcome["error_count"],
+    return {"loaded": loaded, "duplicate": seen - found["n"], "error": faulty,
             "processed": processed}
 
 

@@ -74,7 +74,13 @@ def read_feed(spark: SparkSession, path: str, limit: int | None = None) -> DataF
     split = spark.read.text(path, lineSep=f"</{ITEM_TAG}>").select("value", F.col("_metadata.file_path").alias("file"))
     told = _told(split, spark)
     parts = F.regexp_extract_all("value", F.lit(_ITEM), F.lit(0))
-    found = told.select("valid", F.filter(parts, lambda p: ~p.startswith("<!")).alias("bodies"))
+    # Without character data and comments, a single opening tag begins the single item: nothing has to be matched.
+    tag = f"<{ITEM_TAG}>"
+    before, rest = F.substring_index("value", tag[:-1], 1), F.substring_index("value", tag, -1)
+    single = ~F.contains("value", F.lit("<!")) & ~F.contains(rest, F.lit(tag[:-1])) & (
+        F.octet_length(before) + F.octet_length(F.lit(tag)) + F.octet_length(rest) == F.octet_length("value"))
+    bodies = F.when(single, F.array(F.concat(F.lit(tag), rest))).otherwise(F.filter(parts, lambda p: ~p.startswith("<!")))
+    found = told.select("valid", bodies.alias("bodies"))
     # Outer, as Spark would else test the pieces before they are exploded, and so match each text several times.
     pieces = found.select("valid", F.size("bodies").alias("n"), F.posexplode_outer("bodies").alias("at", "body")) \
         .where("body IS NOT NULL")
@@ -144,8 +150,8 @@ def feed_records(items: DataFrame, source: str, clock: Column | datetime, keep:
     to the lengths of the dashboard; by default they are kept whole.
     """
     # One projection per step: each text is derived once, then read several times.
-    known = {"__text", "__price", "tender_no"} <= set(items.columns)
-    visible = items if known else items.withColumn("__text", text.strip_tags(F.coalesce("description", F.lit(""))))
+    known = {"__price", "tender_no"} <= set(items.columns)
+    visible = items if "__text" in items.columns else items.withColumn("__text", text.strip_tags(F.coalesce("description", F.lit(""))))
     found = visible.withColumns({
         "__lower": F.lower("__text"),
         "__customer": text.labelled_text("__text", text.CUSTOMER_LABEL),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tenderlake.operators.cleaning import cast_by_role
@@ -60,7 +61,8 @@ def read_layer(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        # Known to be empty when a query is planned, so joins with it fall away.
+        return spark.range(0).where(F.lit(False)).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
