@@ -31,7 +31,7 @@ def new_records(items: DataFrame, ledger: DataFrame, source: str, clock, limit:
     Only number, title and price are read from every item; the other fields
     are taken from the items that turn out to be new.
     """
-    fresh = layers.not_loaded(single_versions(feed.feed_versions(items)), ledger)
+    fresh = single_versions(layers.not_loaded(feed.feed_versions(items), ledger))
     fresh = fresh if limit is None else feed.newest(fresh, limit)
     return feed.feed_records(fresh, source, clock, keep=("content_hash",))
 

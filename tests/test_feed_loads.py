@@ -66,6 +66,17 @@ def test_a_layer_that_is_not_there_costs_no_join(spark, tmp_path):
     assert "Join" not in text
 
 
+def test_known_items_are_left_out_before_versions_are_sorted(spark, rows, tmp_path):
+    items = odd_items(spark)
+    feed.feed_versions(items).where("tender_no < '44-2'").select("tender_no", "content_hash").write.parquet(str(tmp_path / "known"))
+    known = spark.read.parquet(str(tmp_path / "known"))
+    fresh = feed_ingest.new_records(items, known, "feed", CLOCK)
+    text = fresh._jdf.queryExecution().optimizedPlan().toString()
+    assert text.index("Aggregate [content_hash") < text.index("Join LeftAnti")
+    want = layers.not_loaded(feed_ingest.single_versions(feed.feed_versions(items)), known)
+    assert rows(fresh.select("tender_no", "url", "raw_description")) == rows(want.select("tender_no", "link", "description"))
+
+
 def test_single_items_are_cut_as_the_pattern_cuts(spark, tmp_path):
     whole = "<title>{0}</title><link>l{0}</link>"
     pieces = ["<channel>\n<item>" + whole.format("a"), "<item kind='x'>" + whole.format("b"), "<item>broken<item>" + whole.format("c"),
