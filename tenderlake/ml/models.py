@@ -8,12 +8,13 @@ from functools import reduce
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tenderlake.functions import dates, numbers
 from tenderlake.ml import features as prep
+from tenderlake.ml import trees as binned
 from tenderlake.operators.ranking import code_tables
 from tenderlake.session import folders, scratch_tables, stored
 
@@ -27,10 +28,10 @@ def regressor(kind: str, features: str = "features", label: str = prep.LABEL, **
     if kind == "linear":
         return LinearRegression(**{**common, **overrides})
     if kind == "gradient_boosting":
-        return GBTRegressor(**{**common, "maxIter": 100, "stepSize": 0.1, "maxDepth": 5, "seed": prep.SEED, **overrides})
+        return binned.BoostedTrees(**{**common, "maxIter": 100, "stepSize": 0.1, "maxDepth": 5, "seed": prep.SEED, **overrides})
     if kind == "random_forest":
-        return RandomForestRegressor(**{**common, "numTrees": 50, "maxDepth": 10, "seed": prep.SEED,
-                                        "featureSubsetStrategy": "all", **overrides})
+        return binned.BaggedTrees(**{**common, "numTrees": 50, "maxDepth": 10, "seed": prep.SEED,
+                                     "featureSubsetStrategy": "all", **overrides})
     raise ValueError(f"unknown model kind: {kind}")
 
 

@@ -85,6 +85,13 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 _scratch: list[str] = []
 
 
+def scratch_folder(spark: SparkSession, label: str) -> str:
+    """A fresh path that goes like what ``stored`` writes."""
+    path = scratch_path(spark, label)
+    _scratch.append(path)
+    return path
+
+
 @contextmanager
 def scratch_tables(spark: SparkSession) -> Iterator[None]:
     """Deletes what ``stored`` writes inside the block when the block ends: nothing lazy may leave it."""
