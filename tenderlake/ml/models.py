@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, VectorAssembler
@@ -123,19 +126,35 @@ def train(df: DataFrame, kind: str, key: str = "id", keep: str | None = None, **
     ``keep`` is a folder for the predictions (key, split, label, prediction) that the metrics are of.
     The rows are joined with their codes once, then read by the fit and for the predictions.
     """
-    spark, pipeline = df.sparkSession, cost_pipeline(kind, **overrides)
+    pipeline = cost_pipeline(kind, **overrides)
+    with scratch_tables(df.sparkSession):
+        return _trained(pipeline, *_coded_split(df, pipeline, key), key, keep)
+
+
+def _coded_split(df: DataFrame, pipeline: CodedPipeline, key: str) -> tuple[DataFrame, dict[str, DataFrame]]:
+    """The rows of both splits with the codes of the training split, stored, and these codes."""
     split = prep.hash_split(df, key)
     codes = code_tables(split.where("is_train"), pipeline.columns, pipeline.by_frequency)
-    with scratch_tables(spark):
-        rows = stored(_coded(split, codes).select(key, "is_train", *pipeline.reads()), "model-rows")
-        model = CodedModel(codes, pipeline.fit_coded(rows.where("is_train")))
-        predicted = model.fitted.transform(rows)
-        if keep is not None:
-            predicted.select(key, "is_train", prep.LABEL, "prediction").write.mode("overwrite").parquet(keep)
-            predicted = spark.read.parquet(keep)
-        metrics = regression_metrics(predicted, groups=["is_train"])
-        # One row for each split: they are brought here, as the stored rows go.
-        return model, spark.createDataFrame(metrics.collect(), metrics.schema)
+    return stored(_coded(split, codes).select(key, "is_train", *pipeline.reads()), "model-rows"), codes
+
+
+def _trained(pipeline: CodedPipeline, rows: DataFrame, codes: dict[str, DataFrame], key: str,
+             keep: str | None) -> tuple[CodedModel, DataFrame]:
+    spark = rows.sparkSession
+    model = CodedModel(codes, pipeline.fit_coded(rows.where("is_train")))
+    predicted = model.fitted.transform(rows)
+    if keep is not None:
+        predicted.select(key, "is_train", prep.LABEL, "prediction").write.mode("overwrite").parquet(keep)
+        predicted = spark.read.parquet(keep)
+    metrics = regression_metrics(predicted, groups=["is_train"])
+    # One row for each split: they are brought here, as the stored rows go.
+    return model, spark.createDataFrame(metrics.collect(), metrics.schema)
+
+
+def _side_by_side(spark: SparkSession, tasks: list[Callable[[], DataFrame]]) -> DataFrame:
+    """Metrics of several fits that run at the same time: the many short passes of one leave cores to the others."""
+    with ThreadPoolExecutor(max(len(tasks), 1)) as pool:
+        return reduce(DataFrame.unionByName, [f.result() for f in [pool.submit(inheritable_thread_target(spark)(t)) for t in tasks]])
 
 
 def _source(df: DataFrame, key: str) -> DataFrame:
@@ -146,15 +165,23 @@ def _source(df: DataFrame, key: str) -> DataFrame:
 def train_all(df: DataFrame, folder: str, kinds=KINDS, key: str = "id",
               overrides: dict[str, dict] | None = None) -> DataFrame:
     """Train and store every kind, with its predictions; one metrics row per kind and split."""
-    results = []
-    with scratch_tables(df.sparkSession):
-        source = _source(df, key)
-        for kind in kinds:
-            place = f"{folder.rstrip('/')}/{kind}"
-            model, metrics = train(source, kind, key, f"{place}/predictions", **(overrides or {}).get(kind, {}))
+    def fit(kind: str, pipeline: CodedPipeline, rows: DataFrame, codes: dict[str, DataFrame]) -> DataFrame:
+        place = f"{folder.rstrip('/')}/{kind}"
+        with scratch_tables(rows.sparkSession):
+            model, metrics = _trained(pipeline, rows, codes, key, f"{place}/predictions")
             save(model, place)
-            results.append(metrics.withColumn("model", F.lit(kind)))
-    return reduce(DataFrame.unionByName, results)
+            return metrics.withColumn("model", F.lit(kind))
+
+    pipelines = {kind: cost_pipeline(kind, **(overrides or {}).get(kind, {})) for kind in kinds}
+    with scratch_tables(df.sparkSession):
+        source, shared, tasks = _source(df, key), {}, []
+        for kind, pipeline in pipelines.items():
+            # Kinds that read the same columns share the rows with their codes.
+            reads = (*pipeline.columns, *pipeline.others)
+            if reads not in shared:
+                shared[reads] = _coded_split(source, pipeline, key)
+            tasks.append(partial(fit, kind, pipeline, *shared[reads]))
+        return _side_by_side(df.sparkSession, tasks)
 
 
 def save(model: CodedModel | PipelineModel, path: str) -> None:
@@ -180,14 +207,15 @@ def load_coded(spark: SparkSession, path: str) -> CodedModel:
 def volume_study(df: DataFrame, shares: list[float], kind: str = "gradient_boosting", key: str = "id",
                  **overrides) -> DataFrame:
     """Metrics against data volume: nested samples, one fit each."""
-    results = []
     with scratch_tables(df.sparkSession):
         source = _source(df, key)
-        for share in shares:
+
+        def fit(share: float) -> DataFrame:
             sample = source.where(numbers.stable_uniform(key, prep.SEED + 7) < F.lit(share))
             _, metrics = train(sample, kind, key, **overrides)
-            results.append(metrics.withColumns({"share": F.lit(share), "model": F.lit(kind)}))
-    return reduce(DataFrame.unionByName, results)
+            return metrics.withColumns({"share": F.lit(share), "model": F.lit(kind)})
+
+        return _side_by_side(df.sparkSession, [partial(fit, share) for share in shares])
 
 
 def forecast_pipeline(label: str = "budget", trees: int = 50, depth: int = 10,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -78,30 +79,37 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """Write the rows below the shared folder and read them from there; unlike a checkpoint the table has known size."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    _scratch.append(path)
+    _scratch().append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-_scratch: list[str] = []
+_written = threading.local()
+
+
+def _scratch() -> list[str]:
+    """Paths written by this thread: fits that run side by side delete their own."""
+    if not hasattr(_written, "paths"):
+        _written.paths = []
+    return _written.paths
 
 
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A fresh path that goes like what ``stored`` writes."""
     path = scratch_path(spark, label)
-    _scratch.append(path)
+    _scratch().append(path)
     return path
 
 
 @contextmanager
 def scratch_tables(spark: SparkSession) -> Iterator[None]:
     """Deletes what ``stored`` writes inside the block when the block ends: nothing lazy may leave it."""
-    mark = len(_scratch)
+    mark = len(_scratch())
     try:
         yield
     finally:
-        for path in _scratch[mark:]:
+        for path in _scratch()[mark:]:
             delete(spark, path)
-        del _scratch[mark:]
+        del _scratch()[mark:]
 
 
 def delete(spark: SparkSession, path: str) -> None:

@@ -102,3 +102,35 @@ def test_what_is_not_learned_here_is_left_to_spark(points, monkeypatch):
 def test_cost_models_learn_from_binned_rows():
     assert isinstance(models.regressor("gradient_boosting"), trees.BoostedTrees)
     assert isinstance(models.regressor("random_forest"), trees.BaggedTrees)
+
+
+def test_kinds_share_their_coded_rows_and_shares_fit_side_by_side(spark, tmp_path, monkeypatch):
+    i = F.col("id")
+    rows = spark.range(300).select(i, *[F.concat(F.lit(c), i % 3).alias(c) for c in models.prep.CATEGORICAL],
+                                   *[(i * k % 17).cast("double").alias(c) for k, c in enumerate(models.prep.NUMERICAL, 2)],
+                                   (i % 17 + i % 3).cast("double").alias("total_cost"))
+    calls, code_tables = [], models.code_tables
+    monkeypatch.setattr(models, "code_tables", lambda *a: calls.append(1) or code_tables(*a))
+    small = {"gradient_boosting": {"maxIter": 1}, "random_forest": {"numTrees": 1, "maxDepth": 2}}
+    assert models.train_all(rows, str(tmp_path), overrides=small).count() == 6
+    assert len(calls) == 1
+
+    # Each of the two fits waits for the other.
+    both, train = threading.Barrier(2, timeout=60), models.train
+    monkeypatch.setattr(models, "train", lambda *a, **how: both.wait() + 1 and train(*a, **how))
+    assert models.volume_study(rows, [0.5, 1.0], "linear").count() == 4
+
+
+def test_threads_delete_their_own_tables(spark):
+    with scratch_tables(spark):
+        mine = scratch_folder(spark, "mine")
+        spark.range(1).write.parquet(mine)
+
+        def other():
+            with scratch_tables(spark):
+                spark.range(1).write.parquet(scratch_folder(spark, "theirs"))
+
+        thread = threading.Thread(target=other)
+        thread.start()
+        thread.join()
+        assert spark.read.parquet(mine).count() == 1
