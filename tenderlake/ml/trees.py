@@ -295,12 +295,13 @@ def binned(dataset: DataFrame, features: str, label: str, most_bins: int, seed:
     rows = dataset.select(label).count()
     if rows == 0:
         raise ValueError("no rows to learn from")
+    first = values.select("x").first().x
+    if len(first) > MOST_FEATURES:
+        return None
     most_bins = min(most_bins, rows)
     wanted = max(most_bins * most_bins, 10_000)
     sample = values.select("x") if wanted >= rows else values.select("x").sample(False, wanted / rows, seed)
-    seen = [r.x for r in sample.collect()] or [values.select("x").first().x]
-    if len(seen[0]) > MOST_FEATURES:
-        return None
+    seen = [r.x for r in sample.collect()] or [first]
     bins = Bins([thresholds(column, most_bins - 1) for column in np.array(seen).T])
     size = min(SLICE, max(1 << 12, -(-rows // (4 * context.defaultParallelism))))
 

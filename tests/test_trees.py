@@ -92,6 +92,8 @@ def test_constant_rows_and_missing_labels(points):
 
 
 def test_what_is_not_learned_here_is_left_to_spark(points, monkeypatch):
+    monkeypatch.setattr(trees, "MOST_FEATURES", 3)
+    assert trees.BoostedTrees(maxIter=1, maxDepth=2).fit(points).totalNumNodes > 1
     monkeypatch.setattr(trees, "binned", None)
     heavy = points.withColumn("weight", F.lit(2.0))
     model = trees.BoostedTrees(maxIter=1, maxDepth=2, weightCol="weight").fit(heavy)
